@@ -21,8 +21,9 @@ def _move(edges: DataFrame, state: DataFrame, two_m: float, resolution: float, t
 
     Taking turns by a hash keeps two nodes from swapping labels for ever.
     """
-    # Links are added up per node and label before any further join.
-    links = (edges.join(state.select(F.col("node").alias("dst"), F.col("label").alias("to")), "dst")
+    # Links are added up per node and label before any further join. A joined node's inner
+    # links go where it goes, so they favour no label.
+    links = (edges.where("src <> dst").join(state.select(F.col("node").alias("dst"), F.col("label").alias("to")), "dst")
              .groupBy(F.col("src").alias("node"), "to").agg(F.sum("weight").alias("links")))
     totals = _totals(state)
     own = state.select("node", F.col("label").alias("own"), "degree")

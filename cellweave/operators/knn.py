@@ -15,7 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cellweave.operators.lineage import materialize
 
 
 MAX_PIVOTS = 256
@@ -50,26 +51,23 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
     """
     keep = k + 1
     points = points.select(F.col("id").cast("bigint").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
-    sites = _collapse(points, keep)
-    n_sites = sites.count()
-    n_pivots = max(1, min(max_pivots, int(n_sites ** 0.5)))
+    sites = materialize(_collapse(points, keep))
+    n_pivots = max(1, min(max_pivots, int(sites.count() ** 0.5)))
     chosen = sites.select("site", "vector").orderBy(F.xxhash64("site"), "site").limit(n_pivots)
     pivots = np.array([r["vector"] for r in chosen.collect()], dtype=float)
 
-    placed_type = T.StructType([
-        T.StructField("site", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("vector", T.ArrayType(T.DoubleType())), T.StructField("to_pivots", T.ArrayType(T.DoubleType())),
-        T.StructField("home", T.IntegerType()), T.StructField("to_home", T.DoubleType())])
+    def to_pivots(batch: pd.DataFrame) -> np.ndarray:
+        return np.sqrt(_distances(pivots, np.stack(batch["vector"].to_numpy()))).T
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            d = np.sqrt(_distances(pivots, np.stack(batch["vector"].to_numpy()))).T
-            home = d.argmin(axis=1)
-            yield batch.assign(to_pivots=list(d), home=home.astype("int32"), to_home=d[np.arange(len(d)), home])
+            if len(batch):
+                d = to_pivots(batch)
+                home = d.argmin(axis=1)
+                yield batch.assign(home=home.astype("int32"), to_home=d[np.arange(len(d)), home])
 
-    placed = sites.select("site", "ids", "vector").mapInPandas(place, placed_type)
+    site_type = "site bigint, ids array<bigint>, vector array<double>, home int"
+    placed = materialize(sites.select("site", "ids", "vector").mapInPandas(place, site_type + ", to_home double"))
     nearest = Window.partitionBy("home").orderBy("to_home", "site")
     stats = (placed.select("home", "site", "to_home")
              .withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= keep)
@@ -87,17 +85,21 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
         bound = known[keep - 1] if len(known) >= keep else np.inf
         reach[g] = float((radius[g] + bound) * (1 + 1e-9) + 1e-12)
 
-    spark = points.sparkSession
-    reaches = spark.createDataFrame(
-        [(g, reach[g], max(1, -(-groups[g]["n"] // block_rows))) for g in groups],
-        "home int, reach double, query_blocks int")
+    homes = sorted(groups)
+    limits = np.array([reach[g] for g in homes])
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                near, group = np.nonzero(to_pivots(batch)[:, homes] <= limits)
+                yield batch.iloc[near].assign(home=np.array(homes, dtype="int32")[group])
+
+    candidates = placed.select("site", "ids", "vector").mapInPandas(send, site_type)
+    candidate_sizes = dict(candidates.groupBy("home").agg(F.count(F.lit(1))).collect())
     # At most one row per pivot.
-    reaches = F.broadcast(reaches)
-    candidates = (placed.select("site", "ids", "vector", F.posexplode("to_pivots").alias("home", "d"))
-                  .join(reaches, "home").where(F.col("d") <= F.col("reach")))
-    candidate_sizes = candidates.groupBy("home").agg(F.count(F.lit(1)).alias("n_candidates"))
-    blocks = F.broadcast(reaches.join(candidate_sizes, "home").select(
-        "home", "query_blocks", F.ceil(F.col("n_candidates") / block_rows).cast("int").alias("candidate_blocks")))
+    blocks = F.broadcast(points.sparkSession.createDataFrame(
+        [(g, -(-groups[g]["n"] // block_rows), -(-candidate_sizes[g] // block_rows)) for g in homes],
+        "home int, query_blocks int, candidate_blocks int"))
 
     def cut(rows: DataFrame, own: str, other: str) -> DataFrame:
         return (rows.withColumn(own, F.pmod(F.xxhash64("site"), F.col(own + "s")).cast("int"))
@@ -105,7 +107,7 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
 
     key = ["home", "query_block", "candidate_block"]
     queries = cut(placed.select("home", "site", "vector").join(blocks, "home"), "query_block", "candidate_block")
-    others = cut(candidates.drop("query_blocks", "reach", "d").join(blocks, "home"), "candidate_block", "query_block")
+    others = cut(candidates.join(blocks, "home"), "candidate_block", "query_block")
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -140,6 +142,6 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
 def knn_edges(neighbors: DataFrame) -> DataFrame:
     """Undirected weighted graph of the neighbour table: each edge once each way."""
     weight = 1.0 / (1.0 + F.col("dist"))
-    both = (neighbors.select("src", "dst", weight.alias("weight"))
-            .unionByName(neighbors.select(F.col("dst").alias("src"), F.col("src").alias("dst"), weight.alias("weight"))))
-    return both.groupBy("src", "dst").agg(F.max("weight").alias("weight"))
+    ways = F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    return (neighbors.select(ways.alias("way"), weight.alias("weight"))
+            .groupBy("way.src", "way.dst").agg(F.max("weight").alias("weight")))

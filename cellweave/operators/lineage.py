@@ -1,27 +1,31 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Cutting lineage through tables written to the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; pick one only for a local session without any."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; one is picked only for a local session without any."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cellweave-checkpoint-"))
-    else:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    picked = tempfile.mkdtemp(prefix="cellweave-")
+    spark.sparkContext.setCheckpointDir(picked)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the table once and read it from there; survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute the table once, write it, and go on from the files.
+
+    Losing executors loses nothing that was written, later passes read only the columns
+    they need, and the files' size tells the planner which side of a join is small.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -123,8 +123,8 @@ def knn_graph(spark, sf):
     return knn(points(spark, sf), 15).withColumn("dist", F.round("dist", 6))
 
 
-@query("knn_edges", f"""WITH {KNN}, both AS (SELECT src, dst, d2 FROM near UNION SELECT dst, src, d2 FROM near)
-SELECT src, dst, round(max(1.0 / (1.0 + sqrt(d2))), 6) AS weight FROM both GROUP BY src, dst""")
+@query("knn_edges", f"""WITH {KNN}, two_way AS (SELECT src, dst, d2 FROM near UNION SELECT dst, src, d2 FROM near)
+SELECT src, dst, round(max(1.0 / (1.0 + sqrt(d2))), 6) AS weight FROM two_way GROUP BY src, dst""")
 def edges(spark, sf):
     return knn_edges(knn(points(spark, sf), 15)).withColumn("weight", F.round("weight", 6))
 
