@@ -10,6 +10,7 @@ that meet pairwise, so no task has to hold one crowded square alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,9 @@ from cellweave.functions.geometry import squared_distance
 from cellweave.operators.skew import heavy_groups, is_small
 from cellweave.schema import col
 
-# Square side in radii. 1 tests fewest candidate pairs; 2 copies partners fewer times.
-SIDE_IN_RADII = 1.0
+# Square side in radii. At 1 a partner is copied to 9 squares, at 2 to 4; candidate pairs go
+# from 9 to 16 squared radii. Copies are shuffled and sorted, candidates only compared.
+SIDE_IN_RADII = 2.0
 # Cells of one role in one square before the square is cut into blocks.
 SQUARE_CELLS = 4_000
 
@@ -28,11 +30,16 @@ _SQUARE = ["image_id", "bx", "by"]
 
 @dataclass(frozen=True)
 class Side:
-    """One input of a radius join: a cell table and the prefix of its output columns."""
+    """One input of a radius join: a cell table and the prefix of its output columns.
+
+    ``base`` and ``kinds`` tell that the cells are (some of) those types of a larger table.
+    """
 
     cells: DataFrame
     prefix: str
     extra: tuple[str, ...] = ()
+    base: DataFrame | None = None
+    kinds: tuple[str, ...] = ()
 
     def columns(self) -> list[str]:
         return ["cell_id", "x", "y", *self.extra]
@@ -68,24 +75,52 @@ def _touched_squares(df: DataFrame, side: Side, radius: float, edge: float) -> D
             .withColumn("by", reach(side.y())))
 
 
+def _crowded(sides: list[Side], edge: float, limit: int) -> DataFrame | None:
+    """Crowded squares per role.
+
+    Only images over the limit can hold one, so images are counted first. Sides taken from
+    one table by type are counted in one pass over that table.
+    """
+    base = sides[0].base
+    if base is not None and all(s.base is base and s.kinds for s in sides):
+        kinds = sorted({k for s in sides for k in s.kinds})
+        rows = base.where(F.col("cell_type").isin(*kinds)).withColumn("group_kind", F.col("cell_type"))
+        roles_of = F.filter(F.array(*[
+            F.when(F.col("group_kind").isin(*s.kinds), F.lit(role)) for role, s in enumerate(sides)]),
+            lambda r: r.isNotNull())
+    elif all(s.cells is sides[0].cells for s in sides):
+        rows = sides[0].cells.withColumn("group_kind", F.lit("all"))
+        roles_of = F.sequence(F.lit(0), F.lit(len(sides) - 1))
+    else:
+        parts = [s.cells.select("image_id", "x", "y", F.lit(str(role)).alias("group_kind"))
+                 for role, s in enumerate(sides)]
+        rows = reduce(DataFrame.unionByName, parts)
+        roles_of = F.array(F.col("group_kind").cast("int"))
+    images = heavy_groups(rows, ["image_id"], limit)
+    if images is None:
+        return None
+    listed = images.table.select("image_id")
+    rows = rows.join(F.broadcast(listed) if images.bounded else listed, "image_id", "left_semi")
+    squares = rows.withColumns({"bx": F.floor(F.col("x") / edge), "by": F.floor(F.col("y") / edge)})
+    heavy = heavy_groups(squares, [*_SQUARE, "group_kind"], limit)
+    if heavy is None:
+        return None
+    return heavy.table.select(*_SQUARE, F.explode(roles_of).alias("role"), "group_rows")
+
+
 def crowded_blocks(anchor: Side, partners: list[Side], radius: float, edge: float,
                    limit: int) -> tuple[DataFrame, bool] | None:
     """Blocks per crowded square and role, and whether that table is small; None without any.
 
     Column ``blocks_0`` is for anchors, ``blocks_1`` on for each partner side in turn.
     """
-    squares = None
-    for role, side in enumerate([anchor, *partners]):
-        here = (_home_square(side.renamed(), side, edge)
-                .select(*_SQUARE, F.lit(role).alias("role")))
-        squares = here if squares is None else squares.unionByName(here)
-    heavy = heavy_groups(squares, [*_SQUARE, "role"], limit)
-    if heavy is None:
+    crowded = _crowded([anchor, *partners], edge, limit)
+    if crowded is None:
         return None
     # Partner copies reach the squares around: cut each by all the cells that reach it.
     around = F.lit(int(radius // edge) + 1)
     step = F.when(F.col("role") == 0, F.sequence(F.lit(0), F.lit(0))).otherwise(F.sequence(-around, around))
-    reached = (heavy.table.withColumn("sx", F.explode(step)).withColumn("sy", F.explode(step))
+    reached = (crowded.withColumn("sx", F.explode(step)).withColumn("sy", F.explode(step))
                .select("image_id", (F.col("bx") + F.col("sx")).alias("bx"),
                        (F.col("by") + F.col("sy")).alias("by"), "role", "group_rows"))
     blocks = reached.groupBy(*_SQUARE).agg(*[
@@ -132,7 +167,8 @@ def _meet(anchor: Side, partners: list[Side], radius: float, edge: float,
                             *[F.col(f"{side.prefix}_{c}") for c in side.columns()])
         for k in keys:
             condition = condition & (F.col(k) == F.col("r_" + k))
-        met = met.join(right, condition).drop(*["r_" + k for k in keys])
+        # The size of the copies is not known to the planner; a broadcast of them never is safe.
+        met = met.join(right.hint("merge"), condition).drop(*["r_" + k for k in keys])
     return met.drop(*[k for k in keys if k.startswith("block_")])
 
 
@@ -160,17 +196,20 @@ def radius_pairs(anchors: DataFrame, partners: DataFrame, radius: float,
         "dist_px", F.sqrt(squared_distance(a.x(), a.y(), n.x(), n.y())))
 
 
-def type_counts(anchors: DataFrame, partners: DataFrame, radius: float,
-                limit: int = SQUARE_CELLS) -> DataFrame:
+def type_counts(anchors: DataFrame, partners: DataFrame, radius: float, limit: int = SQUARE_CELLS,
+                base: DataFrame | None = None, anchor_kinds: tuple[str, ...] = (),
+                partner_kinds: tuple[str, ...] = ()) -> DataFrame:
     """Partners inside the radius per anchor and partner type: one row where there are any.
 
-    The anchors' squares are crowded only rarely; then cells on the same spot are added up
-    before they are joined, and each anchor takes itself out of its own spot afterwards.
+    Where squares are crowded, cells on the same spot are added up before they are joined,
+    and each anchor takes itself out of its own spot afterwards. ``base`` and the kinds say
+    which types of one table the two sides are.
     """
     radius = float(radius)
     edge = radius * SIDE_IN_RADII
     typed = partners.where(F.col("cell_type").isNotNull())
-    anchor, neighbor = Side(anchors, "anchor"), Side(typed, "neighbor", ("cell_type",))
+    anchor = Side(anchors, "anchor", (), base, anchor_kinds)
+    neighbor = Side(typed, "neighbor", ("cell_type",), base, partner_kinds)
     keys = ["image_id", "anchor_cell_id", "neighbor_type"]
     crowded = crowded_blocks(anchor, [neighbor], radius, edge, limit)
     if crowded is None:
@@ -197,13 +236,15 @@ def type_counts(anchors: DataFrame, partners: DataFrame, radius: float,
 
 
 def neighbor_counts(anchors: DataFrame, partners: DataFrame, radius: float,
-                    types: dict[str, str], limit: int = SQUARE_CELLS) -> DataFrame:
+                    types: dict[str, str], limit: int = SQUARE_CELLS, base: DataFrame | None = None,
+                    anchor_kinds: tuple[str, ...] = ()) -> DataFrame:
     """Per anchor, the partners of each wanted type inside the radius: {column: cell type}.
 
     Anchors with none of them are absent.
     """
-    wanted = partners.where(F.col("cell_type").isin(*set(types.values())))
-    counts = type_counts(anchors, wanted, radius, limit)
+    kinds = tuple(dict.fromkeys(types.values()))
+    wanted = partners.where(F.col("cell_type").isin(*kinds))
+    counts = type_counts(anchors, wanted, radius, limit, base, anchor_kinds, kinds)
     return counts.groupBy("image_id", "anchor_cell_id").agg(*[
         F.sum(F.when(F.col("neighbor_type") == t, F.col("n")).otherwise(0)).alias(name)
         for name, t in types.items()])

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.geometry import distance_um, max_anchor_distance
 from cellweave.functions.labels import combo_label
-from cellweave.operators.neighbors import SQUARE_CELLS, Side, meet, neighbor_counts, radius_pairs, type_counts
+from cellweave.operators.lineage import materialize
+from cellweave.operators.neighbors import SQUARE_CELLS, Side, meet, neighbor_counts, type_counts
 from cellweave.operators.ordered import percentiles
 from cellweave.operators.skew import broadcast_if_small
 
@@ -60,22 +61,26 @@ def anchor_counts(cells: DataFrame, search: TriadSearch) -> DataFrame:
     """n_p1_neighbors and n_p2_neighbors of every anchor that has both, at the search radius."""
     counts = neighbor_counts(
         _of_type(cells, search.anchor), cells, search.radius_px,
-        {"n_p1_neighbors": search.partner1, "n_p2_neighbors": search.partner2}, search.square_cells)
+        {"n_p1_neighbors": search.partner1, "n_p2_neighbors": search.partner2}, search.square_cells,
+        cells, (search.anchor,))
     # Two partners of one type have to be two cells.
     enough = 1 if search.partner1 != search.partner2 else 2
     return counts.where((F.col("n_p1_neighbors") >= enough) & (F.col("n_p2_neighbors") >= enough))
 
 
+def _per_image(per_anchor: DataFrame, search: TriadSearch) -> DataFrame:
+    pairs = F.col("n_p1_neighbors") * (
+        F.col("n_p2_neighbors") if search.partner1 != search.partner2 else F.col("n_p2_neighbors") - 1)
+    return (per_anchor.groupBy("image_id").agg(F.sum(pairs).alias("n_triads"))
+            .select("image_id", F.lit(search.anchor).alias("anchor_type"),
+                    F.lit(search.partner1).alias("partner1_type"),
+                    F.lit(search.partner2).alias("partner2_type"), "n_triads"))
+
+
 def triad_counts(cells: DataFrame, search: TriadSearch) -> DataFrame:
     """Triads per image and trio of types, from neighbour counts alone: no triad is built."""
     if search.typed:
-        per_anchor = anchor_counts(cells, search)
-        pairs = F.col("n_p1_neighbors") * (
-            F.col("n_p2_neighbors") if search.partner1 != search.partner2 else F.col("n_p2_neighbors") - 1)
-        counts = (per_anchor.groupBy("image_id").agg(F.sum(pairs).alias("n_triads"))
-                  .select("image_id", F.lit(search.anchor).alias("anchor_type"),
-                          F.lit(search.partner1).alias("partner1_type"),
-                          F.lit(search.partner2).alias("partner2_type"), "n_triads"))
+        counts = _per_image(anchor_counts(cells, search), search)
     else:
         known = _of_type(cells, None)
         own = known.select("image_id", F.col("cell_id").alias("anchor_cell_id"),
@@ -102,7 +107,7 @@ def find_triads(cells: DataFrame, search: TriadSearch, with_counts: bool = True)
     before the triads are built.
     """
     def side(prefix: str, cell_type: str | None, more: tuple[str, ...] = ()) -> Side:
-        return Side(_of_type(cells, cell_type), prefix, ("cell_type", *more))
+        return Side(_of_type(cells, cell_type), prefix, ("cell_type", *more), cells, (cell_type,) if cell_type else ())
 
     a = side("anchor", search.anchor, ("condition",))
     p1, p2 = side("partner1", search.partner1), side("partner2", search.partner2)
@@ -111,7 +116,7 @@ def find_triads(cells: DataFrame, search: TriadSearch, with_counts: bool = True)
     if counted:
         per_anchor = anchor_counts(cells, search).withColumnRenamed("anchor_cell_id", "cell_id")
         a = Side(a.cells.join(per_anchor, ["image_id", "cell_id"]), "anchor",
-                 (*a.extra, "n_p1_neighbors", "n_p2_neighbors"))
+                 (*a.extra, "n_p1_neighbors", "n_p2_neighbors"), cells, (search.anchor,))
     if not search.typed:
         types = [F.col(f"{s}_cell_type") for s in ("anchor", "partner1", "partner2")]
         also = [types[1] != types[0], (types[2] != types[0]) & (types[2] != types[1])]
@@ -139,7 +144,7 @@ def find_triads(cells: DataFrame, search: TriadSearch, with_counts: bool = True)
         between("partner1", "partner2").alias("dist_p1_p2_um"),
         search.label(*kinds).alias("triad_combo_label"), *counts_out)
     if search.min_triads > 1:
-        kept = triad_counts(cells, search).select("image_id", *TYPES)
+        kept = materialize(triad_counts(cells, search).select("image_id", *TYPES))
         triads = triads.join(broadcast_if_small(kept, ["image_id"]), ["image_id", *TYPES], "left_semi")
     return triads
 
@@ -171,8 +176,9 @@ def triad_members(triads: DataFrame) -> DataFrame:
 
 
 def _flagged(cells: DataFrame, roles: DataFrame, include_zero_images: bool) -> DataFrame:
-    per_cell = roles.groupBy("image_id", "cell_id").agg(*[
-        F.bool_or(F.col("role") == role).alias(flag) for role, flag in ROLE_FLAGS.items()])
+    # Written once: the images and the flags are both read from it.
+    per_cell = materialize(roles.groupBy("image_id", "cell_id").agg(*[
+        F.bool_or(F.col("role") == role).alias(flag) for role, flag in ROLE_FLAGS.items()]))
     flags = [F.coalesce(F.col(f), F.lit(False)) for f in ROLE_FLAGS.values()]
     if not include_zero_images:
         images = per_cell.select("image_id").distinct()
@@ -195,14 +201,17 @@ def flag_cells(cells: DataFrame, search: TriadSearch, include_zero_images: bool
     """
     if not search.typed:
         return flags_from_triads(cells, find_triads(cells, search, with_counts=False), include_zero_images)
-    valid = anchor_counts(cells, search).select("image_id", F.col("anchor_cell_id").alias("cell_id"))
+    counted = materialize(anchor_counts(cells, search))
+    valid = counted.select("image_id", F.col("anchor_cell_id").alias("cell_id"))
     if search.min_triads > 1:
-        kept = triad_counts(cells, search).select("image_id")
+        kept = _per_image(counted, search).where(F.col("n_triads") >= search.min_triads).select("image_id")
         valid = valid.join(broadcast_if_small(kept, ["image_id"]), "image_id", "left_semi")
     anchors = _of_type(cells, search.anchor).join(valid, ["image_id", "cell_id"], "left_semi")
-    partners = cells.where(F.col("cell_type").isin(search.partner1, search.partner2))
-    near = radius_pairs(anchors, partners, search.radius_px, partner_extra=("cell_type",),
-                        limit=search.square_cells)
+    kinds = tuple({search.partner1: None, search.partner2: None})
+    partners = cells.where(F.col("cell_type").isin(*kinds))
+    near = meet(Side(anchors, "anchor", (), cells, (search.anchor,)),
+                [Side(partners, "neighbor", ("cell_type",), cells, kinds)],
+                search.radius_px, limit=search.square_cells)
     roles = valid.select("image_id", F.lit("anchor").alias("role"), "cell_id")
     for role in ("partner1", "partner2"):
         roles = roles.unionByName(

@@ -7,12 +7,16 @@ import xml.etree.ElementTree as ET
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.functions.names import file_name, file_stem
 from cellweave.operators.skew import broadcast_if_small
 
-_OME_TYPE = ("channels array<string>, n_images bigint, n_channels bigint, "
-             "pixels_attributes map<string,string>, error string")
+_OME_TYPE = T.StructType([
+    T.StructField("channels", T.ArrayType(T.StringType())), T.StructField("n_images", T.LongType()),
+    T.StructField("n_channels", T.LongType()),
+    T.StructField("pixels_attributes", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("error", T.StringType())])
 
 
 @F.pandas_udf(_OME_TYPE)

@@ -27,6 +27,15 @@ PATIENT_SCHEMA = T.StructType([
     T.StructField("DFS", T.DoubleType()), T.StructField("DFS_Censor", T.IntegerType())])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a plain scan of a few files over all cores before costly work on its rows.
+
+    Tables with at least one split per core are returned as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def with_markers(schema: T.StructType, markers: list[str]) -> T.StructType:
     """A fixed schema followed by one double column per marker."""
     return T.StructType([*schema.fields, *[T.StructField(m, T.DoubleType()) for m in markers]])

@@ -104,8 +104,8 @@ def scan_channel_meta(spark, sf):
     return metadata.scan_channel_meta(documents(spark, sf), "text", ["p_partkey"])
 
 
-@query("ome_summary", """SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN 1 END AS n_images,
-  CASE WHEN p_partkey % 5 <> 0 THEN len(str_split(p_name, ' ')) + 1 END AS n_channels,
+@query("ome_summary", """SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN CAST(1 AS BIGINT) END AS n_images,
+  CASE WHEN p_partkey % 5 <> 0 THEN CAST(len(str_split(p_name, ' ')) + 1 AS BIGINT) END AS n_channels,
   CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS size_x, p_partkey % 5 = 0 AS has_error FROM part""")
 def ome_summary(spark, sf):
     return metadata.ome_summary(documents(spark, sf), "xml", ["p_partkey"]).select(

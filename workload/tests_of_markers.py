@@ -18,13 +18,12 @@ SHOWN = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_di
 
 def flagged(spark, sf):
     """Cells flagged at the report radius, of images with triads at the search radius; written once."""
-    keep = ["image_id", "condition", "cell_id", "x", "y", "cell_type", *SHOWN.values()]
-    c = cells(spark, sf).select(*keep)
-    search = ops.TriadSearch(RADIUS, 1.0, "A", "N", "R")
-    images = ops.triad_counts(c, search).select("image_id")
-    report = ops.TriadSearch(REPORT_UM, 1.0, "A", "N", "R")
-    flags = ops.flag_cells(c.join(broadcast_if_small(images, ["image_id"]), "image_id", "left_semi"), report, True)
-    return materialize(flags)
+    keep = ["image_id", "condition", "cell_id", "cell_type", *SHOWN.values()]
+    slim = cells(spark, sf).select("image_id", "condition", "cell_id", "x", "y", "cell_type")
+    found = materialize(ops.find_triads(slim, ops.TriadSearch(RADIUS, 1.0, "A", "N", "R"), False))
+    images = found.select("image_id").distinct()
+    inside = cells(spark, sf).select(*keep).join(broadcast_if_small(images, ["image_id"]), "image_id", "left_semi")
+    return materialize(ops.flags_from_triads(inside, ops.report_radius_filter(found, REPORT_UM), True))
 
 
 _ROWS = " UNION ALL ".join(
