@@ -22,8 +22,12 @@ SHAPE_COLUMNS = (
     "axis_major_length", "axis_minor_length", "label",
 )
 
+# Where the readers keep a line that does not fit the schema.
+CORRUPT = "corrupt_record"
+
 # Columns of our own canonical cell table that are not markers.
 CELL_COLUMNS = (
+    CORRUPT, "z_count", "z_sum",
     "image_id", "condition", "tissue_id", "cell_id", "x", "y",
     "area", "dapi", "cell_type", "slide_folder", "matched",
 )

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from cellweave.functions.names import (
     MATCHED_SUFFIX, RAW_SUFFIX, condition_prefix, detect_condition, file_name, strip_suffix, tissue_id)
 from cellweave.operators.skew import broadcast_if_small
-from cellweave.schema import RAW_CELL_SCHEMA, col, nan_to_null
+from cellweave.schema import CORRUPT, RAW_CELL_SCHEMA, nan_to_null
 
-CORRUPT = "corrupt_record"
-# Encodings tried in turn.
-ENCODINGS = ("utf-8", "latin-1", "cp1252", "utf-8-sig")
+# The first encoding tried, and the one that reads any bytes and so ends the search.
+FIRST_ENCODING = "UTF-8"
+LAST_ENCODING = "ISO-8859-1"
 
 MATCHED_CELL_SCHEMA = T.StructType([
     T.StructField("cell_id", T.StringType()), T.StructField("centroid_x", T.DoubleType()),
@@ -48,16 +48,32 @@ def file_header(spark: SparkSession, path: str, glob: str, sep: str = ",") -> li
     return [c for c in first[0] if c is not None] if first else []
 
 
+def not_utf8(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Files that hold bytes UTF-8 does not allow."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    return (lines.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("file_path"))
+            .distinct())
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, glob: str, sep: str = ",",
-                   encoding: str = "utf-8") -> DataFrame:
+                   encoding: str | None = None) -> DataFrame:
     """Files with a header under a folder; bad lines are kept apart, unreadable files skipped.
 
-    Columns are matched by header name, so files may order them differently.
+    The files share one column order, which is that of the schema. Without an encoding every
+    file is read as UTF-8, or as Latin-1 where it is not valid UTF-8.
     """
+    if encoding is None:
+        others = not_utf8(spark, path, glob)
+        first = read_delimited(spark, path, schema, glob, sep, FIRST_ENCODING)
+        if others.isEmpty():
+            return first
+        last = read_delimited(spark, path, schema, glob, sep, LAST_ENCODING)
+        others = broadcast_if_small(others, ["file_path"])
+        return first.join(others, "file_path", "left_anti").unionByName(last.join(others, "file_path", "left_semi"))
     reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
               .option("header", True).option("sep", sep).option("encoding", encoding)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("enforceSchema", True).option("ignoreCorruptFiles", True)
+              .option("enforceSchema", True).option("ignoreCorruptFiles", True).option("nanValue", "nan")
               .option("recursiveFileLookup", True).option("pathGlobFilter", glob))
     return reader.csv(path).withColumn("file_path", F.col("_metadata.file_path"))
 
@@ -69,7 +85,7 @@ def _header_schema(spark: SparkSession, path: str, glob: str, fixed: T.StructTyp
     return T.StructType([known.get(c, T.StructField(c, T.DoubleType())) for c in header]) if header else fixed
 
 
-def scan_cells(spark: SparkSession, path: str, conditions: list[str], encoding: str = "utf-8") -> DataFrame:
+def scan_cells(spark: SparkSession, path: str, conditions: list[str], encoding: str | None = None) -> DataFrame:
     """Raw cells of every ``*mesmer_result.csv`` in the slide folders, in canonical columns."""
     glob = "*" + RAW_SUFFIX
     text_columns = T.StructType([T.StructField("image_ID", T.StringType()), T.StructField("slide_folder", T.StringType())])
@@ -97,7 +113,7 @@ def canonical_cells(raw: DataFrame, conditions: list[str]) -> DataFrame:
 
 
 def scan_matched(spark: SparkSession, path: str, conditions: list[str], explicit: DataFrame | None = None,
-                 matched_only: bool = True, encoding: str = "utf-8") -> DataFrame:
+                 matched_only: bool = True, encoding: str | None = None) -> DataFrame:
     """Typed cells of every ``*_matched_with_boundaries.csv``; hidden files are not read."""
     glob = "*" + MATCHED_SUFFIX
     schema = _header_schema(spark, path, glob, MATCHED_CELL_SCHEMA)
