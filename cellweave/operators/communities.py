@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.operators.lineage import materialize
-from cellweave.operators.skew import join_group_stats
+from cellweave.operators.skew import SMALL_ROWS, is_small, join_group_stats
 
 # Fixed value: default resolution of the modularity.
 RESOLUTION = 0.5
@@ -16,21 +16,25 @@ def _totals(state: DataFrame) -> DataFrame:
     return state.groupBy("label").agg(F.sum("degree").alias("label_degree"))
 
 
-def _move(edges: DataFrame, state: DataFrame, two_m: float, resolution: float, turn: int) -> DataFrame:
+def _move(edges: DataFrame, state: DataFrame, two_m: float, resolution: float, turn: int, small: bool) -> DataFrame:
     """One round: half of the nodes go to the neighbouring label with the best gain.
 
-    Taking turns by a hash keeps two nodes from swapping labels for ever.
+    Taking turns by a hash keeps two nodes from swapping labels for ever. ``small`` says the
+    number of nodes, and with it that of labels, is within the broadcast bound.
     """
+    def sized(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
     # Links are added up per node and label before any further join. A joined node's inner
     # links go where it goes, so they favour no label.
-    links = (edges.where("src <> dst").join(state.select(F.col("node").alias("dst"), F.col("label").alias("to")), "dst")
+    labels = state.select(F.col("node").alias("dst"), F.col("label").alias("to"))
+    links = (edges.where("src <> dst").join(sized(labels), "dst")
              .groupBy(F.col("src").alias("node"), "to").agg(F.sum("weight").alias("links")))
     totals = _totals(state)
     own = state.select("node", F.col("label").alias("own"), "degree")
-    options = links.unionByName(state.select("node", F.col("label").alias("to"), F.lit(0.0).alias("links")))
-    options = options.groupBy("node", "to").agg(F.sum("links").alias("links"))
-    options = join_group_stats(options.join(own, "node"),
-                               totals.withColumnRenamed("label", "to"), ["to"])
+    stay = state.select("node", F.col("label").alias("to"), F.lit(0.0).alias("links"))
+    options = (links.unionByName(stay).join(sized(own), "node")
+               .join(sized(totals.withColumnRenamed("label", "to")), "to"))
     stays = F.col("to") == F.col("own")
     without = F.col("label_degree") - F.when(stays, F.col("degree")).otherwise(0.0)
     gain = F.col("links") - F.lit(resolution) * F.col("degree") * without / F.lit(two_m)
@@ -43,12 +47,13 @@ def _move(edges: DataFrame, state: DataFrame, two_m: float, resolution: float, t
                        (moves & (-F.col("best.order") != F.col("own"))).alias("moved"))
 
 
-def communities(edges: DataFrame, resolution: float = RESOLUTION, rounds: int = 12, levels: int = 3) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = RESOLUTION, rounds: int = 8, levels: int = 3) -> DataFrame:
     """(node, community) from undirected edges (src, dst, weight), listed both ways.
 
     Within a level labels move for a fixed number of rounds, or until none does twice; then
-    each community becomes a node and the next level joins communities. Community numbers
-    go by size, ties by smallest member.
+    each community becomes a node and the next level joins communities. Up to the driver
+    bound communities are numbered by size, then smallest member; beyond it each keeps the
+    number of its smallest member, as numbering would sort them all in one task.
     """
     graph = materialize(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")))
     two_m = graph.agg(F.sum("weight")).first()[0]
@@ -59,9 +64,10 @@ def communities(edges: DataFrame, resolution: float = RESOLUTION, rounds: int =
         state = graph.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("degree")).select(
             "node", F.col("node").alias("label"), "degree")
         state = materialize(state)
+        small = state.count() <= SMALL_ROWS
         moved_ever, still = False, 0
         for turn in range(rounds):
-            moved = materialize(_move(graph, state, two_m, resolution, turn))
+            moved = materialize(_move(graph, state, two_m, resolution, turn, small))
             any_moved = not moved.where("moved").isEmpty()
             moved_ever |= any_moved
             still = 0 if any_moved else still + 1
@@ -78,7 +84,10 @@ def communities(edges: DataFrame, resolution: float = RESOLUTION, rounds: int =
             .join(names.select(F.col("node").alias("dst"), F.col("label").alias("b")), "dst")
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("weight").alias("weight")))
     sizes = member.groupBy("community").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
-    # One row per community.
+    sizes = materialize(sizes)
+    if not is_small(sizes, ["community"]):
+        named = sizes.select("community", F.col("first").alias("cluster"))
+        return member.join(named, "community").select("node", F.col("cluster").alias("community"))
     numbered = sizes.select("community", (F.row_number().over(
         Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "first")) - 1).alias("cluster"))
     return join_group_stats(member, numbered, ["community"]).select("node", F.col("cluster").alias("community"))

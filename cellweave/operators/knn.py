@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cellweave.operators.lineage import materialize
 
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 BLOCK_ROWS = 2_000
 
 

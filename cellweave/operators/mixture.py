@@ -12,8 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from cellweave.operators.lineage import materialize
 from cellweave.operators.markers import unpivot_markers
 from cellweave.operators.ordered import percentiles
 from cellweave.operators.skew import GROUP_ROWS, join_group_stats
@@ -58,17 +58,21 @@ def sample_cells(long: DataFrame, id_columns: list[str], cap: int, seed: int = 4
 
 def tally(long: DataFrame) -> DataFrame:
     """Finite values per marker with how often each occurs."""
-    return finite_values(long).groupBy("marker", "value").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    return finite_values(long).groupBy("marker", "value").agg(F.count(F.lit(1)).alias("w"))
 
 
-def starting_fits(long: DataFrame, n_components: int = 2, limit: int = GROUP_ROWS) -> dict[str, list[Component]]:
+def starting_fits(tallied: DataFrame, n_components: int = 2, limit: int = GROUP_ROWS) -> dict[str, list[Component]]:
     """Split each marker at its median (or even quantiles) and take the moments of the parts."""
-    shares = [i / n_components for i in range(1, n_components)]
-    cuts = percentiles(long, ["marker"], {f"cut_{i}": ("value", p) for i, p in enumerate(shares)}, limit)
-    part = sum([(F.col("value") > F.col(f"cut_{i}")).cast("int") for i in range(len(shares))], F.lit(0))
-    moments = (long.join(F.broadcast(cuts), "marker").groupBy("marker", part.alias("part"))
-               .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-                    F.var_pop("value").alias("variance")))
+    shares = [i / n_components for i in range(1, n_components)] or [0.5]
+    cuts = percentiles(tallied, ["marker"], {f"cut_{i}": ("value", p) for i, p in enumerate(shares)}, limit, "w")
+    part = sum([(F.col("value") > F.col(f"cut_{i}")).cast("int") for i in range(n_components - 1)], F.lit(0))
+    # Values are taken from the first cut, so large values do not cancel out small spreads.
+    gap = F.col("value") - F.col("cut_0")
+    sums = (tallied.join(F.broadcast(cuts), "marker").groupBy("marker", "cut_0", part.alias("part"))
+            .agg(F.sum("w").alias("n"), F.sum(F.col("w") * gap).alias("s1"), F.sum(F.col("w") * gap * gap).alias("s2")))
+    shift = F.col("s1") / F.col("n")
+    moments = sums.select("marker", "part", "n", (F.col("cut_0") + shift).alias("mean"),
+                          (F.col("s2") / F.col("n") - shift * shift).alias("variance"))
     parts: dict[str, dict[int, tuple]] = {}
     for r in moments.collect():
         parts.setdefault(r["marker"], {})[r["part"]] = (r["n"], r["mean"], r["variance"])
@@ -112,31 +116,32 @@ def _round(tallied: DataFrame, fits: dict[str, list[Component]]) -> DataFrame:
 
 def fit_mixtures(long: DataFrame, n_components: int = 2, max_rounds: int = MAX_ROUNDS,
                  tolerance: float = TOLERANCE, limit: int = GROUP_ROWS) -> dict[str, list[Component]]:
-    """Fitted components per marker, lowest mean first, from rows (marker, value).
+    """Fitted components per marker, lowest mean first, from rows (marker, value)."""
+    return fit_tallied(materialize(tally(long)), n_components, max_rounds, tolerance, limit)
+
+
+def fit_tallied(tallied: DataFrame, n_components: int = 2, max_rounds: int = MAX_ROUNDS,
+                tolerance: float = TOLERANCE, limit: int = GROUP_ROWS) -> dict[str, list[Component]]:
+    """The same from a written table of distinct values.
 
     Every round is one aggregation over all markers still moving; a marker is done when its
     mean log-likelihood changes by less than the tolerance.
     """
-    values = finite_values(long)
-    fits = starting_fits(values, n_components, limit)
-    tallied = tally(values).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        moving = dict(fits)
-        last: dict[str, float] = {}
-        for _ in range(max_rounds):
-            if not moving:
-                break
-            for r in _round(tallied, moving).collect():
-                marker, old = r["marker"], moving[r["marker"]]
-                fits[marker] = [_updated(old[k], r, k) for k in range(n_components)]
-                level = r["log_likelihood"] / r["n"]
-                if abs(level - last.get(marker, -math.inf)) < tolerance:
-                    del moving[marker]
-                else:
-                    moving[marker] = fits[marker]
-                last[marker] = level
-    finally:
-        tallied.unpersist()
+    fits = starting_fits(tallied, n_components, limit)
+    moving = dict(fits)
+    last: dict[str, float] = {}
+    for _ in range(max_rounds):
+        if not moving:
+            break
+        for r in _round(tallied, moving).collect():
+            marker, old = r["marker"], moving[r["marker"]]
+            fits[marker] = [_updated(old[k], r, k) for k in range(n_components)]
+            level = r["log_likelihood"] / r["n"]
+            if abs(level - last.get(marker, -math.inf)) < tolerance:
+                del moving[marker]
+            else:
+                moving[marker] = fits[marker]
+            last[marker] = level
     return {m: sorted(f, key=lambda c: c.mean) for m, f in fits.items()}
 
 
@@ -163,12 +168,14 @@ def thresholds_from_long(long: DataFrame, by_marker: dict[str, float], default:
     Markers with too few finite values, or whose fit breaks down, get their 95th percentile.
     ``max_cells`` fits on a sample of that size; the default fits on all cells.
     """
-    values = finite_values(long)
-    fitted = values if max_cells is None else sample_cells(values, id_columns or ["value"], max_cells, seed)
-    sizes = {r["marker"]: r["count"] for r in values.groupBy("marker").count().collect()}
+    tallied = materialize(tally(long))
+    fitted = tallied
+    if max_cells is not None:
+        fitted = materialize(tally(sample_cells(finite_values(long), id_columns or ["value"], max_cells, seed)))
+    sizes = {r["marker"]: r["n"] for r in tallied.groupBy("marker").agg(F.sum("w").alias("n")).collect()}
     enough = [m for m, n in sizes.items() if n >= FEWEST_VALUES]
-    fits = fit_mixtures(fitted.where(F.col("marker").isin(*enough)), n_components,
-                        max_rounds, tolerance, limit) if enough else {}
+    fits = fit_tallied(fitted.where(F.col("marker").isin(*enough)), n_components,
+                       max_rounds, tolerance, limit) if enough else {}
     rows = []
     for marker, components in fits.items():
         low = components[0]
@@ -177,8 +184,8 @@ def thresholds_from_long(long: DataFrame, by_marker: dict[str, float], default:
             rows.append((marker, threshold, "mixture"))
     rest = [m for m in sizes if m not in {r[0] for r in rows}]
     if rest:
-        tail = percentiles(values.where(F.col("marker").isin(*rest)), ["marker"],
-                           {"threshold": ("value", FALLBACK_SHARE)}, limit)
+        tail = percentiles(tallied.where(F.col("marker").isin(*rest)), ["marker"],
+                           {"threshold": ("value", FALLBACK_SHARE)}, limit, "w")
         rows += [(r["marker"], r["threshold"], "percentile") for r in tail.collect()]
     return long.sparkSession.createDataFrame(rows, "marker string, threshold double, method string")
 

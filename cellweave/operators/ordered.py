@@ -87,9 +87,11 @@ def running_counts(rows: DataFrame, keys: list[str], value: str, counts: dict[st
 
 
 def percentiles(rows: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]],
-                limit: int = GROUP_ROWS) -> DataFrame:
+                limit: int = GROUP_ROWS, weight: str | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation: ``wanted`` is {name: (column, share)}.
 
+    ``weight`` names a whole-number column that says how often each row counts.
+
     Groups within the limit use the built-in exact aggregate. With heavier groups the two
     neighbouring order statistics are looked up by their position in the running counts.
     """
@@ -101,20 +103,22 @@ def percentiles(rows: DataFrame, keys: list[str], wanted: dict[str, tuple[str, f
     group = [col(k) for k in keys]
     if heavy_groups(rows, keys, limit) is None:
         arrays = rows.groupBy(*group).agg(*[
-            F.percentile(col(s), F.array(*[F.lit(float(p)) for p in shares])).alias(f"percentiles_{i}")
+            F.percentile(col(s), F.array(*[F.lit(float(p)) for p in shares]),
+                         F.lit(1) if weight is None else col(weight)).alias(f"percentiles_{i}")
             for i, (s, shares) in enumerate(sources.items())])
         index = {s: i for i, s in enumerate(sources)}
         return arrays.select(*group, *[
             F.col(f"percentiles_{index[s]}")[sources[s].index(p)].alias(name)
             for name, (s, p) in wanted.items()])
 
-    long = rows.select(*group, F.explode(F.array(*[
+    times = (F.lit(1) if weight is None else col(weight)).cast("bigint")
+    long = rows.select(*group, times.alias("times"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("source"), col(s).cast("double").alias("value"))
-        for i, s in enumerate(sources)])).alias("pair")).select(*group, "pair.*")
+        for i, s in enumerate(sources)])).alias("pair")).select(*group, "times", "pair.*")
     by = keys + ["source"]
-    counted, _ = running_counts(long, by, "value", {"n": F.count(F.lit(1))}, limit)
+    counted, _ = running_counts(long, by, "value", {"n": F.sum("times")}, limit)
     totals = long.where("value is not null").groupBy(*[col(k) for k in by]).agg(
-        F.count(F.lit(1)).alias("n_total"))
+        F.sum("times").alias("n_total"))
     placed = counted.join(totals, by)
     order = list(sources)
     picks = []

@@ -80,7 +80,7 @@ def histogram(rows: DataFrame, keys: list[str], value: str, bins: int = HISTOGRA
                                       F.max(col(value)).cast("double").alias("high"))
              .select(*keys, F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
                      F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high")))
-    # Equal values are added up first, so hot bins arrive as few partial counts.
+    # Bins are counted before the shuffle, so a hot group arrives as one row per bin and task.
     place = F.least(F.floor((col(value) - F.col("low")) * F.lit(bins) / (F.col("high") - F.col("low"))),
                     F.lit(bins - 1))
     counts = (join_group_stats(known.select(*keys, col(value)), edges, keys)

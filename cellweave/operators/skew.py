@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cellweave.schema import col
 
 # Rows of one group that a single task may sort or buffer.
-GROUP_ROWS = 2_000_000
+GROUP_ROWS = 1_000_000
 # Rows of a table that may be broadcast or listed on the driver.
 SMALL_ROWS = 20_000
 
