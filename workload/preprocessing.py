@@ -78,28 +78,30 @@ cleaned AS (SELECT s.image_id, s.cell_id FROM scored s JOIN cutoffs USING (image
 
 
 def thresholds(spark, sf):
-    return qc.percentile_thresholds(cells(spark, sf), PCT, PCT)
+    """One row per image, written once: every later step joins it back."""
+    return materialize(qc.percentile_thresholds(cells(spark, sf), PCT, PCT))
 
 
-def filtered(spark, sf):
-    return qc.qc_filter(cells(spark, sf), thresholds(spark, sf))
+def filtered(spark, sf, thr=None):
+    return qc.qc_filter(cells(spark, sf), thr if thr is not None else thresholds(spark, sf))
 
 
-def normalised(spark, sf):
-    return qc.zscore(filtered(spark, sf).select("image_id", "cell_id", *MARKERS), MARKERS)
+def normalised(spark, sf, thr=None):
+    return qc.zscore(filtered(spark, sf, thr).select("image_id", "cell_id", *MARKERS), MARKERS)
 
 
-def scored(spark, sf):
+def scored(spark, sf, thr=None):
     """Normalised cells with their scores, written once: the cutoffs and the filter both read them."""
-    return materialize(qc.add_scores(normalised(spark, sf), MARKERS).select("image_id", "cell_id", "z_count", "z_sum"))
+    scores = qc.add_scores(normalised(spark, sf, thr), MARKERS)
+    return materialize(scores.select("image_id", "cell_id", "z_count", "z_sum"))
 
 
 def cutoffs(scores):
     return materialize(qc.noise_cutoffs(scores))
 
 
-def cleaned(spark, sf):
-    scores = scored(spark, sf)
+def cleaned(spark, sf, thr=None):
+    scores = scored(spark, sf, thr)
     return qc.noise_filter(scores, cutoffs(scores))
 
 
@@ -171,7 +173,8 @@ classified AS (
 
 def classified(spark, sf):
     raw = cells(spark, sf).select("image_id", "cell_id", "condition", "tissue_id", "x", "y", "area", "dapi")
-    return qc.classify(raw, cleaned(spark, sf), thresholds(spark, sf))
+    thr = thresholds(spark, sf)
+    return qc.classify(raw, cleaned(spark, sf, thr), thr)
 
 
 @query("qc_classify", f"WITH {CELLS}, {CLASSIFIED} SELECT image_id, cell_id, classification FROM classified")
@@ -184,7 +187,8 @@ keys AS (SELECT DISTINCT image_id, x, y FROM filtered)
 SELECT c.image_id, c.cell_id, k.x IS NOT NULL AS included
 FROM cells c LEFT JOIN keys k ON c.image_id = k.image_id AND c.x = k.x AND c.y = k.y""")
 def included_semi(spark, sf):
-    marked = qc.classify(cells(spark, sf), filtered(spark, sf), thresholds(spark, sf), by_coordinates=True)
+    thr = thresholds(spark, sf)
+    marked = qc.classify(cells(spark, sf), filtered(spark, sf, thr), thr, by_coordinates=True)
     return marked.select("image_id", "cell_id", (F.col("classification") == qc.INCLUDED).alias("included"))
 
 
@@ -223,10 +227,11 @@ stats AS (
 def stats(spark, sf):
     done = table(spark, sf, "supplier").where("s_acctbal < 0").select(
         F.format_string("reg%03d", "s_suppkey").alias("image_id"))
-    scores = scored(spark, sf)
+    thr = thresholds(spark, sf)
+    scores = scored(spark, sf, thr)
     cuts = cutoffs(scores)
-    return qc.processing_stats(cells(spark, sf), filtered(spark, sf), qc.noise_filter(scores, cuts), cuts,
-                               thresholds(spark, sf), done)
+    return qc.processing_stats(cells(spark, sf), filtered(spark, sf, thr), qc.noise_filter(scores, cuts), cuts,
+                               thr, done)
 
 
 @query("processing_stats", f"""WITH {CELLS}, {STATS}
