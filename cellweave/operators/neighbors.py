@@ -26,6 +26,9 @@ SIDE_IN_RADII = 2.0
 SQUARE_CELLS = 4_000
 
 _SQUARE = ["image_id", "bx", "by"]
+# One number per square leads the join key: sorting by it is far cheaper than by the image's
+# name. The square itself stays in the key, so equal hashes of two squares do no harm.
+_KEY = ["square", *_SQUARE]
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,7 @@ def _home_square(df: DataFrame, side: Side, edge: float) -> DataFrame:
     return df.withColumns({
         "bx": F.floor(side.x() / edge),
         "by": F.floor(side.y() / edge),
-    })
+    }).withColumn("square", F.xxhash64(*_SQUARE))
 
 
 def _touched_squares(df: DataFrame, side: Side, radius: float, edge: float) -> DataFrame:
@@ -72,7 +75,8 @@ def _touched_squares(df: DataFrame, side: Side, radius: float, edge: float) -> D
     def reach(v: Column) -> Column:
         return F.explode(F.sequence(F.floor((v - wide) / edge), F.floor((v + wide) / edge)))
     return (df.withColumn("bx", reach(side.x()))
-            .withColumn("by", reach(side.y())))
+            .withColumn("by", reach(side.y()))
+            .withColumn("square", F.xxhash64(*_SQUARE)))
 
 
 def _crowded(sides: list[Side], edge: float, limit: int) -> DataFrame | None:
@@ -145,7 +149,7 @@ def _blocked(df: DataFrame, role: int, id_col: Column, blocks: DataFrame, n_role
 
 def _meet(anchor: Side, partners: list[Side], radius: float, edge: float,
           crowded: tuple[DataFrame, bool] | None, also: list[Column | None]) -> DataFrame:
-    keys = list(_SQUARE)
+    keys = list(_KEY)
     anchors = _home_square(anchor.renamed(), anchor, edge)
     copies = [_touched_squares(p.renamed(), p, radius, edge) for p in partners]
     if crowded is not None:
@@ -192,7 +196,7 @@ def radius_pairs(anchors: DataFrame, partners: DataFrame, radius: float,
     """All ordered pairs (anchor, neighbor) of different cells within the radius, per image."""
     a, n = Side(anchors, "anchor", anchor_extra), Side(partners, "neighbor", partner_extra)
     pairs = meet(a, [n], radius, limit=limit)
-    return pairs.drop("bx", "by").withColumn(
+    return pairs.drop("bx", "by", "square").withColumn(
         "dist_px", F.sqrt(squared_distance(a.x(), a.y(), n.x(), n.y())))
 
 
@@ -214,7 +218,7 @@ def type_counts(anchors: DataFrame, partners: DataFrame, radius: float, limit: i
     crowded = crowded_blocks(anchor, [neighbor], radius, edge, limit)
     if crowded is None:
         met = _meet(anchor, [neighbor], radius, edge, None, [None])
-        return (met.groupBy("image_id", "bx", "by", "anchor_cell_id",
+        return (met.groupBy(*_KEY, "anchor_cell_id",
                             F.col("neighbor_cell_type").alias("neighbor_type"))
                 .agg(F.count(F.lit(1)).alias("n")).select(*keys, "n"))
     place = F.concat_ws(",", F.col("x").cast("string"), F.col("y").cast("string"))
