@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.llm import decontaminate, language, mixing, simhash
+from cellweave.llm import archives, blocks, decontaminate, language, licences, mixing, preferences, simhash, urls, weighted
 from cellweave.llm.common import table
 
 SQL: dict[str, str] = {}
 
 
+def op1_archives(spark, sf_dir):
+    return archives.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_archives"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM f"""
+
+
 def op2_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +45,78 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 
 
+def op3_urls(spark, sf_dir):
+    return urls.judged(table(spark, sf_dir, "pages")).select("page.page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op4_preferences(spark, sf_dir):
+    found = preferences.formatted(preferences.last_answer_pairs(table(spark, sf_dir, "conversations")))
+    return found.select(
+        "pair.pair_id", "prompt_turns", "prompt", "chosen", preferences.spans_text(F.col("chosen_spans")).alias("chosen_spans"),
+        "rejected", preferences.spans_text(F.col("rejected_spans")).alias("rejected_spans"))
+
+
+_SAFE = "replace(replace({}, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')"
+_HEADER = "'<|im_start|>' || " + _SAFE.format("x.role") + " || chr(10)"
+_BODY = _SAFE.format("x.text") + " || '<|im_end|>'"
+
+
+def _rendered(turns: str) -> str:
+    return f"coalesce(array_to_string(list_transform({turns}, lambda x: {_HEADER} || {_BODY} || chr(10)), ''), '')"
+
+
+def _spans(turns: str) -> str:
+    heads, bodies = f"list_transform({turns}, lambda x: length({_HEADER}))", f"list_transform({turns}, lambda x: length({_BODY}) + 1)"
+    start = (f"CAST(coalesce(list_sum(({heads})[1:i]), 0) + coalesce(list_sum(({bodies})[1:i - 1]), 0) AS BIGINT)")
+    return (f"coalesce(array_to_string(list_transform(list_filter(range(1, len({turns}) + 1), lambda i: ({turns})[i].role = 'assistant'), "
+            f"lambda i: {start} || '-' || ({start} + ({bodies})[i] - 1)), ','), '')")
+
+
+SQL["op4_preferences"] = f"""WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+g AS (SELECT conv_id AS id, list({{'role': coalesce(role, 'user'), 'text': coalesce(text, '')}}
+  ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns FROM t GROUP BY conv_id),
+k AS (SELECT id, turns, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) AS k FROM g),
+p AS (SELECT a.id, a.turns[1:a.k] AS good, list_append(a.turns[1:a.k - 1], b.turns[b.k]) AS bad
+  FROM k a JOIN k b ON b.id = xor(a.id, 1) WHERE a.k IS NOT NULL AND b.k IS NOT NULL),
+n AS (SELECT id, good, bad, coalesce(list_min(list_filter(range(1, greatest(len(good), len(bad)) + 1),
+  lambda i: good[i] IS DISTINCT FROM bad[i])) - 1, len(good)) AS n FROM p),
+c AS (SELECT id, CAST(n AS INTEGER) AS n, good[1:n] AS shared, good[n + 1:] AS good, bad[n + 1:] AS bad FROM n)
+SELECT id AS pair_id, n AS prompt_turns, {_rendered('shared')} AS prompt, {_rendered('good')} AS chosen, {_spans('good')} AS chosen_spans,
+  {_rendered('bad')} AS rejected, {_spans('bad')} AS rejected_spans FROM c"""
+
+
+def op5_licences(spark, sf_dir):
+    found = licences.recognised(table(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join("licences", ","))
+
+
+def _licence_sql() -> str:
+    forms = ", ".join(f"('{s}', '{i}')" for i, known in licences.SENTENCES.items() for s in known)
+    parts = [f"""WITH known(sentence, sentence_id) AS (VALUES {forms}),
+cut AS (SELECT DISTINCT doc_id, string_split(regexp_replace(regexp_replace(text, '([.!?;])[ \t\r\n]+', '\1' || chr(1), 'g'),
+  '\r?\n[ \t\r]*\n', chr(1), 'g'), chr(1)) AS s FROM documents),
+whole AS (SELECT doc_id, i AS pos, s[i] AS sentence FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM cut)),
+pieces AS (SELECT doc_id, pos, 0 AS line, sentence FROM whole UNION ALL SELECT doc_id, pos, j AS line, l[j] AS sentence FROM (
+  SELECT doc_id, pos, l, unnest(range(1, len(l) + 1)) AS j FROM (SELECT doc_id, pos, string_split(sentence, chr(10)) AS l FROM whole
+  WHERE contains(sentence, chr(10))))),
+plain AS (SELECT doc_id, pos, line, regexp_replace(trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')),
+  '^neither the name of .+ nor the names of ', 'neither the name of holder nor the names of ') AS sentence FROM pieces),
+found AS (SELECT DISTINCT doc_id, pos, line, sentence_id FROM plain JOIN known USING (sentence)),
+r0 AS (SELECT doc_id, count(*) AS n, string_agg('<' || sentence_id || '>', '' ORDER BY pos, line, sentence_id) AS sequence,
+  string_agg('<' || sentence_id || '>', '' ORDER BY pos, line, sentence_id) AS rest, CAST([] AS VARCHAR[]) AS named FROM found GROUP BY doc_id)"""]
+    for k, (licence, ids) in enumerate(licences.RULES):
+        run = licences.run_of(ids)
+        parts.append(f"r{k + 1} AS (SELECT doc_id, n, sequence, replace(rest, '{run}', '|') AS rest, CASE WHEN contains(rest, '{run}') "
+                     f"AND NOT list_contains(named, '{licence}') THEN list_append(named, '{licence}') ELSE named END AS named FROM r{k})")
+    return ",\n".join(parts) + f"""
+SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(sequence, '') AS sequence, coalesce(array_to_string(named, ','), '') AS licences,
+  CAST(coalesce(len(regexp_extract_all(rest, '<')), 0) AS BIGINT) AS n_unmatched
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN r{len(licences.RULES)} r ON d.doc_id IS NOT DISTINCT FROM r.doc_id"""
+
+
+SQL["op5_licences"] = _licence_sql()
+
+
 def op6_near_copies(spark, sf_dir):
     found = simhash.near_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -45,6 +129,15 @@ def op7_language(spark, sf_dir):
         "doc.doc_id", language.held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_fingerprints(spark, sf_dir):
+    return weighted.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+def op9_main_text(spark, sf_dir):
+    found = blocks.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page.page_id", "page.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op10_mix(spark, sf_dir):
     found = mixing.decide(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -65,4 +158,6 @@ n AS (SELECT s.*, q.* EXCLUDE (source), row_number() OVER (PARTITION BY s.source
   FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target, CAST((floor(rate * i + u) - floor(rate * (i - 1) + u)) * size AS BIGINT) AS taken FROM n"""
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op6_near_copies, op7_language, op10_mix)}
+QUERIES = {f.__name__: f for f in (
+    op1_archives, op2_decontaminate, op3_urls, op4_preferences, op5_licences, op6_near_copies, op7_language, op8_fingerprints,
+    op9_main_text, op10_mix)}
