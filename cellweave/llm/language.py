@@ -191,7 +191,8 @@ def train(labelled: DataFrame, fit: Fit = Fit()) -> tuple[list[str], np.ndarray,
                 seen: Counter = Counter()
                 for text in texts:
                     seen.update(letters_of(text))
-                yield pd.DataFrame({"lang": lang, "word": list(seen), "n": list(seen.values())}, columns=["lang", "word", "n"])
+                if seen:
+                    yield pd.DataFrame({"lang": lang, "word": list(seen), "n": list(seen.values())})
 
     def fitted(rows: pd.DataFrame) -> pd.DataFrame:
         lattice = Lattice(shared.value)
