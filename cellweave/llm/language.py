@@ -18,6 +18,7 @@ are judged each.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 UNKNOWN_LANGUAGE = "und"
 WORD = regex.compile(r"\p{L}+")
+_PLAIN = re.compile("[a-z]+")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _START = "▁"
 # Words scored in one pass, the letters of a word scored in one piece, and words remembered by a task.
@@ -56,63 +58,89 @@ def read_pieces(path: str) -> list[str]:
 
 
 class Lattice:
-    """The pieces of words, and sums over all segmentations."""
+    """The pieces of words, and sums over all segmentations.
+
+    Pieces are a tree over letters, walked for all places of many words at once: a step looks up (node, letter) in a
+    sorted array and keeps the places that go on.
+    """
 
     def __init__(self, pieces: list[str]):
         letters = [p for p in pieces if WORD.fullmatch(p.removeprefix(_START)) or p == _START]
         self.ids = {p: i for i, p in enumerate(dict.fromkeys(letters))}
         self.unknown = len(self.ids)
         self.size = self.unknown + 1
-        self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        self.longest = max(map(len, self.ids), default=1)
+        alphabet = sorted({c for p in self.ids for c in p})
+        self.letter = np.zeros(0x110000, dtype=np.int32)
+        self.letter[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.letters = len(alphabet) + 1
+        nodes = {"": 0} | {p: n for n, p in enumerate(sorted({p[:k] for p in self.ids for k in range(1, len(p) + 1)}), start=1)}
+        edges = sorted((nodes[p[:-1]] * self.letters + int(self.letter[ord(p[-1])]), n, self.ids.get(p, -1)) for p, n in nodes.items() if p)
+        self.keys, self.next, self.piece = (np.array([e[k] for e in edges] + [[2 ** 62, 0, -1][k]], dtype=np.int64) for k in range(3))
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word, first place, last place and piece of every arc, in the order of the last place."""
-        found, ids, starts, unknown = [], self.ids, self.starts, self.unknown
-        for w, word in enumerate(words):
-            text = _START + word
-            n = len(text)
-            for i in range(n):
-                single = True
-                for j in range(i + 1, n + 1):
-                    part = text[i:j]
-                    if part not in starts:
-                        break
-                    if (piece := ids.get(part)) is not None:
-                        found.append((w, i, j, piece))
-                        single = single and j > i + 1
-                if single:
-                    found.append((w, i, i + 1, unknown))
-        table = np.array(found, dtype=np.int32).reshape(-1, 4)
-        table = table[np.lexsort((table[:, 1], table[:, 2]))]
-        return table[:, 0], table[:, 1], table[:, 2], table[:, 3]
+        """Word, first place, last place and piece of every arc, in the order of the last and the first place."""
+        texts = np.array([_START + w for w in words])
+        places = texts.dtype.itemsize // 4
+        marks = np.zeros((len(words), places + 1), dtype=np.int64)
+        codes = texts.view(np.uint32).reshape(len(words), places)
+        marks[:, :places] = self.letter[codes]
+        w, i = np.nonzero(codes)
+        single = np.zeros((len(words), places), dtype=bool)
+        node, j = np.zeros(len(w), dtype=np.int64), i
+        found = []
+        while len(w):
+            letter = marks[w, j]
+            key = node * self.letters + letter
+            at = np.searchsorted(self.keys, key)
+            on = (self.keys[at] == key) & (letter > 0)
+            w, i, j, at = w[on], i[on], j[on] + 1, at[on]
+            node, piece = self.next[at], self.piece[at]
+            whole = piece >= 0
+            found.append((j[whole] << 51) | (i[whole] << 39) | (w[whole] << 17) | piece[whole])
+            if len(found) == 1:
+                single[w[whole], i[whole]] = True
+            more = j < places
+            w, i, j, node = w[more], i[more], j[more], node[more]
+        w, i = np.nonzero(~single & (codes != 0))
+        found.append(((i + 1) << 51) | (i << 39) | (w << 17) | self.unknown)
+        table = np.sort(np.concatenate(found))
+        return (table >> 17) & 0x3FFFFF, (table >> 39) & 0xFFF, table >> 51, table & 0x1FFFF
 
     @staticmethod
-    def _steps(keys: np.ndarray) -> Iterator[slice]:
-        cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        yield from (slice(a, b) for a, b in zip(cuts, np.r_[cuts[1:], len(keys)], strict=True))
+    def _steps(*keys: np.ndarray) -> Iterator[slice]:
+        """Runs of equal keys: arcs between the same two places, of which a word has at most one."""
+        change = np.zeros(max(0, len(keys[0]) - 1), dtype=bool)
+        for k in keys:
+            change |= k[1:] != k[:-1]
+        cuts = np.flatnonzero(np.r_[True, change])
+        yield from (slice(a, b) for a, b in zip(cuts, np.r_[cuts[1:], len(keys[0])], strict=True))
 
     def forward(self, words: list[str], prob: np.ndarray) -> tuple:
-        """Sums up to each place, kept in range by a scale per place; the log of the whole is returned first."""
+        """Sums up to each place. Every eighth place, the places still in reach are scaled; the log of the whole comes first."""
         n = np.array([len(w) + 1 for w in words])
         w, i, j, piece = arcs = self.arcs(words)
-        alpha = np.zeros((len(words), n.max() + 1, prob.shape[1]))
-        alpha[:, 0] = 1
-        scale = np.zeros((len(words), n.max() + 1, prob.shape[1]))
-        for s in self._steps(j.astype(np.int64) << 32 | i):  # arcs between two places: each word at most once
-            ww, a, b = w[s], i[s.start], j[s.start]
-            step = alpha[ww, a] * prob[piece[s]]
-            # Places are filled with the scale of the first arc that reaches them.
-            fresh = (alpha[ww, b] == 0).all(axis=1)
-            scale[ww[fresh], b] = scale[ww[fresh], a]
-            alpha[ww, b] += step * np.exp(scale[ww, a] - scale[ww, b])
-            if b % 8 == 0 and (s.stop == len(j) or j[s.stop] != b):
-                peak = alpha[:, b].copy()
-                there = peak > 0
-                scale[:, b][there] += np.log(peak[there])
-                alpha[:, b][there] = 1
+        alpha = np.zeros((n.max() + 1, len(words), prob.shape[1]))
+        alpha[0] = 1
+        scale = np.zeros((n.max() + 1, len(words)))
+        now = np.zeros(len(words))
+        last = 0
+        for s in self._steps(j, i):
+            a, b = i[s.start], j[s.start]
+            if b != last:
+                if last % 8 == 0 and last:
+                    peak = alpha[last].max(axis=1)
+                    peak[peak == 0] = 1
+                    reach = slice(max(0, last - self.longest), last + 1)
+                    alpha[reach] /= peak[:, None]
+                    now = now + np.log(peak)
+                    scale[reach] = now
+                scale[b], last = now, b
+            ww = w[s]
+            alpha[b, ww] += alpha[a, ww] * prob[piece[s]]
         rows = np.arange(len(words))
         with np.errstate(divide="ignore"):
-            return np.log(alpha[rows, n]) + scale[rows, n], alpha, scale, arcs, n
+            return np.log(alpha[n, rows]) + scale[n, rows][:, None], alpha, scale, arcs, n
 
     def scores(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language; words of like length together, so that memory stays bounded."""
@@ -120,9 +148,8 @@ class Lattice:
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         at = 0
         while at < len(order):
-            room = max(1, _CHUNK * 24 // (len(words[order[at]]) + 24))
-            some = order[at:at + room]
-            while len(some) > 1 and (len(words[some[-1]]) + 2) * len(some) > 2 * _CHUNK * 24:
+            some = order[at:at + _CHUNK]
+            while len(some) > 1 and (len(words[some[-1]]) + 2) * len(some) > 32 * _CHUNK:
                 some = some[:len(some) // 2]
             out[some] = self.forward([words[k] for k in some], prob)[0]
             at += len(some)
@@ -131,8 +158,7 @@ class Lattice:
     def fit(self, counts: Counter, rounds: int, smoothing: float) -> np.ndarray:
         """Expectation maximisation of piece probabilities from word counts."""
         prob = np.full(self.size, 1.0 / self.size)
-        words = sorted(counts)
-        words.sort(key=len)
+        words = sorted(counts, key=lambda w: (len(w), w))
         weight = np.array([counts[w] for w in words], dtype=float)
         for _ in range(rounds):
             expected = np.zeros(self.size)
@@ -143,23 +169,26 @@ class Lattice:
         return prob
 
     def _expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
+        """How often each piece is used, over all segmentations."""
         total, alpha, scale, (w, i, j, piece), n = self.forward(words, prob[:, None])
-        alpha = np.log(np.maximum(alpha[:, :, 0], 1e-300)) + scale[:, :, 0]
-        beta = np.full(alpha.shape, -np.inf)
-        beta[np.arange(len(words)), n] = 0
+        with np.errstate(divide="ignore"):
+            before = np.log(alpha[:, :, 0]) + scale
+        after = np.full(before.shape, -np.inf)
+        after[n, np.arange(len(words))] = 0
         order = np.lexsort((j, -i))
         w, i, j, piece = w[order], i[order], j[order], piece[order]
         log_prob = np.log(prob)
-        for s in self._steps((-i.astype(np.int64)) * (1 << 31) + j):
+        for s in self._steps(i, j):
             ww, a, b = w[s], i[s.start], j[s.start]
-            beta[ww, a] = np.logaddexp(beta[ww, a], beta[ww, b] + log_prob[piece[s]])
-        share = np.exp(alpha[w, i] + log_prob[piece] + beta[w, j] - total[w, 0]) * weight[w]
+            after[a, ww] = np.logaddexp(after[a, ww], after[b, ww] + log_prob[piece[s]])
+        share = np.exp(before[i, w] + log_prob[piece] + after[j, w] - total[w, 0]) * weight[w]
         return np.bincount(piece, weights=share, minlength=self.size)
 
 
 def letters_of(text: str | None) -> list[str]:
     """Words of a text; very long ones are cut, which only forbids pieces across the cut."""
-    found = WORD.findall((text or "").lower())
+    lower = (text or "").lower()
+    found = _PLAIN.findall(lower) if lower.isascii() else WORD.findall(lower)
     if max(map(len, found), default=0) <= _LONG:
         return found
     return [word[s:s + _LONG] for word in found for s in range(0, len(word), _LONG)]
