@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.lineage import materialize
-from cellweave.operators.skew import SMALL_ROWS, is_small, join_group_stats
+from cellweave.operators.skew import SMALL_ROWS
 
 # Fixed value: default resolution of the modularity.
 RESOLUTION = 0.5
+# No level needs nearly as many rounds; one that does is an error and not a result.
+_TOO_MANY_ROUNDS = 2_000
 
 
 def _totals(state: DataFrame) -> DataFrame:
@@ -42,55 +44,47 @@ def _move(edges: DataFrame, state: DataFrame, two_m: float, resolution: float, t
             .agg(F.max(F.struct(F.round("gain", 12).alias("gain"), (-F.col("to")).alias("order"))).alias("best"),
                  F.max(F.when(stays, F.round("gain", 12))).alias("stay_gain")))
     my_turn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
-    moves = my_turn & (F.col("best.gain") > F.col("stay_gain"))
-    return best.select("node", F.when(moves, -F.col("best.order")).otherwise(F.col("own")).alias("label"), "degree",
-                       (moves & (-F.col("best.order") != F.col("own"))).alias("moved"))
+    wants = (F.col("best.gain") > F.col("stay_gain")) & (-F.col("best.order") != F.col("own"))
+    return best.select("node", F.when(my_turn & wants, -F.col("best.order")).otherwise(F.col("own")).alias("label"), "degree",
+                       wants.alias("wants"))
 
 
-def communities(edges: DataFrame, resolution: float = RESOLUTION, rounds: int = 8, levels: int = 3) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = RESOLUTION) -> DataFrame:
     """(node, community) from undirected edges (src, dst, weight), listed both ways.
 
-    Within a level labels move for a fixed number of rounds, or until none does twice; then
-    each community becomes a node and the next level joins communities. Up to the driver
-    bound communities are numbered by size, then smallest member; beyond it each keeps the
-    number of its smallest member, as numbering would sort them all in one task.
+    Within a level labels move until no node gains by moving; then each community becomes a
+    node and the next level joins communities, until a level has nothing to move. A community
+    has the number of its smallest member.
     """
     graph = materialize(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")))
     two_m = graph.agg(F.sum("weight")).first()[0]
     member = graph.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node"))
     if not two_m:
         return member
-    for _ in range(levels):
+    while True:
         state = graph.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("degree")).select(
             "node", F.col("node").alias("label"), "degree")
         state = materialize(state)
         small = state.count() <= SMALL_ROWS
-        moved_ever, still = False, 0
-        for turn in range(rounds):
+        turn = 0
+        while True:
             moved = materialize(_move(graph, state, two_m, resolution, turn, small))
-            any_moved = not moved.where("moved").isEmpty()
-            moved_ever |= any_moved
-            still = 0 if any_moved else still + 1
-            state = moved.drop("moved")
-            if still == 2:
+            if moved.where("wants").isEmpty():
                 break
+            state, turn = moved.drop("wants"), turn + 1
+            if turn > _TOO_MANY_ROUNDS:
+                raise RuntimeError("labels keep moving; no communities at this resolution")
+        if not turn:
+            break
         member = materialize(member.join(state.select(F.col("node").alias("community"), "label"), "community")
                              .select("node", F.col("label").alias("community")))
-        if not moved_ever:
-            break
         names = state.select("node", "label")
         graph = materialize(
             graph.join(names.select(F.col("node").alias("src"), F.col("label").alias("a")), "src")
             .join(names.select(F.col("node").alias("dst"), F.col("label").alias("b")), "dst")
             .groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("weight").alias("weight")))
-    sizes = member.groupBy("community").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
-    sizes = materialize(sizes)
-    if not is_small(sizes, ["community"]):
-        named = sizes.select("community", F.col("first").alias("cluster"))
-        return member.join(named, "community").select("node", F.col("cluster").alias("community"))
-    numbered = sizes.select("community", (F.row_number().over(
-        Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "first")) - 1).alias("cluster"))
-    return join_group_stats(member, numbered, ["community"]).select("node", F.col("cluster").alias("community"))
+    first = member.groupBy("community").agg(F.min("node").alias("first"))
+    return member.join(first, "community").select("node", F.col("first").alias("community"))
 
 
 def modularity(edges: DataFrame, member: DataFrame, resolution: float = RESOLUTION) -> float:

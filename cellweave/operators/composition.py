@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.operators.skew import broadcast_if_small
 from cellweave.schema import UNASSIGNED, col
 
 
@@ -60,6 +59,6 @@ def label_clusters(cells: DataFrame, labels: DataFrame, cluster: str = "cluster"
     """
     named = labels.select(F.col("cluster").cast("string").alias("cluster_key"), F.col("label"))
     return (cells.withColumn("cluster_key", col(cluster).cast("string"))
-            .join(broadcast_if_small(named, ["cluster_key"]), "cluster_key", "left")
+            .join(named, "cluster_key", "left")
             .withColumn("cell_type", F.coalesce("label", F.lit(UNASSIGNED)))
             .drop("cluster_key", "label"))

@@ -1,10 +1,12 @@
-"""Exact k nearest neighbours, without comparing everything with everything.
-
-Vectors are grouped around pivots. From each group's radius and the distances already known
-around the pivots follows a bound on how far the k-th neighbour of any member can be; only
-vectors nearer to the pivot than radius plus bound are sent to the group. Large groups are
-cut into blocks that meet pairwise, and each block keeps only its own best k per vector.
-Equal vectors are collapsed to one first.
+"""k nearest neighbours: exact, or among the groups nearest to a vector.
+
+``exact`` compares all vectors with all, in blocks that meet pairwise and each keep their own
+best k per vector: quadratic work, for tables where that is wanted and as the measure of the
+other. ``grouped`` deals vectors to the nearest of a bounded number of pivots and compares a
+vector with the members of the ``probes`` pivots nearest to it: its work grows with a vector's
+share of the table, and its recall with ``probes``. Which one runs is the caller's choice and
+never depends on the size. Large groups are cut into blocks as well, and equal vectors are
+collapsed to one first.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from cellweave.operators.lineage import materialize
 
 
 MAX_PIVOTS = 1024
+PROBES = 24
 BLOCK_ROWS = 2_000
 
 
@@ -44,70 +47,33 @@ def _collapse(points: DataFrame, keep: int) -> DataFrame:
             .withColumn("site", F.col("ids")[0]))
 
 
-def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int = MAX_PIVOTS, probes: int = PROBES,
+        block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(src, dst, rank, dist) for the k nearest other points of each; ties by id.
 
     ``points`` has a whole-number ``id`` and ``vector``, an array of numbers.
     """
+    if method not in ("exact", "grouped"):
+        raise ValueError("method is exact or grouped")
     keep = k + 1
     points = points.select(F.col("id").cast("bigint").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
     sites = materialize(_collapse(points, keep))
-    n_pivots = max(1, min(max_pivots, int(sites.count() ** 0.5)))
-    chosen = sites.select("site", "vector").orderBy(F.xxhash64("site"), "site").limit(n_pivots)
-    pivots = np.array([r["vector"] for r in chosen.collect()], dtype=float)
-
-    def to_pivots(batch: pd.DataFrame) -> np.ndarray:
-        return np.sqrt(_distances(pivots, np.stack(batch["vector"].to_numpy()))).T
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                d = to_pivots(batch)
-                home = d.argmin(axis=1)
-                yield batch.assign(home=home.astype("int32"), to_home=d[np.arange(len(d)), home])
-
-    site_type = "site bigint, ids array<bigint>, vector array<double>, home int"
-    placed = materialize(sites.select("site", "ids", "vector").mapInPandas(place, site_type + ", to_home double"))
-    nearest = Window.partitionBy("home").orderBy("to_home", "site")
-    stats = (placed.select("home", "site", "to_home")
-             .withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= keep)
-             .groupBy("home").agg(F.sort_array(F.collect_list("to_home")).alias("nearest")))
-    sizes = placed.groupBy("home").agg(F.max("to_home").alias("radius"), F.count(F.lit(1)).alias("n"))
-    groups = {r["home"]: r for r in stats.join(sizes, "home").collect()}
-
-    # How far the k-th neighbour of a group's member can be at most.
-    between = np.sqrt(_distances(pivots, pivots))
-    radius = {g: r["radius"] for g, r in groups.items()}
-    reach = {}
-    for g in groups:
-        known = np.sort(np.concatenate([
-            radius[g] + between[g][h] + np.asarray(r["nearest"]) for h, r in groups.items()]))
-        bound = known[keep - 1] if len(known) >= keep else np.inf
-        reach[g] = float((radius[g] + bound) * (1 + 1e-9) + 1e-12)
-
-    homes = sorted(groups)
-    limits = np.array([reach[g] for g in homes])
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                near, group = np.nonzero(to_pivots(batch)[:, homes] <= limits)
-                yield batch.iloc[near].assign(home=np.array(homes, dtype="int32")[group])
-
-    candidates = placed.select("site", "ids", "vector").mapInPandas(send, site_type)
-    candidate_sizes = dict(candidates.groupBy("home").agg(F.count(F.lit(1))).collect())
+    if method == "grouped":
+        members, queries = _grouped(sites, max_pivots, probes)
+    else:
+        members = sites.select("site", "ids", "vector", F.lit(0).alias("home"))
+        queries = members.select("site", "vector", "home")
+    sizes = materialize(members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+                        .join(queries.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("query_blocks")), "home"))
     # At most one row per pivot.
-    blocks = F.broadcast(points.sparkSession.createDataFrame(
-        [(g, -(-groups[g]["n"] // block_rows), -(-candidate_sizes[g] // block_rows)) for g in homes],
-        "home int, query_blocks int, candidate_blocks int"))
-
-    def cut(rows: DataFrame, own: str, other: str) -> DataFrame:
-        return (rows.withColumn(own, F.pmod(F.xxhash64("site"), F.col(own + "s")).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1))))
-
-    key = ["home", "query_block", "candidate_block"]
-    queries = cut(placed.select("home", "site", "vector").join(blocks, "home"), "query_block", "candidate_block")
-    others = cut(candidates.join(blocks, "home"), "candidate_block", "query_block")
+    sizes = F.broadcast(sizes)
+    key = ["home", "query_block", "block"]
+    own = lambda n: F.pmod(F.xxhash64("site"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = (queries.join(sizes, "home").withColumn("query_block", own(F.col("query_blocks"))).withColumn("block", every("blocks"))
+              .select(*key, "site", "vector"))
+    asked = (members.join(sizes, "home").withColumn("block", own(F.col("blocks"))).withColumn("query_block", every("query_blocks"))
+             .select(*key, "site", "ids", "vector"))
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -123,10 +89,9 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
             "ids": [ids[i] for i in top.ravel()],
             "d2": np.take_along_axis(d2, top, axis=1).ravel()})
 
-    partial = (queries.select(*key, "site", "vector").groupBy(*key)
-               .cogroup(others.select(*[F.col(c).alias(c) for c in (*key, "site", "ids", "vector")]).groupBy(*key))
+    partial = (asking.groupBy(*key).cogroup(asked.groupBy(*key))
                .applyInPandas(best, "site bigint, ids array<bigint>, d2 double"))
-    # Blocks times k rows per site at most, so one site's merge stays small.
+    # Blocks or probes times k rows per site, of which the window keeps k per task before the shuffle.
     merged = (partial.select("site", "d2", F.explode("ids").alias("dst"))
               .withColumn("place", F.row_number().over(Window.partitionBy("site").orderBy("d2", "dst")))
               .where(F.col("place") <= keep)
@@ -139,6 +104,28 @@ def knn(points: DataFrame, k: int = 15, max_pivots: int = MAX_PIVOTS, block_rows
                     F.sqrt("e.d2").alias("dist")))
 
 
+def _grouped(sites: DataFrame, max_pivots: int, probes: int) -> tuple[DataFrame, DataFrame]:
+    """Members of every pivot's group, and the vectors that ask it."""
+    n_pivots = max(1, min(max_pivots, int(sites.count() ** 0.5)))
+    chosen = sites.select("site", "vector").orderBy(F.xxhash64("site"), "site").limit(n_pivots)
+    pivots = np.array([r["vector"] for r in chosen.collect()], dtype=float)
+    asked = min(probes, len(pivots))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                d2 = _distances(np.stack(batch["vector"].to_numpy()), pivots)
+                near = np.argsort(d2, axis=1, kind="stable")[:, :asked].astype("int32")
+                yield batch.assign(near=list(near))
+
+    if not len(pivots):
+        return sites.select("site", "ids", "vector", F.lit(0).alias("home")), sites.select("site", "vector", F.lit(0).alias("home"))
+    placed = materialize(sites.select("site", "ids", "vector").mapInPandas(
+        place, "site bigint, ids array<bigint>, vector array<double>, near array<int>"))
+    members = placed.select("site", "ids", "vector", F.col("near")[0].alias("home"))
+    return members, placed.select("site", "vector", F.explode("near").alias("home"))
+
+
 def knn_edges(neighbors: DataFrame) -> DataFrame:
     """Undirected weighted graph of the neighbour table: each edge once each way."""
     weight = 1.0 / (1.0 + F.col("dist"))

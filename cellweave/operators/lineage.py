@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of a running application, by its id.
+_OWNED: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; one is picked only for a local session without any."""
+    """The folder named for checkpoints; there is no other place all executors are known to share."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    picked = tempfile.mkdtemp(prefix="cellweave-")
-    spark.sparkContext.setCheckpointDir(picked)
-    return spark.sparkContext.getCheckpointDir()
+    return named
+
+
+def owned_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder; drop_stages removes it."""
+    app = spark.sparkContext.applicationId
+    if app not in _OWNED:
+        _OWNED[app] = f"{shared_folder(spark).rstrip('/')}/cellweave-{uuid.uuid4().hex}"
+    return _OWNED[app]
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove every table stored so far; results that still read one have to be written before."""
+    folder = _OWNED.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -26,6 +40,6 @@ def materialize(df: DataFrame) -> DataFrame:
     Losing executors loses nothing that was written, later passes read only the columns
     they need, and the files' size tells the planner which side of a join is small.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{owned_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

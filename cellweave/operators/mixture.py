@@ -42,18 +42,19 @@ def finite_values(long: DataFrame) -> DataFrame:
 def sample_cells(long: DataFrame, id_columns: list[str], cap: int, seed: int = 42) -> DataFrame:
     """At most ``cap`` rows per marker: those with the smallest hash of id and seed.
 
-    Rows far beyond the cap are cut by a hash bound first, so no task sorts a whole marker.
+    Rows are counted by the first digits of the hash; digits beyond the one that reaches the
+    cap are cut off before ranking, so no task sorts a whole marker.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_columns], F.lit(str(seed))))
-    hashed = long.withColumn("digest", digest)
-    sizes = long.groupBy("marker").agg(F.count(F.lit(1)).alias("n_marker"))
-    # Twice the cap and a margin: far more rows than the cap stay under the bound.
-    bound = F.lit(2.0 * cap + 2000) / F.col("n_marker")
-    place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("double") / F.lit(float(2 ** 32))
+    hashed = long.withColumn("digest", digest).withColumn("lead", F.substring("digest", 1, 4))
+    sizes = hashed.groupBy("marker", "lead").agg(F.count(F.lit(1)).alias("n_lead"))
+    before = Window.partitionBy("marker").orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)
+    needed = sizes.withColumn("n_before", F.coalesce(F.sum("n_lead").over(before), F.lit(0))).where(F.col("n_before") < cap)
+    last = needed.groupBy("marker").agg(F.max("lead").alias("last_lead"))
     order = Window.partitionBy("marker").orderBy("digest", *id_columns)
-    return (join_group_stats(hashed, sizes, ["marker"]).where(place <= bound)
+    return (join_group_stats(hashed, last, ["marker"]).where(F.col("lead") <= F.col("last_lead"))
             .withColumn("place", F.row_number().over(order)).where(F.col("place") <= cap)
-            .drop("digest", "n_marker", "place"))
+            .drop("digest", "lead", "last_lead", "place"))
 
 
 def tally(long: DataFrame) -> DataFrame:
@@ -121,11 +122,13 @@ def fit_mixtures(long: DataFrame, n_components: int = 2, max_rounds: int = MAX_R
 
 
 def fit_tallied(tallied: DataFrame, n_components: int = 2, max_rounds: int = MAX_ROUNDS,
-                tolerance: float = TOLERANCE, limit: int = GROUP_ROWS) -> dict[str, list[Component]]:
+                tolerance: float = TOLERANCE, limit: int = GROUP_ROWS,
+                unfinished: set[str] | None = None) -> dict[str, list[Component]]:
     """The same from a written table of distinct values.
 
     Every round is one aggregation over all markers still moving; a marker is done when its
-    mean log-likelihood changes by less than the tolerance.
+    mean log-likelihood changes by less than the tolerance. Those that were not done in the
+    last round are added to ``unfinished``.
     """
     fits = starting_fits(tallied, n_components, limit)
     moving = dict(fits)
@@ -142,6 +145,8 @@ def fit_tallied(tallied: DataFrame, n_components: int = 2, max_rounds: int = MAX
             else:
                 moving[marker] = fits[marker]
             last[marker] = level
+    if unfinished is not None:
+        unfinished.update(moving)
     return {m: sorted(f, key=lambda c: c.mean) for m, f in fits.items()}
 
 
@@ -163,31 +168,36 @@ def thresholds_from_long(long: DataFrame, by_marker: dict[str, float], default:
                          n_components: int = 2, max_rounds: int = MAX_ROUNDS, tolerance: float = TOLERANCE,
                          max_cells: int | None = None, id_columns: list[str] | None = None,
                          seed: int = 42, limit: int = GROUP_ROWS) -> DataFrame:
-    """(marker, threshold, method) with threshold = low mean + multiplier * low deviation.
+    """(marker, threshold, method, converged) with threshold = low mean + multiplier * low deviation.
 
     Markers with too few finite values, or whose fit breaks down, get their 95th percentile.
-    ``max_cells`` fits on a sample of that size; the default fits on all cells.
+    ``max_cells`` fits on a sample of that size, drawn by ``id_columns``; the default fits on
+    all cells. ``converged`` is false where the last round still moved the fit, and null
+    without a fit.
     """
+    if max_cells is not None and not id_columns:
+        raise ValueError("a sample of cells needs the columns that name a cell")
     tallied = materialize(tally(long))
     fitted = tallied
     if max_cells is not None:
-        fitted = materialize(tally(sample_cells(finite_values(long), id_columns or ["value"], max_cells, seed)))
+        fitted = materialize(tally(sample_cells(finite_values(long), id_columns, max_cells, seed)))
     sizes = {r["marker"]: r["n"] for r in tallied.groupBy("marker").agg(F.sum("w").alias("n")).collect()}
     enough = [m for m, n in sizes.items() if n >= FEWEST_VALUES]
+    unfinished: set[str] = set()
     fits = fit_tallied(fitted.where(F.col("marker").isin(*enough)), n_components,
-                       max_rounds, tolerance, limit) if enough else {}
+                       max_rounds, tolerance, limit, unfinished) if enough else {}
     rows = []
     for marker, components in fits.items():
         low = components[0]
         threshold = low.mean + by_marker.get(marker, default) * math.sqrt(low.variance)
         if math.isfinite(threshold):
-            rows.append((marker, threshold, "mixture"))
+            rows.append((marker, threshold, "mixture", marker not in unfinished))
     rest = [m for m in sizes if m not in {r[0] for r in rows}]
     if rest:
         tail = percentiles(tallied.where(F.col("marker").isin(*rest)), ["marker"],
                            {"threshold": ("value", FALLBACK_SHARE)}, limit, "w")
-        rows += [(r["marker"], r["threshold"], "percentile") for r in tail.collect()]
-    return long.sparkSession.createDataFrame(rows, "marker string, threshold double, method string")
+        rows += [(r["marker"], r["threshold"], "percentile", None) for r in tail.collect()]
+    return long.sparkSession.createDataFrame(rows, "marker string, threshold double, method string, converged boolean")
 
 
 def marker_thresholds(cells: DataFrame, markers: list[str], by_marker: dict[str, float], **options) -> DataFrame:

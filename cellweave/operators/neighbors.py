@@ -3,7 +3,7 @@
 The plane of every image is cut into squares. An anchor stays in its own square; a partner
 is copied to each square its disc touches, so each pair meets exactly once and the anchor's
 square is the only join key. A second partner joins on the same key and needs no further
-shuffle. Crowded squares are found first; their anchors and partners are cut into blocks
+shuffle. Crowded squares are counted once, first; their anchors and partners are cut into blocks
 that meet pairwise, so no task has to hold one crowded square alone.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions.geometry import squared_distance
-from cellweave.operators.skew import heavy_groups, is_small
+from cellweave.operators.lineage import materialize
+from cellweave.operators.skew import SMALL_ROWS
 from cellweave.schema import col
 
 # Square side in radii. At 1 a partner is copied to 9 squares, at 2 to 4; candidate pairs go
@@ -29,6 +30,7 @@ _SQUARE = ["image_id", "bx", "by"]
 # One number per square leads the join key: sorting by it is far cheaper than by the image's
 # name. The square itself stays in the key, so equal hashes of two squares do no harm.
 _KEY = ["square", *_SQUARE]
+SQUARE_KEY = tuple(_KEY)
 
 
 @dataclass(frozen=True)
@@ -80,10 +82,9 @@ def _touched_squares(df: DataFrame, side: Side, radius: float, edge: float) -> D
 
 
 def _crowded(sides: list[Side], edge: float, limit: int) -> DataFrame | None:
-    """Crowded squares per role.
+    """Crowded squares per role, counted in one pass and stored; None without any.
 
-    Only images over the limit can hold one, so images are counted first. Sides taken from
-    one table by type are counted in one pass over that table.
+    Sides taken from one table by type are counted in one pass over that table.
     """
     base = sides[0].base
     if base is not None and all(s.base is base and s.kinds for s in sides):
@@ -100,16 +101,11 @@ def _crowded(sides: list[Side], edge: float, limit: int) -> DataFrame | None:
                  for role, s in enumerate(sides)]
         rows = reduce(DataFrame.unionByName, parts)
         roles_of = F.array(F.col("group_kind").cast("int"))
-    images = heavy_groups(rows, ["image_id"], limit)
-    if images is None:
-        return None
-    listed = images.table.select("image_id")
-    rows = rows.join(F.broadcast(listed) if images.bounded else listed, "image_id", "left_semi")
-    squares = rows.withColumns({"bx": F.floor(F.col("x") / edge), "by": F.floor(F.col("y") / edge)})
-    heavy = heavy_groups(squares, [*_SQUARE, "group_kind"], limit)
-    if heavy is None:
-        return None
-    return heavy.table.select(*_SQUARE, F.explode(roles_of).alias("role"), "group_rows")
+    squares = rows.select("image_id", F.floor(F.col("x") / edge).alias("bx"), F.floor(F.col("y") / edge).alias("by"), "group_kind")
+    crowded = (squares.groupBy(*_SQUARE, "group_kind").agg(F.count(F.lit(1)).alias("group_rows"))
+               .where(F.col("group_rows") > limit).select(*_SQUARE, F.explode(roles_of).alias("role"), "group_rows"))
+    stored = materialize(crowded)
+    return None if stored.isEmpty() else stored
 
 
 def crowded_blocks(anchor: Side, partners: list[Side], radius: float, edge: float,
@@ -131,7 +127,8 @@ def crowded_blocks(anchor: Side, partners: list[Side], radius: float, edge: floa
         F.greatest(F.ceil(F.coalesce(F.sum(F.when(F.col("role") == role, F.col("group_rows"))), F.lit(0))
                           / F.lit(limit)), F.lit(1)).cast("int").alias(f"blocks_{role}")
         for role in range(len(partners) + 1)])
-    return blocks, is_small(blocks, _SQUARE)
+    stored = materialize(blocks)
+    return stored, stored.count() <= SMALL_ROWS
 
 
 def _blocked(df: DataFrame, role: int, id_col: Column, blocks: DataFrame, n_roles: int) -> DataFrame:
@@ -190,6 +187,11 @@ def meet(anchor: Side, partners: list[Side], radius: float, also: list[Column |
     return _meet(anchor, partners, radius, edge, crowded, also or [None] * len(partners))
 
 
+def pairs_on_squares(anchor: Side, neighbor: Side, radius: float, edge: float) -> DataFrame:
+    """Pairs within the radius, still dealt out by the anchor's square; for tables without crowded squares."""
+    return _meet(anchor, [neighbor], radius, edge, None, [None])
+
+
 def radius_pairs(anchors: DataFrame, partners: DataFrame, radius: float,
                  anchor_extra: tuple[str, ...] = (), partner_extra: tuple[str, ...] = (),
                  limit: int = SQUARE_CELLS) -> DataFrame:
@@ -205,9 +207,10 @@ def type_counts(anchors: DataFrame, partners: DataFrame, radius: float, limit: i
                 partner_kinds: tuple[str, ...] = ()) -> DataFrame:
     """Partners inside the radius per anchor and partner type: one row where there are any.
 
-    Where squares are crowded, cells on the same spot are added up before they are joined,
-    and each anchor takes itself out of its own spot afterwards. ``base`` and the kinds say
-    which types of one table the two sides are.
+    An anchor is an id and a place; every cell with its id is left out of its counts, and
+    rows that repeat an anchor add up. Where squares are crowded, cells on the same spot are
+    added up before they are joined, and what has the anchor's id is taken away afterwards.
+    ``base`` and the kinds say which types of one table the two sides are.
     """
     radius = float(radius)
     edge = radius * SIDE_IN_RADII
@@ -218,7 +221,7 @@ def type_counts(anchors: DataFrame, partners: DataFrame, radius: float, limit: i
     crowded = crowded_blocks(anchor, [neighbor], radius, edge, limit)
     if crowded is None:
         met = _meet(anchor, [neighbor], radius, edge, None, [None])
-        return (met.groupBy(*_KEY, "anchor_cell_id",
+        return (met.groupBy(*_KEY, "anchor_cell_id", "anchor_x", "anchor_y",
                             F.col("neighbor_cell_type").alias("neighbor_type"))
                 .agg(F.count(F.lit(1)).alias("n")).select(*keys, "n"))
     place = F.concat_ws(",", F.col("x").cast("string"), F.col("y").cast("string"))
@@ -230,11 +233,14 @@ def type_counts(anchors: DataFrame, partners: DataFrame, radius: float, limit: i
     per_spot = (met.groupBy("image_id", F.col("spot_x").alias("x"), F.col("spot_y").alias("y"),
                             F.col("neighbor_cell_type").alias("neighbor_type"))
                 .agg(F.sum("neighbor_n").alias("n")))
-    own = typed.select("image_id", "cell_id", F.col("cell_type").alias("own_type"))
-    return (anchors.select("image_id", "cell_id", "x", "y")
-            .join(per_spot, ["image_id", "x", "y"])
-            .join(own, ["image_id", "cell_id"], "left")
-            .withColumn("n", F.col("n") - F.when(F.col("own_type") == F.col("neighbor_type"), 1).otherwise(0))
+    once = anchors.groupBy("image_id", "cell_id", "x", "y").agg(F.count(F.lit(1)).alias("times"))
+    same_id = typed.select("image_id", "cell_id", F.col("x").alias("own_x"), F.col("y").alias("own_y"), F.col("cell_type").alias("neighbor_type"))
+    near = squared_distance(F.col("x"), F.col("y"), F.col("own_x"), F.col("own_y")) <= radius * radius
+    own = (once.join(same_id, ["image_id", "cell_id"]).where(near)
+           .groupBy("image_id", "cell_id", "x", "y", "neighbor_type").agg(F.count(F.lit(1)).alias("n_own")))
+    return (once.join(per_spot, ["image_id", "x", "y"])
+            .join(own, ["image_id", "cell_id", "x", "y", "neighbor_type"], "left")
+            .withColumn("n", F.col("times") * (F.col("n") - F.coalesce("n_own", F.lit(0))))
             .where("n > 0")
             .select("image_id", F.col("cell_id").alias("anchor_cell_id"), "neighbor_type", "n"))
 

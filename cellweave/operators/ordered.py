@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.operators.skew import GROUP_ROWS, SMALL_ROWS, heavy_groups
+from cellweave.operators.lineage import materialize
+from cellweave.operators.skew import GROUP_ROWS, SMALL_ROWS, Heavy, heavy_groups
 from cellweave.schema import col
 
-_MAX_CUTS = 1000
+# Cuts made at once; ranges that are still heavy are cut again.
+_CUTS_AT_ONCE = 1000
 _STEP = 32
 
 
@@ -27,22 +29,36 @@ def _range_number(value: Column, cuts: Column) -> Column:
     return start + F.size(fine)
 
 
-def value_ranges(rows: DataFrame, keys: list[str], value: str, limit: int = GROUP_ROWS):
-    """Add ``value_range`` where groups are heavy. Returns (rows, whether any group is)."""
-    heavy = heavy_groups(rows, keys, limit)
-    if heavy is None:
-        return rows, False
-    n_cuts = max(1, min(_MAX_CUTS, 2 * (heavy.largest // limit + 1)))
+def _cut(rows: DataFrame, keys: list[str], value: str, heavy: Heavy, limit: int, name: str) -> DataFrame:
+    """Add the number of the value range inside each heavy group; 0 elsewhere."""
+    n_cuts = max(1, min(_CUTS_AT_ONCE, 2 * (heavy.largest // limit + 1)))
     shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
     cuts = (rows.join(F.broadcast(heavy.table) if heavy.bounded else heavy.table, keys, "left_semi")
             .groupBy(*keys)
             .agg(F.array_distinct(F.percentile_approx(value, shares, 20 * n_cuts)).alias("value_cuts")))
-    if heavy.bounded and heavy.table.count() * n_cuts <= 50 * SMALL_ROWS:
+    if heavy.bounded and heavy.count * n_cuts <= 50 * SMALL_ROWS:
         cuts = F.broadcast(cuts)
-    cut_rows = (rows.join(cuts, keys, "left")
-                .withColumn("value_range", F.coalesce(_range_number(col(value), F.col("value_cuts")), F.lit(0)))
-                .drop("value_cuts"))
-    return cut_rows, True
+    return (rows.join(cuts, keys, "left")
+            .withColumn(name, F.coalesce(_range_number(col(value), F.col("value_cuts")), F.lit(0)).cast("bigint"))
+            .drop("value_cuts"))
+
+
+def value_ranges(rows: DataFrame, keys: list[str], value: str, limit: int = GROUP_ROWS, heavy: Heavy | None = None):
+    """Add ``value_range`` where groups are heavy. Returns (rows, whether any group is).
+
+    ``rows`` hold one row per key and value, so a range can always be cut further. ``heavy``
+    may be given where it is known already.
+    """
+    heavy = heavy or heavy_groups(rows, keys, limit)
+    if heavy is None:
+        return rows, False
+    out = _cut(rows, keys, value, heavy, limit, "value_range")
+    while heavy is not None and 2 * (heavy.largest // limit + 1) > _CUTS_AT_ONCE:
+        heavy = heavy_groups(out, [*keys, "value_range"], limit)
+        if heavy is not None:
+            inner = _cut(out, [*keys, "value_range"], value, heavy, limit, "inner_range")
+            out = inner.withColumn("value_range", F.col("value_range") * (_CUTS_AT_ONCE + 1) + F.col("inner_range")).drop("inner_range")
+    return out, True
 
 
 def running(rows: DataFrame, keys: list[str], value: str, sums: dict[str, str],
@@ -76,13 +92,15 @@ def running(rows: DataFrame, keys: list[str], value: str, sums: dict[str, str],
 
 def running_counts(rows: DataFrame, keys: list[str], value: str, counts: dict[str, Column],
                    limit: int = GROUP_ROWS) -> tuple[DataFrame, bool]:
-    """One row per key and distinct value: each count, and ``<count>_before`` of lower values."""
+    """One row per key and distinct value: each count, and ``<count>_before`` of lower values.
+
+    Whether a group is heavy is asked of the distinct values, which are stored: the rows are
+    read once.
+    """
     tallied = (rows.where(col(value).isNotNull())
                .groupBy(*[col(k) for k in keys], col(value))
                .agg(*[c.alias(name) for name, c in counts.items()]))
-    ranged = False
-    if heavy_groups(rows, keys, limit) is not None:
-        tallied, ranged = value_ranges(tallied, keys, value, limit)
+    tallied, ranged = value_ranges(materialize(tallied), keys, value, limit)
     return running(tallied, keys, value, {n + "_before": n for n in counts}, ranged), ranged
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.names import reg_num, spot_list
 from cellweave.operators.ordered import percentiles
-from cellweave.operators.skew import GROUP_ROWS, broadcast_if_small
+from cellweave.operators.skew import GROUP_ROWS
 
 # Default tissue area of one image, and the clinical columns carried along.
 AREA_PER_IMAGE_UM2 = 1_168_128.0
@@ -65,7 +65,7 @@ def patient_density(patients: DataFrame, image_counts: DataFrame,
     lists = rows.select("spots").distinct()
     totals = region_totals(image_counts)
     per_list = (lists.select("spots", F.explode(F.array_distinct(spot_list(F.col("spots")))).alias("reg_num"))
-                .join(broadcast_if_small(totals, ["reg_num"]), "reg_num")
+                .join(totals, "reg_num")
                 .groupBy("spots").agg(F.sum("n_images").alias("n_images"), F.sum("n_triads").alias("total_triads")))
     area = F.col("n_images") * F.lit(float(area_per_image_um2)) / F.lit(1e6)
     return (rows.join(per_list, "spots", "left")

@@ -196,13 +196,17 @@ def export_columns(classified: DataFrame) -> DataFrame:
 
 
 def processing_stats(raw: DataFrame, filtered: DataFrame, cleaned: DataFrame, cutoffs: DataFrame,
-                     thresholds: DataFrame, done: DataFrame | None = None) -> DataFrame:
+                     thresholds: DataFrame, done: DataFrame | None = None, unread: DataFrame | None = None) -> DataFrame:
     """Counts, shares removed, cutoffs and status of every image.
 
     Images listed in ``done`` (image_id) are SKIPPED; images without a usable area or stain
-    value cannot get a threshold and are an ERROR; the rest are PROCESSED.
+    value cannot get a threshold and are an ERROR, as are those of ``unread`` (image_id), whose
+    file could not be read; the rest are PROCESSED.
     """
     sizes = raw.groupBy("image_id").agg(F.count(F.lit(1)).alias("original_cells"))
+    if unread is not None:
+        lost = unread.select("image_id").distinct().join(sizes, "image_id", "left_anti")
+        sizes = sizes.unionByName(lost.withColumn("original_cells", F.lit(0).cast("bigint")))
     after = filtered.groupBy("image_id").agg(F.count(F.lit(1)).alias("cells_after_size_dapi_filter"))
     final = cleaned.groupBy("image_id").agg(F.count(F.lit(1)).alias("final_cells"))
     table = (sizes.join(after, "image_id", "left").join(final, "image_id", "left")

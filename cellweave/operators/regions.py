@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.geometry import clip_box
 from cellweave.functions.names import roi_box, roi_condition
-from cellweave.operators.skew import broadcast_if_small
 from cellweave.schema import col
 
 # Side of the squares boxes are looked up by.
@@ -39,7 +38,7 @@ def locate_rois(rois: DataFrame, labels: DataFrame | None, name: str = "roi_name
         # Names repeat in hand-made tables: the first row counts, here the smallest box corner.
         first = table.groupBy("Name").agg(F.min(F.struct("label_x", "label_y", "label_w", "label_h")).alias("from_table"))
         boxed = boxed.withColumn("Name", F.regexp_replace(col(name), r"\.png", "")).join(
-            broadcast_if_small(first, ["Name"]), "Name", "left").drop("Name")
+            first, "Name", "left").drop("Name")
         parses = F.col("parsed.x").isNotNull()
         chosen = {k: F.when(parses, F.col(f"parsed.{k}")).otherwise(F.col(f"from_table.label_{k}")) for k in _BOX}
     return boxed.withColumns(chosen).drop("parsed", "from_table").where("x is not null")
@@ -67,7 +66,7 @@ def assign_to_rois(cells: DataFrame, rois: DataFrame, mask: str | None = None, t
     placed = rows.withColumns({"tx": F.floor(F.col("x") / tile), "ty": F.floor(F.col("y") / tile)})
     inside = ((F.col("x") >= F.col("x_start")) & (F.col("x") < F.col("x_end"))
               & (F.col("y") >= F.col("y_start")) & (F.col("y") < F.col("y_end")))
-    return (placed.join(broadcast_if_small(listed, ["image_id", "roi_name"]), ["image_id", "tx", "ty"])
+    return (placed.join(listed, ["image_id", "tx", "ty"])
             .where(inside).drop("tx", "ty", "x_start", "y_start", "x_end", "y_end"))
 
 
@@ -87,7 +86,7 @@ def roi_summary(rois: DataFrame, channels: DataFrame, conditions: list[str], nam
     listed = channels.groupBy("slide_id").agg(F.array_sort(F.collect_list(
         F.struct("channel_index", "channel_name"))).alias("entries"))
     names = F.array_join(F.transform("entries", lambda e: e["channel_name"]), ",")
-    return (rois.join(broadcast_if_small(listed, ["slide_id"]), "slide_id", "left")
+    return (rois.join(listed, "slide_id", "left")
             .select("slide_id", roi_condition(col(name), conditions).alias("roi_condition"),
                     "x", "y", F.col("w").alias("width"), F.col("h").alias("height"),
                     F.coalesce(names, F.lit("")).alias("channel_names")))

@@ -1,7 +1,8 @@
-"""Finding heavy groups before a task has to hold one, and sizing broadcasts.
+"""Finding heavy groups before a task has to hold one, and joining per-group values.
 
-Both checks run one narrow aggregation when the plan is built and bring at most a fixed
-number of rows to the driver. Where the bound is passed, the table stays distributed.
+The check runs one narrow aggregation when the plan is built and brings at most a fixed
+number of rows to the driver. Where the bound is passed, the table stays distributed. Small
+tables get no hint by a count of their own: the adaptive planner sees their size.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.operators.lineage import materialize
 from cellweave.schema import col
 
 # Rows of one group that a single task may sort or buffer.
@@ -21,11 +23,13 @@ SMALL_ROWS = 20_000
 
 @dataclass(frozen=True)
 class Heavy:
-    """Groups over the limit: a table, its size bound, and the largest group."""
+    """Groups over the limit: a table, whether it is within the bound, the largest group, and
+    how many groups there are if so."""
 
     table: DataFrame
     bounded: bool
     largest: int
+    count: int = 0
 
 
 def heavy_groups(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS,
@@ -41,25 +45,17 @@ def heavy_groups(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS,
     if len(listed) <= SMALL_ROWS:
         spark = df.sparkSession
         return Heavy(spark.createDataFrame(listed, over.schema), True,
-                     max(r["group_rows"] for r in listed))
+                     max(r["group_rows"] for r in listed), len(listed))
     largest = over.agg(F.max("group_rows")).first()[0]
     return Heavy(over, False, largest)
 
 
-def is_small(df: DataFrame, keys: list[str], limit: int = SMALL_ROWS) -> bool:
-    """Whether a table has at most ``limit`` rows; computes only its key columns."""
-    return df.select(*[col(k) for k in keys]).limit(limit + 1).count() <= limit
-
-
-def broadcast_if_small(df: DataFrame, keys: list[str], limit: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast only where the row count is proven to be within the bound."""
-    return F.broadcast(df) if is_small(df, keys, limit) else df
-
-
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Bring per-group values back to the rows.
 
-    Small statistics are broadcast, so the rows are not moved. Otherwise it is a shuffle
-    join whose hot keys the adaptive skew join splits: the statistics hold one row per key.
+    The statistics are computed once and stored. Up to the bound they are broadcast, so the
+    rows are not moved; beyond it a shuffle join is left whose hot keys the adaptive skew
+    join splits: the statistics hold one row per key.
     """
-    return df.join(broadcast_if_small(stats, keys), list(keys), how)
+    stored = materialize(stats)
+    return df.join(F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored, list(keys), how)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellweave.functions.labels import event_flag, significance_stars
 from cellweave.functions.pvalues import chi_square_one
 from cellweave.operators.ordered import running, running_counts
-from cellweave.operators.skew import GROUP_ROWS, broadcast_if_small
+from cellweave.operators.skew import GROUP_ROWS
 
 # Fixed value: normal quantile of a 95 % band.
 BAND_Z = 1.96
@@ -39,7 +39,7 @@ def group_counts(rows: DataFrame) -> DataFrame:
 def comparable(rows: DataFrame) -> DataFrame:
     """Rows of the outcomes that have at least two groups."""
     groups = rows.groupBy("outcome").agg(F.count_distinct("grp").alias("n_groups")).where("n_groups >= 2")
-    return rows.join(broadcast_if_small(groups.select("outcome"), ["outcome"]), "outcome", "left_semi")
+    return rows.join(groups.select("outcome"), "outcome", "left_semi")
 
 
 def kaplan_meier(rows: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
@@ -53,7 +53,7 @@ def kaplan_meier(rows: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
         "n_events": F.sum("event").cast("bigint"), "leaving": F.sum("w").cast("bigint")}, limit)
     sizes = group_counts(rows).withColumnRenamed("n", "n_group").drop("n_events")
     n, d = F.col("at_risk"), F.col("n_events")
-    steps = (counted.join(broadcast_if_small(sizes, by), by)
+    steps = (counted.join(sizes, by)
              .withColumn("at_risk", F.col("n_group") - F.col("leaving_before"))
              .withColumn("stays", 1.0 - F.coalesce(F.try_divide(d, n), F.lit(0.0)))
              .withColumn("spread", F.coalesce(F.try_divide(d.cast("double"), n.cast("double") * (n - d)), F.lit(0.0))))
@@ -75,7 +75,7 @@ def log_rank(rows: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     pairs = (rows.groupBy("outcome").agg(
         F.count_distinct("grp").alias("n_groups"), F.min("grp").alias("group_1"), F.max("grp").alias("group_2"))
         .where("n_groups = 2").drop("n_groups"))
-    marked = (rows.join(broadcast_if_small(pairs, ["outcome"]), "outcome")
+    marked = (rows.join(pairs, "outcome")
               .withColumn("first", F.col("grp") == F.col("group_1")))
     by = ["outcome"]
     counted, _ = running_counts(marked, by, "duration", {
@@ -87,7 +87,7 @@ def log_rank(rows: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     n = (F.col("n_1") + F.col("n_2") - F.col("c_before")).cast("double")
     n1 = (F.col("n_1") - F.col("c1_before")).cast("double")
     d = F.col("d").cast("double")
-    at_times = (counted.where("d > 0").join(broadcast_if_small(sizes, by), by)
+    at_times = (counted.where("d > 0").join(sizes, by)
                 .withColumn("expected", n1 * d / n)
                 .withColumn("variance", F.coalesce(
                     F.try_divide(n1 * (n - n1) * d * (n - d), n * n * (n - 1)), F.lit(0.0))))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from cellweave.functions.geometry import distance_um, max_anchor_distance
 from cellweave.functions.labels import combo_label
 from cellweave.operators.lineage import materialize
-from cellweave.operators.neighbors import SQUARE_CELLS, Side, meet, neighbor_counts, type_counts
+from cellweave.operators.neighbors import (
+    SIDE_IN_RADII, SQUARE_CELLS, SQUARE_KEY, Side, crowded_blocks, meet, neighbor_counts, pairs_on_squares, type_counts)
 from cellweave.operators.ordered import percentiles
-from cellweave.operators.skew import broadcast_if_small
 
 # Fixed value: points of a distance trajectory.
 TRAJECTORY_POINTS = 300
@@ -145,7 +145,7 @@ def find_triads(cells: DataFrame, search: TriadSearch, with_counts: bool = True)
         search.label(*kinds).alias("triad_combo_label"), *counts_out)
     if search.min_triads > 1:
         kept = materialize(triad_counts(cells, search).select("image_id", *TYPES))
-        triads = triads.join(broadcast_if_small(kept, ["image_id"]), ["image_id", *TYPES], "left_semi")
+        triads = triads.join(kept, ["image_id", *TYPES], "left_semi")
     return triads
 
 
@@ -182,7 +182,7 @@ def _flagged(cells: DataFrame, roles: DataFrame, include_zero_images: bool) -> D
     flags = [F.coalesce(F.col(f), F.lit(False)) for f in ROLE_FLAGS.values()]
     if not include_zero_images:
         images = per_cell.select("image_id").distinct()
-        cells = cells.join(broadcast_if_small(images, ["image_id"]), "image_id", "left_semi")
+        cells = cells.join(images, "image_id", "left_semi")
     return (cells.join(per_cell, ["image_id", "cell_id"], "left")
             .withColumns(dict(zip(ROLE_FLAGS.values(), flags)))
             .withColumn("in_any_triad", F.col("is_triad_anchor") | F.col("is_triad_partner1")
@@ -201,17 +201,21 @@ def flag_cells(cells: DataFrame, search: TriadSearch, include_zero_images: bool
     """
     if not search.typed:
         return flags_from_triads(cells, find_triads(cells, search, with_counts=False), include_zero_images)
+    kinds = tuple({search.partner1: None, search.partner2: None})
+    partners = cells.where(F.col("cell_type").isin(*kinds))
+    anchor = Side(_of_type(cells, search.anchor), "anchor", (), cells, (search.anchor,))
+    neighbor = Side(partners, "neighbor", ("cell_type",), cells, kinds)
+    edge = search.radius_px * SIDE_IN_RADII
+    crowded = crowded_blocks(anchor, [neighbor], search.radius_px, edge, search.square_cells)
+    if crowded is None and search.min_triads <= 1 and search.partner1 != search.partner2:
+        return _flagged(cells, _roles_of_pairs(anchor, neighbor, search, edge), include_zero_images)
     counted = materialize(anchor_counts(cells, search))
     valid = counted.select("image_id", F.col("anchor_cell_id").alias("cell_id"))
     if search.min_triads > 1:
         kept = _per_image(counted, search).where(F.col("n_triads") >= search.min_triads).select("image_id")
-        valid = valid.join(broadcast_if_small(kept, ["image_id"]), "image_id", "left_semi")
-    anchors = _of_type(cells, search.anchor).join(valid, ["image_id", "cell_id"], "left_semi")
-    kinds = tuple({search.partner1: None, search.partner2: None})
-    partners = cells.where(F.col("cell_type").isin(*kinds))
-    near = meet(Side(anchors, "anchor", (), cells, (search.anchor,)),
-                [Side(partners, "neighbor", ("cell_type",), cells, kinds)],
-                search.radius_px, limit=search.square_cells)
+        valid = valid.join(kept, "image_id", "left_semi")
+    anchors = anchor.cells.join(valid, ["image_id", "cell_id"], "left_semi")
+    near = meet(Side(anchors, "anchor", (), cells, (search.anchor,)), [neighbor], search.radius_px, limit=search.square_cells)
     roles = valid.select("image_id", F.lit("anchor").alias("role"), "cell_id")
     for role in ("partner1", "partner2"):
         roles = roles.unionByName(
@@ -220,6 +224,25 @@ def flag_cells(cells: DataFrame, search: TriadSearch, include_zero_images: bool
     return _flagged(cells, roles, include_zero_images)
 
 
+def _roles_of_pairs(anchor: Side, neighbor: Side, search: TriadSearch, edge: float) -> DataFrame:
+    """(image_id, role, cell_id) of all cells in triads, from one search for neighbours.
+
+    Without crowded squares an anchor has a bounded number of neighbours. They are gathered
+    on the join's own key, and given out again where both kinds of partner are there.
+    """
+    pairs = pairs_on_squares(anchor, neighbor, search.radius_px, edge)
+    near = {role: F.collect_set(F.when(F.col("neighbor_cell_type") == search.role_types()[role], F.col("neighbor_cell_id")))
+            for role in ("partner1", "partner2")}
+    met = (pairs.groupBy(*SQUARE_KEY, "anchor_cell_id").agg(near["partner1"].alias("partner1"), near["partner2"].alias("partner2"))
+           .where((F.size("partner1") > 0) & (F.size("partner2") > 0)))
+
+    def named(role: str, ids: Column) -> Column:
+        return F.transform(ids, lambda i: F.struct(F.lit(role).alias("role"), i.alias("cell_id")))
+
+    members = F.concat(named("anchor", F.array("anchor_cell_id")), named("partner1", F.col("partner1")), named("partner2", F.col("partner2")))
+    return met.select("image_id", F.explode(members).alias("m")).select("image_id", "m.role", "m.cell_id")
+
+
 def outside_triads(cells: DataFrame, triads: DataFrame) -> DataFrame:
     """Background cells: those in no triad."""
     return cells.join(triad_members(triads), ["image_id", "cell_id"], "left_anti")
@@ -238,7 +261,7 @@ def condition_density(summary: DataFrame, areas: DataFrame, conditions: list[str
     totals = (summary.where(F.col("condition").isin(*conditions))
               .groupBy("condition", "combo_label").agg(F.sum("n_triads").alias("n_triads")))
     known = areas.where(F.col("condition").isin(*conditions))
-    return (totals.join(broadcast_if_small(known, ["condition"]), "condition", "left")
+    return (totals.join(known, "condition", "left")
             .select("condition", "combo_label", "n_triads", (F.col("area_um2") / 1e6).alias("area_mm2"))
             .withColumn("triads_per_mm2", F.try_divide(F.col("n_triads"), F.col("area_mm2"))))
 
@@ -305,7 +328,7 @@ def trajectory(triads: DataFrame, areas: DataFrame, conditions: list[str], radiu
     area = F.col("area_um2") / 1e6
     return (every.join(placed, ["condition", "point"], "left")
             .withColumn("n_triads", F.sum(F.coalesce("here", F.lit(0))).over(so_far))
-            .join(broadcast_if_small(known, ["condition"]), "condition", "left")
+            .join(known, "condition", "left")
             .select("condition", "point", at(F.col("point")).alias("threshold_um"), "n_triads",
                     F.when(area > 0, F.col("n_triads") / area).otherwise(0.0).alias("triads_per_mm2")))
 

@@ -67,7 +67,7 @@ def cluster_cells(cells: DataFrame, markers: list[str], n_neighbors: int = 15, r
     """
     scaled = embedding.normalize_scale(cells, markers)
     points = embedding.principal_components(scaled, markers, n_components).selectExpr("id", "components AS vector")
-    found = communities(knn_edges(knn(materialize(points), n_neighbors)), resolution)
+    found = communities(knn_edges(knn(materialize(points), n_neighbors, "grouped")), resolution)
     return cells.join(found.withColumnsRenamed({"node": "id", "community": "cluster"}), "id", "left")
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.functions.names import file_name, file_stem
-from cellweave.operators.skew import broadcast_if_small
 
 _OME_TYPE = T.StructType([
     T.StructField("channels", T.ArrayType(T.StringType())), T.StructField("n_images", T.LongType()),
@@ -108,7 +107,7 @@ def match_documents(images: DataFrame, documents: DataFrame, path: str = "path")
     patterns = F.array(F.concat(base, F.lit("_metadata.json")), F.concat(base, F.lit(".json")),
                        F.concat(F.lit("metadata_"), base, F.lit(".json")))
     tried = images.select("*", F.posexplode(patterns).alias("pattern", "file_name"))
-    found = tried.join(broadcast_if_small(documents, ["file_name"]), "file_name")
+    found = tried.join(documents, "file_name")
     return (found.groupBy(*images.columns)
             .agg(F.min_by(F.struct("file_name", "text"), "pattern").alias("doc"))
             .select(*images.columns, "doc.file_name", "doc.text"))

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+import re
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.functions.names import (
     MATCHED_SUFFIX, RAW_SUFFIX, condition_prefix, detect_condition, file_name, strip_suffix, tissue_id)
-from cellweave.operators.skew import broadcast_if_small
-from cellweave.schema import CORRUPT, RAW_CELL_SCHEMA, nan_to_null
+from cellweave.schema import CORRUPT, RAW_CELL_SCHEMA, col, nan_to_null
+
+# Columns the canonical tables are made of; one that no file has is null.
+REQUIRED = ("label", "x", "y", "area", "DAPI", "centroid_x", "centroid_y", "cell_type")
 
 # The first encoding tried, and the one that reads any bytes and so ends the search.
 FIRST_ENCODING = "UTF-8"
@@ -41,57 +48,123 @@ def with_markers(schema: T.StructType, markers: list[str]) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(m, T.DoubleType()) for m in markers]])
 
 
-def file_header(spark: SparkSession, path: str, glob: str, sep: str = ",") -> list[str]:
-    """Column names of the first line of one matching file."""
-    first = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-             .csv(path, sep=sep).limit(1).collect())
-    return [c for c in first[0] if c is not None] if first else []
+# What became of a file.
+READABLE, EMPTY, UNREADABLE = "OK", "EMPTY", "ERROR"
+
+
+def _matching(spark: SparkSession, path: str, glob: str, fmt: str):
+    return spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+
 
+def _one_slash(uri: Column) -> Column:
+    """Local files are written with one slash or three."""
+    return F.regexp_replace(uri, "^file:/+", "file:/")
 
-def not_utf8(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Files that hold bytes UTF-8 does not allow."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
-    return (lines.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("file_path"))
-            .distinct())
 
+def _as_path(uri: str) -> str:
+    """A file's URI as a path to read, in which no character stands for others."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType, glob: str, sep: str = ",",
+
+def file_status(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(file_path, status, encoding, header): one row for every matching file.
+
+    One reading of the lines gives a file's first line and whether all its bytes are UTF-8; a
+    file without is Latin-1. Files that cannot be read have no lines and stay in the list.
+    """
+    lines = _matching(spark, path, glob, "text").option("ignoreCorruptFiles", True).load(path)
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    seen = (lines.select(_one_slash(F.col("_metadata.file_path")).alias("file_path"), "value", place.alias("place"))
+            .groupBy("file_path").agg(F.min_by("value", "place").alias("first"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8")))
+    found = _matching(spark, path, glob, "binaryFile").load(path)
+    # The listing itself also has the files without a byte.
+    listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "file_path string").select(_one_slash(F.col("file_path")).alias("file_path"))
+    sizes = found.select(_one_slash(F.col("_metadata.file_path")).alias("file_path"), "length")
+    every = listed.join(sizes, "file_path", "left")
+    encoding = F.when(F.col("is_utf8"), FIRST_ENCODING).otherwise(LAST_ENCODING)
+    header = F.when(F.col("is_utf8"), F.col("first")).otherwise(F.decode(F.col("first").cast("binary"), LAST_ENCODING))
+    return (every.join(seen, "file_path", "left")
+            .select("file_path",
+                    F.when(F.col("first").isNotNull(), READABLE).when(F.coalesce("length", F.lit(0)) == 0, EMPTY).otherwise(UNREADABLE).alias("status"),
+                    F.when(F.col("first").isNotNull(), encoding).alias("encoding"),
+                    F.regexp_replace(F.regexp_replace(header, "^\ufeff", ""), r"\r$", "").alias("header")))
+
+
+def _columns(header: str, sep: str) -> list[str]:
+    return next(csv.reader([header], delimiter=sep), [])
+
+
+def read_delimited(spark: SparkSession, path: str, fixed: T.StructType, glob: str, sep: str = ",",
                    encoding: str | None = None) -> DataFrame:
-    """Files with a header under a folder; bad lines are kept apart, unreadable files skipped.
+    """Files with a header under a folder, by column name.
 
-    The files share one column order, which is that of the schema. Without an encoding every
-    file is read as UTF-8, or as Latin-1 where it is not valid UTF-8.
+    Files are read in groups of one header and one encoding, each file once; columns have the
+    fixed type of their name, others are numbers, and a column a file lacks is null. Lines that
+    do not fit are kept in ``CORRUPT``; empty and unreadable files are listed by file_status.
+    The driver holds one line per file, as Spark's own listing does.
     """
-    if encoding is None:
-        others = not_utf8(spark, path, glob)
-        first = read_delimited(spark, path, schema, glob, sep, FIRST_ENCODING)
-        if others.isEmpty():
-            return first
-        last = read_delimited(spark, path, schema, glob, sep, LAST_ENCODING)
-        others = broadcast_if_small(others, ["file_path"])
-        return first.join(others, "file_path", "left_anti").unionByName(last.join(others, "file_path", "left_semi"))
+    files = file_status(spark, path, glob).where(F.col("status") == READABLE).collect()
+    groups: dict[tuple[str, str], list[str]] = {}
+    for f in files:
+        groups.setdefault((f["header"], encoding or f["encoding"]), []).append(f["file_path"])
+    known = {f.name: f for f in fixed.fields}
+    out = None
+    for (header, coding), paths in sorted(groups.items()):
+        schema = T.StructType([known.get(c, T.StructField(c, T.DoubleType())) for c in _columns(header, sep)])
+        part = _read_group(spark, paths, schema, sep, coding)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        empty = T.StructType([*fixed.fields, T.StructField(CORRUPT, T.StringType()), T.StructField("file_path", T.StringType())])
+        return spark.createDataFrame([], empty)
+    missing = [f for f in fixed.fields if f.name not in out.columns and f.name in REQUIRED]
+    return out.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else out
+
+
+def _read_group(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str, encoding: str) -> DataFrame:
     reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
               .option("header", True).option("sep", sep).option("encoding", encoding)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("enforceSchema", True).option("ignoreCorruptFiles", True).option("nanValue", "nan")
-              .option("recursiveFileLookup", True).option("pathGlobFilter", glob))
-    return reader.csv(path).withColumn("file_path", F.col("_metadata.file_path"))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+              .option("enforceSchema", True).option("ignoreCorruptFiles", True).option("nanValue", "nan"))
+    return reader.csv([_as_path(p) for p in paths]).withColumn("file_path", F.col("_metadata.file_path"))
 
 
-def _header_schema(spark: SparkSession, path: str, glob: str, fixed: T.StructType, sep: str = ",") -> T.StructType:
-    """Types by name for the columns the files have, in file order; others are markers."""
-    known = {f.name: f for f in fixed.fields}
-    header = file_header(spark, path, glob, sep)
-    return T.StructType([known.get(c, T.StructField(c, T.DoubleType())) for c in header]) if header else fixed
+def _is_bad(raw: DataFrame) -> Column:
+    # Spark does not read the column of bad lines without another one, so one goes along: no checksum is negative.
+    other = next((c for c, t in raw.dtypes if c not in (CORRUPT, "file_path") and t in ("double", "string", "bigint")), None)
+    checksum = F.crc32(F.coalesce(col(other).cast("string"), F.lit("")).cast("binary"))
+    return F.col(CORRUPT).isNotNull() | (checksum < 0)
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    """Lines that fit their columns; ``malformed`` has the others."""
+    return raw.where(~_is_bad(raw)).drop(CORRUPT) if CORRUPT in raw.columns else raw
+
+
+def malformed(raw: DataFrame) -> DataFrame:
+    """Lines that do not fit, with their file."""
+    return raw.where(_is_bad(raw)).select("file_path", CORRUPT)
+
+
+def raw_cells(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """All lines of every ``*mesmer_result.csv``, well formed or not."""
+    text_columns = [T.StructField("image_ID", T.StringType()), T.StructField("slide_folder", T.StringType())]
+    return read_delimited(spark, path, T.StructType([*RAW_CELL_SCHEMA.fields, *text_columns]), "*" + RAW_SUFFIX, encoding=encoding)
 
 
 def scan_cells(spark: SparkSession, path: str, conditions: list[str], encoding: str | None = None) -> DataFrame:
     """Raw cells of every ``*mesmer_result.csv`` in the slide folders, in canonical columns."""
-    glob = "*" + RAW_SUFFIX
-    text_columns = T.StructType([T.StructField("image_ID", T.StringType()), T.StructField("slide_folder", T.StringType())])
-    schema = _header_schema(spark, path, glob, T.StructType([*RAW_CELL_SCHEMA.fields, *text_columns.fields]))
-    raw = read_delimited(spark, path, schema, glob, encoding=encoding)
-    return canonical_cells(raw, conditions)
+    return canonical_cells(raw_cells(spark, path, encoding), conditions)
+
+
+def image_name(file_path: Column) -> Column:
+    """Image id in the path of a file of raw cells."""
+    return strip_suffix(file_name(F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))), "_" + RAW_SUFFIX, RAW_SUFFIX)
+
+
+def unread_images(spark: SparkSession, path: str) -> DataFrame:
+    """(image_id) of the files of raw cells that are empty or could not be read."""
+    lost = file_status(spark, path, "*" + RAW_SUFFIX).where(F.col("status") != READABLE)
+    return lost.select(image_name(F.col("file_path")).alias("image_id"))
 
 
 def _plain_path() -> Column:
@@ -102,7 +175,7 @@ def _plain_path() -> Column:
 def canonical_cells(raw: DataFrame, conditions: list[str]) -> DataFrame:
     """Image, slide, condition and tissue from the file path; canonical column names."""
     name = strip_suffix(file_name(F.col("file_path")), "_" + RAW_SUFFIX, RAW_SUFFIX)
-    rows = (raw.withColumn("file_path", _plain_path()).drop("image_ID", "slide_folder")
+    rows = (well_formed(raw).withColumn("file_path", _plain_path()).drop("image_ID", "slide_folder")
             .withColumns({"image_id": name,
                           "slide_folder": F.regexp_extract("file_path", r"([^/]+)/[^/]*$", 1)}))
     rows = rows.withColumns({
@@ -115,20 +188,23 @@ def canonical_cells(raw: DataFrame, conditions: list[str]) -> DataFrame:
 def scan_matched(spark: SparkSession, path: str, conditions: list[str], explicit: DataFrame | None = None,
                  matched_only: bool = True, encoding: str | None = None) -> DataFrame:
     """Typed cells of every ``*_matched_with_boundaries.csv``; hidden files are not read."""
-    glob = "*" + MATCHED_SUFFIX
-    schema = _header_schema(spark, path, glob, MATCHED_CELL_SCHEMA)
-    raw = read_delimited(spark, path, schema, glob, encoding=encoding)
+    raw = read_delimited(spark, path, MATCHED_CELL_SCHEMA, "*" + MATCHED_SUFFIX, encoding=encoding)
     return canonical_matched(raw, conditions, explicit, matched_only)
 
 
 def canonical_matched(raw: DataFrame, conditions: list[str], explicit: DataFrame | None = None,
                       matched_only: bool = True) -> DataFrame:
     """Image and condition from the file path; canonical column names; matched cells."""
-    rows = (raw.withColumn("image_id", strip_suffix(file_name(_plain_path()), MATCHED_SUFFIX))
+    rows = (well_formed(raw).withColumn("image_id", strip_suffix(file_name(_plain_path()), MATCHED_SUFFIX))
             .withColumnsRenamed({"centroid_x": "x", "centroid_y": "y"}).drop("file_path"))
     if "cell_id" not in rows.columns:
-        # Position and type name a cell where the file gives no id.
-        rows = rows.withColumn("cell_id", F.sha2(F.concat_ws("|", "x", "y", "cell_type"), 256))
+        rows = rows.withColumn("cell_id", F.lit(None).cast("string"))
+    # Where a file gives no id, place and type name a cell, and its number among equal ones.
+    spot = Window.partitionBy("image_id", "x", "y", "cell_type").orderBy(*[col(c) for c in rows.columns if c not in ("image_id", "x", "y", "cell_type")])
+    named = F.concat(F.sha2(F.concat_ws("|", F.col("x").cast("string"), F.col("y").cast("string"), F.coalesce("cell_type", F.lit(""))), 256),
+                     F.lit("-"), F.row_number().over(spot).cast("string"))
+    unnamed = rows.where("cell_id is null").withColumn("cell_id", named)
+    rows = unnamed if "cell_id" not in raw.columns else rows.where("cell_id is not null").unionByName(unnamed)
     rows = nan_to_null(assign_condition(rows, conditions, explicit))
     return filter_matched(rows, matched_only)
 
@@ -138,7 +214,7 @@ def assign_condition(rows: DataFrame, conditions: list[str], explicit: DataFrame
     if explicit is None:
         return rows.withColumn("condition", condition_prefix(F.col("image_id"), conditions))
     mapped = explicit.select("image_id", F.col("condition").alias("mapped_condition"))
-    return (rows.join(broadcast_if_small(mapped, ["image_id"]), "image_id", "left")
+    return (rows.join(mapped, "image_id", "left")
             .withColumn("condition", condition_prefix(F.col("image_id"), conditions, F.col("mapped_condition")))
             .drop("mapped_condition"))
 
@@ -164,16 +240,39 @@ def scan_flagged(cells: DataFrame, triads: DataFrame | None) -> tuple[DataFrame,
                 ("dist_anchor_p1_um", "double"), ("dist_anchor_p2_um", "double"))})
         return cells, none
     images = cells.select("image_id").distinct()
-    return cells, triads.join(broadcast_if_small(images, ["image_id"]), "image_id", "left_semi")
+    return cells, triads.join(images, "image_id", "left_semi")
+
+
+def _patient_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Patient lines with typed columns, and ``fits``: whether every typed value could be read."""
+    known = {f.name: f.dataType for f in PATIENT_SCHEMA.fields if not isinstance(f.dataType, T.StringType)}
+    raw = spark.read.option("header", True).csv(path)
+    text = lambda c: F.nullif(F.trim(col(c)), F.lit(""))
+    # Tables saved with missing numbers hold 1.0 where 1 is meant.
+    read = {c: text(c).try_cast("double") for c in raw.columns if c in known}
+    fits = reduce(lambda a, b: a & b, [text(c).isNull() | number.isNotNull() for c, number in read.items()], F.lit(True))
+    return raw.select(*[read[c].cast(known[c]).alias(c) if c in read else col(c) for c in raw.columns], fits.alias("fits"))
 
 
 def scan_patients(spark: SparkSession, path: str) -> DataFrame:
-    """Patient annotation with typed columns; others stay text."""
-    known = {f.name: f for f in PATIENT_SCHEMA.fields}
-    first = spark.read.csv(path).limit(1).collect()
-    header = list(first[0]) if first else PATIENT_SCHEMA.names
-    schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Patient annotation with typed columns; others stay text. Lines that fit no type are left to bad_patients."""
+    return _patient_lines(spark, path).where("fits").drop("fits")
+
+
+def bad_patients(spark: SparkSession, path: str) -> DataFrame:
+    """Patient lines with a value that is no number where one belongs; that value is null."""
+    return _patient_lines(spark, path).where("not fits").drop("fits")
+
+
+def condition_area_table(spark: SparkSession, areas: dict) -> DataFrame:
+    """(condition, timepoint, area_um2) from a map of areas, flat or nested by time point."""
+    rows = [(c, str(t), float(a)) for c, v in areas.items() for t, a in (v.items() if isinstance(v, dict) else [("", v)])]
+    return spark.createDataFrame(rows, "condition string, timepoint string, area_um2 double")
+
+
+def image_condition_table(spark: SparkSession, images: dict[str, str]) -> DataFrame:
+    """(image_id, condition) from a map of images."""
+    return spark.createDataFrame(sorted(images.items()), "image_id string, condition string")
 
 
 def scan_roi_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -184,7 +283,14 @@ def scan_roi_labels(spark: SparkSession, path: str) -> DataFrame:
 def not_yet_done(rows: DataFrame, manifest: DataFrame, keys: tuple[str, ...] = ("tissue_id", "condition")) -> DataFrame:
     """Rows whose key is not in the manifest of finished ones."""
     done = manifest.select(*keys).distinct()
-    return rows.join(broadcast_if_small(done, list(keys)), list(keys), "left_anti")
+    return rows.join(done, list(keys), "left_anti")
+
+
+def union_tables(parts: list[DataFrame]) -> DataFrame:
+    """Tables of several images as one, by column name; a column one lacks is null there."""
+    if not parts:
+        raise ValueError("no table to put together")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def union_conditions(tables: dict[str, DataFrame], conditions: list[str]) -> DataFrame:
@@ -217,13 +323,18 @@ def write_summary(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def audit_document(profiles: DataFrame, proposals: DataFrame) -> DataFrame:
-    """One JSON text per cluster: its profile and the proposed label."""
-    calls = proposals.select(F.col("cluster"), F.struct("label", "confidence", "reason").alias("call"))
-    body: Column = F.to_json(F.struct("cluster", F.struct("n", "high", "low", "pct_pos").alias("profile"), "call"))
-    return profiles.join(calls, "cluster", "left").select("cluster", body.alias("value"))
+    """One row with one JSON text: the profiles of all clusters, and the proposed labels of all calls, known cluster or not.
+
+    One entry per cluster, so the document is as small as the labelling it documents.
+    """
+    profile = F.struct("cluster", "n", "high", "low", "pct_pos")
+    call = F.struct("cluster", "label", "confidence", "reason")
+    listed = lambda df, entry, name: df.select(entry.alias("e")).agg(
+        F.sort_array(F.collect_list(F.to_json("e"))).alias(name), F.lit(1).alias("one"))
+    both = listed(profiles, profile, "profiles").join(listed(proposals, call, "calls"), "one")
+    array = lambda name: F.concat(F.lit("["), F.array_join(name, ","), F.lit("]"))
+    return both.select(F.concat(F.lit('{"profiles":'), array("profiles"), F.lit(',"calls":'), array("calls"), F.lit("}")).alias("value"))
 
 
 def write_audit_json(profiles: DataFrame, proposals: DataFrame, path: str, mode: str = "overwrite") -> None:
     audit_document(profiles, proposals).select("value").write.mode(mode).text(path)
-
-

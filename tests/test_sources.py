@@ -3,13 +3,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import regions
+from cellweave.operators import qc, regions
 from cellweave.plans.outcomes import analyse_survival, test_markers  # noqa: F401
 from cellweave.plans.preprocessing import preprocess
 from cellweave.plans.triads import analyse_triads
 from cellweave.plans.typing import Typing, type_by_rules
 from cellweave.operators.rules import parse_rules
-from cellweave.operators.triads import TriadSearch
+from cellweave.operators.triads import TriadSearch, condition_areas
 from cellweave.schema import RAW_CELL_SCHEMA, marker_columns
 from cellweave.sources import metadata, tables
 from cellweave.streaming.arrivals import arriving_files, work_off
@@ -27,11 +27,58 @@ def test_scan_cells_from_folders(spark, tmp_path):
     write(tmp_path / "slide2" / "other.csv", head + "9,9,9,9,9,9,9\n")
     cells = tables.scan_cells(spark, str(tmp_path), ["WT", "KO"])
     assert marker_columns(cells) == ["CD3", "F4/80"]
-    good = cells.where(F.col(tables.CORRUPT).isNull())
-    got = {(r.slide_folder, r.image_id, r.condition, r.tissue_id, r.cell_id, r["F4/80"]) for r in good.collect()}
+    got = {(r.slide_folder, r.image_id, r.condition, r.tissue_id, r.cell_id, r["F4/80"]) for r in cells.collect()}
     assert got == {("slide 1", "WT_s1_x1_y2", "WT", "s1", "1", None), ("slide 1", "WT_s1_x1_y2", "WT", "s1", "2", None),
                    ("slide2", "s2_KO", "KO", "s2", "1", 2.0)}
-    assert len(cells.select("cell_id", tables.CORRUPT).where(F.col(tables.CORRUPT).isNotNull()).collect()) == 1
+    assert cells.count() == 3
+    bad = tables.malformed(tables.raw_cells(spark, str(tmp_path))).collect()
+    assert [(r.file_path.rsplit("/", 1)[1], r[tables.CORRUPT]) for r in bad] == [("s2_KO_mesmer_result.csv", "bad,x")]
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    write(tmp_path / "a" / "WT_1_mesmer_result.csv", "label,x,y,area,DAPI,CD3,CD8\n1,1,2,3,4,0.3,0.8\n")
+    write(tmp_path / "a" / "WT_2_mesmer_result.csv", "label,x,y,area,DAPI,CD8,CD3\n1,1,2,3,4,0.8,0.3\n")
+    write(tmp_path / "b" / "WT_3_mesmer_result.csv", "label,area,y,x,DAPI,CD20\n1,3,2,1,4,0.9\n")
+    write(tmp_path / "b" / "WT_4_mesmer_result.csv", "label,x,y,area,DAPI,\"CD4, long\"\n1,1,2,3,4,0.4\n", "latin-1")
+    got = {r.image_id: r.asDict() for r in tables.scan_cells(spark, str(tmp_path), ["WT"]).collect()}
+    assert {k: (r["CD3"], r["CD8"], r["CD20"], r["CD4, long"], r["x"], r["area"]) for k, r in got.items()} == {
+        "WT_1": (0.3, 0.8, None, None, 1, 3), "WT_2": (0.3, 0.8, None, None, 1, 3), "WT_3": (None, None, 0.9, None, 1, 3),
+        "WT_4": (None, None, None, 0.4, 1, 3)}
+
+
+def test_unreadable_files_have_a_row(spark, tmp_path):
+    write(tmp_path / "a" / "WT_1_mesmer_result.csv", "label,x,y,area,DAPI,CD3\n1,1,2,3,4,0.3\n")
+    write(tmp_path / "a" / "WT_empty_mesmer_result.csv", "")
+    (tmp_path / "a" / "WT_broken.gz_mesmer_result.csv").write_bytes(b"")
+    (tmp_path / "b").mkdir()
+    status = {r.file_path.rsplit("/", 1)[1]: r.status for r in tables.file_status(spark, str(tmp_path), "*mesmer_result.csv").collect()}
+    assert status == {"WT_1_mesmer_result.csv": "OK", "WT_empty_mesmer_result.csv": "EMPTY", "WT_broken.gz_mesmer_result.csv": "EMPTY"}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.csv.gz").write_bytes(b"\x1f\x8bnot gzip at all")
+    assert [r.status for r in tables.file_status(spark, str(tmp_path / "c"), "*.gz").collect()] == ["ERROR"]
+    lost = tables.unread_images(spark, str(tmp_path))
+    assert {r.image_id for r in lost.collect()} == {"WT_empty", "WT_broken.gz"}
+    cells = tables.scan_cells(spark, str(tmp_path), ["WT"])
+    thr = qc.percentile_thresholds(cells, 1, 1)
+    none = spark.createDataFrame([], "image_id string, z_count_cutoff double, z_sum_cutoff double")
+    stats = qc.processing_stats(cells, cells, cells, none, thr, None, lost)
+    assert {r.image_id: (r.status, r.original_cells) for r in stats.collect()} == {
+        "WT_1": ("PROCESSED", 1), "WT_empty": ("ERROR", 0), "WT_broken.gz": ("ERROR", 0)}
+
+
+def test_cells_without_ids_stay_apart(spark, tmp_path):
+    write(tmp_path / "i_matched_with_boundaries.csv", "centroid_x,centroid_y,cell_type,CD3\n1,2,T,0.5\n1,2,T,0.5\n1,2,T,0.7\n1,2,B,0.5\n")
+    write(tmp_path / "j_matched_with_boundaries.csv", "cell_id,centroid_x,centroid_y,cell_type\nq,1,2,T\n")
+    rows = tables.scan_matched(spark, str(tmp_path), []).collect()
+    assert len({(r.image_id, r.cell_id) for r in rows}) == 5 and {r.cell_id for r in rows if r.image_id == "j"} == {"q"}
+
+
+def test_config_maps(spark):
+    flat = tables.condition_area_table(spark, {"WT": 2, "KO": 3.5})
+    nested = tables.condition_area_table(spark, {"WT": {"d1": 1, "d2": 1.0}, "KO": 3.5})
+    for table in (flat, nested):
+        assert {r.condition: r.area_um2 for r in condition_areas(table).collect()} == {"WT": 2.0, "KO": 3.5}
+    assert tables.image_condition_table(spark, {"i": "WT"}).first() == ("i", "WT")
 
 
 def test_scan_matched_skips_hidden_and_unmatched(spark, tmp_path):
@@ -60,6 +107,10 @@ def test_scan_patients_and_roi_labels(spark, tmp_path):
     rows = tables.scan_patients(spark, str(tmp_path / "p.csv")).collect()
     assert rows[0]["TMA spot / region"] == "1,2" and rows[0].OS == 3.5 and rows[0].Sex == "F" and rows[1].Patient is None
     write(tmp_path / "roi.txt", "Name\tX\tY\tROI Width\tROI Height\nr1\t1\t2\t3\t4\n")
+    write(tmp_path / "q.csv", 'Patient,Group,TMA spot / region,OS,OS_Censor,Sex\n1.0,2.0,"1,2",3.5,0.0,F\nx,1,3,1,1,M\n')
+    rows = tables.scan_patients(spark, str(tmp_path / "q.csv")).collect()
+    assert [(r.Patient, r.Group, r.OS_Censor) for r in rows] == [(1, 2, 0)]
+    assert [(r.Patient, r.Group, r.Sex) for r in tables.bad_patients(spark, str(tmp_path / "q.csv")).collect()] == [(None, 1, "M")]
     labels = regions.canonical_labels(tables.scan_roi_labels(spark, str(tmp_path / "roi.txt")))
     assert tuple(labels.first()) == ("r1", 1, 2, 3, 4)
     assert regions.canonical_labels(labels) is None
@@ -91,10 +142,10 @@ def test_sinks(spark, tmp_path):
     profile = spark.createDataFrame([("1", 3, [("a", 1.5)], [("b", -1.0)], {"a": 50.0})],
                                     "cluster string, n bigint, high array<struct<marker:string,z:double>>, "
                                     "low array<struct<marker:string,z:double>>, pct_pos map<string,double>")
-    calls = spark.createDataFrame([("1", "T cell", "low", "why")], "cluster string, label string, confidence string, reason string")
+    calls = spark.createDataFrame([("1", "T cell", "low", "why"), ("7", "none such", "low", "no")], "cluster string, label string, confidence string, reason string")
     tables.write_audit_json(profile, calls, str(tmp_path / "audit"))
     doc = json.loads(spark.read.text(str(tmp_path / "audit")).first().value)
-    assert doc["profile"]["high"] == [{"marker": "a", "z": 1.5}] and doc["call"]["label"] == "T cell"
+    assert doc["profiles"][0]["high"] == [{"marker": "a", "z": 1.5}] and [c["label"] for c in doc["calls"]] == ["T cell", "none such"]
 
 
 def test_arrivals_are_handled_once(spark, tmp_path):

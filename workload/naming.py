@@ -35,24 +35,30 @@ def condition_prefix(spark, sf):
     return image_names(spark, sf).select("c_custkey", names.condition_prefix(F.col("name"), TWO).alias("condition"))
 
 
-def _tissue_sql() -> str:
-    out = r"trim(regexp_replace(regexp_replace(name, '^\s+|\s+$', '', 'g'), '_+$', ''))"
-    for c in TWO:
-        out = rf"regexp_replace({out}, '^{c}[_\s]+', '', 'i')"
-        out = rf"regexp_replace({out}, '[_\s]+{c}[_\s]*$', '', 'i')"
-        out = rf"regexp_replace({out}, '[_\s]+{c}[_\s]+', '_', 'gi')"
-    out = rf"regexp_replace({out}, '_x\d+_y\d+(?:_w\d+_h\d+)?', '', 'g')"
-    return rf"trim(regexp_replace({out}, '[_\s]+', '_', 'g'), '_')"
-
-
-@query("tissue_id", f"WITH {IMAGE_NAMES} SELECT c_custkey, {_tissue_sql()} AS tissue_id FROM names")
+TISSUE = r"""parts AS (SELECT c_custkey, list_filter(regexp_split_to_array(name, '[_\s]+'), lambda t: t <> '') AS every,
+  list_filter(regexp_split_to_array(name, '[_\s]+'), lambda t: t <> '' AND upper(t) NOT IN ('WT', 'KO')) AS others FROM names),
+kept AS (SELECT c_custkey, CASE WHEN len(others) = 0 THEN every ELSE others END AS p FROM parts),
+boxes AS (SELECT c_custkey, p, list_filter(range(2, len(p)), lambda i: regexp_full_match(p[i], 'x\d+') AND regexp_full_match(p[i + 1], 'y\d+')) AS starts
+  FROM kept),
+dropped AS (SELECT c_custkey, p, list_concat(list_concat(starts, list_transform(starts, lambda i: i + 1)), flatten(list_transform(list_filter(starts,
+  lambda i: i + 3 <= len(p) AND regexp_full_match(p[i + 2], 'w\d+') AND regexp_full_match(p[i + 3], 'h\d+')), lambda i: [i + 2, i + 3]))) AS gone
+  FROM boxes)"""
+
+
+@query("tissue_id", f"""WITH {IMAGE_NAMES}, {TISSUE} SELECT c_custkey,
+  array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: NOT list_contains(gone, i)), lambda i: p[i]), '_') AS tissue_id
+FROM dropped""")
 def tissue_id(spark, sf):
     return image_names(spark, sf).select("c_custkey", names.tissue_id(F.col("name"), TWO).alias("tissue_id"))
 
 
-@query("strip_suffix", f"WITH {IMAGE_NAMES} SELECT c_custkey, name AS image_id FROM names")
+@query("strip_suffix", f"""WITH {IMAGE_NAMES} SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN name WHEN 1 THEN name || '_a' ELSE name END AS image_id
+FROM names""")
 def strip_suffix(spark, sf):
-    stored = F.concat(F.col("name"), F.lit("_mesmer_result.csv"))
+    # The ending as it is, inside a name, and in its short form.
+    ending = F.element_at(F.array(F.lit("_mesmer_result.csv"), F.lit("_mesmer_result.csv_a"), F.lit("mesmer_result.csv")),
+                          (F.col("c_custkey") % 3 + 1).cast("int"))
+    stored = F.concat(F.col("name"), ending)
     return image_names(spark, sf).select(
         "c_custkey", names.strip_suffix(stored, "_" + names.RAW_SUFFIX, names.RAW_SUFFIX).alias("image_id"))
 

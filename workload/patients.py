@@ -8,14 +8,20 @@ from cellweave.operators import patients as ops, survival as sv
 from cellweave.operators.lineage import materialize
 from workload.registry import query
 from workload.triads import short_summary
-from workload.views import CELLS, PATIENTS, patients, summary_sql, table
+from workload.views import CELLS, PATIENTS, erfc_sql, patients, stars_sql, summary_sql, table
 
 AREA = ops.AREA_PER_IMAGE_UM2
 
-COUNTS = f"""{summary_sql()},
-universe AS (SELECT printf('reg%03d', s_suppkey) AS image_id, s_suppkey AS reg FROM supplier WHERE s_suppkey % 10 <> 9),
+def counts_sql(where: str = "TRUE") -> str:
+    return f"""{summary_sql()},
+universe AS (SELECT printf('reg%03d', s_suppkey) AS image_id, s_suppkey AS reg FROM supplier WHERE {where}),
 image_counts AS (SELECT u.image_id, u.reg, coalesce(sum(n_triads), 0) AS n_triads
                  FROM universe u LEFT JOIN summary s USING (image_id) GROUP BY ALL)"""
+
+
+COUNTS = counts_sql()
+# Images outside the universe are dropped; only the query that shows this leaves some out.
+KNOWN = "s_suppkey % 10 <> 9"
 DENSITY = f"""{COUNTS}, {PATIENTS},
 density AS (
   SELECT p.patient, p.grp, count(i.image_id) AS n_images, coalesce(sum(i.n_triads), 0) AS total_triads
@@ -33,14 +39,14 @@ surv AS (
 OUTCOMES = {"OS": ("OS", "OS_Censor"), "DFS": ("DFS", "DFS_Censor")}
 
 
-def universe(spark, sf):
-    listed = table(spark, sf, "supplier").where("s_suppkey % 10 <> 9").select(
+def universe(spark, sf, where="TRUE"):
+    listed = table(spark, sf, "supplier").where(where).select(
         F.format_string("reg%03d", "s_suppkey").alias("image_id"))
     return ops.image_universe(listed, listed)
 
 
-def counts(spark, sf):
-    return ops.reindex_zero(ops.image_triads(short_summary(spark, sf)), universe(spark, sf))
+def counts(spark, sf, where="TRUE"):
+    return ops.reindex_zero(ops.image_triads(short_summary(spark, sf)), universe(spark, sf, where))
 
 
 def merged(spark, sf):
@@ -66,7 +72,7 @@ def scan_patients(spark, sf):
                     F.round("OS", 6).alias("OS"), "OS_Censor", F.round("DFS", 6).alias("DFS"), "DFS_Censor")
 
 
-@query("image_universe", "SELECT printf('reg%03d', s_suppkey) AS image_id FROM supplier WHERE s_suppkey % 10 <> 9")
+@query("image_universe", "SELECT printf('reg%03d', s_suppkey) AS image_id FROM supplier")
 def image_universe(spark, sf):
     return universe(spark, sf)
 
@@ -77,9 +83,9 @@ def image_triads(spark, sf):
     return ops.image_triads(short_summary(spark, sf))
 
 
-@query("reindex_zero", f"WITH {CELLS}, {COUNTS} SELECT image_id, CAST(n_triads AS BIGINT) AS n_triads FROM image_counts")
+@query("reindex_zero", f"WITH {CELLS}, {counts_sql(KNOWN)} SELECT image_id, CAST(n_triads AS BIGINT) AS n_triads FROM image_counts")
 def reindex_zero(spark, sf):
-    return counts(spark, sf)
+    return counts(spark, sf, KNOWN)
 
 
 @query("patient_images", f"""WITH {CELLS}, {COUNTS}, {PATIENTS}
@@ -186,6 +192,13 @@ def logrank_by_condition(spark, sf):
     return _logrank(sv.survival_rows(labelled, OUTCOMES, "condition_label"))
 
 
-@query("log_rank_test")
+@query("log_rank_test", f"""WITH {CELLS}, {SPLIT}, {logrank_sql('surv')},
+sizes AS (SELECT outcome, count_if(grp = g1) AS n_1, count_if(grp = g2) AS n_2 FROM surv JOIN groups USING (outcome) GROUP BY outcome),
+tested AS (SELECT *, (o - ex) * (o - ex) / v AS chi2, sqrt((o - ex) * (o - ex) / v / 2) AS x FROM lr),
+p AS (SELECT *, {erfc_sql('x')} AS p FROM tested)
+SELECT outcome, 'median' AS split_by, CAST(NULL AS DOUBLE) AS threshold, round(chi2, 5) AS chi2, round(p, 6) AS logrank_p,
+  {stars_sql('p')} AS significance, g1 AS group_1, g2 AS group_2, CAST(n_1 AS BIGINT) AS n_1, CAST(n_2 AS BIGINT) AS n_2
+FROM p JOIN groups USING (outcome) JOIN sizes USING (outcome)""")
 def log_rank_test(spark, sf):
-    return sv.log_rank_results(rows(spark, sf), "median", None)
+    found = sv.log_rank_results(rows(spark, sf), "median", None)
+    return found.withColumns({"chi2": F.round("chi2", 5), "logrank_p": F.round("logrank_p", 6)})

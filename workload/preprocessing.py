@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cellweave.operators import composition, markers as mk, qc
 from cellweave.operators.lineage import materialize
 from cellweave.schema import drop_shape_columns
+from cellweave.sources.tables import union_tables
 from workload.registry import query
 from workload.views import CELLS, CONDITIONS, MARKERS, cells, table
 
@@ -295,6 +296,13 @@ def union_conditions(spark, sf):
 
 
 @query("union_images", f"""WITH {CELLS}
-SELECT image_id, CAST(count(*) AS BIGINT) AS n_cells FROM cells GROUP BY image_id""")
+SELECT image_id, CAST(count(*) AS BIGINT) AS n_cells, round(sum(CASE WHEN l_suppkey_odd THEN NULL ELSE l_tax END), 4) AS tax,
+  round(sum(CASE WHEN l_suppkey_odd THEN l_discount END), 4) AS discount
+FROM (SELECT *, condition = 'DII' AS l_suppkey_odd FROM cells) GROUP BY image_id""")
 def union_images(spark, sf):
-    return cells(spark, sf).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    # Images of two panels: each table lacks a column of the other.
+    c = cells(spark, sf)
+    even = c.where("condition = 'CLR'").select("image_id", "cell_id", "l_tax")
+    odd = c.where("condition = 'DII'").select("l_discount", "cell_id", "image_id")
+    return union_tables([even, odd]).groupBy("image_id").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.round(F.sum("l_tax"), 4).alias("tax"), F.round(F.sum("l_discount"), 4).alias("discount"))

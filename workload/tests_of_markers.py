@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import ranktests as rt, triads as ops
 from cellweave.operators.lineage import materialize
-from cellweave.operators.skew import broadcast_if_small
 from workload.registry import query
 from workload.triads import REPORT_UM
-from workload.views import CELLS, CONDITIONS, RADIUS, cells, triads_sql
+from workload.views import CELLS, CONDITIONS, RADIUS, cells, erfc_sql, stars_sql, triads_sql
 
 ROLES = {"anchor": "A", "partner1": "N", "partner2": "R"}
 NAMES = {"anchor": "Anchor", "partner1": "N", "partner2": "R"}
@@ -22,7 +21,7 @@ def flagged(spark, sf):
     slim = cells(spark, sf).select("image_id", "condition", "cell_id", "x", "y", "cell_type")
     found = materialize(ops.find_triads(slim, ops.TriadSearch(RADIUS, 1.0, "A", "N", "R"), False))
     images = found.select("image_id").distinct()
-    inside = cells(spark, sf).select(*keep).join(broadcast_if_small(images, ["image_id"]), "image_id", "left_semi")
+    inside = cells(spark, sf).select(*keep).join(images, "image_id", "left_semi")
     return materialize(ops.flags_from_triads(inside, ops.report_radius_filter(found, REPORT_UM), True))
 
 
@@ -113,7 +112,25 @@ def test_between_conditions(spark, sf):
     return _shown(rt.between_conditions(_rows(spark, sf), CONDITIONS))
 
 
-@query("functional_summary")
+_SUMMED = """cell_type, comparison, marker, "group_A", "group_B", n1, n2, mean_a, mean_b, median_a, median_b, u,
+  CASE WHEN n1 >= 3 AND n2 >= 3 THEN greatest(z, 0) / sqrt(2) END AS x"""
+
+
+@query("functional_summary", f"""WITH {CELLS}, {FLAGGED},
+a AS (WITH {test_sql("rows_", "role, cell_type, marker")} SELECT *, 'in_triad_vs_out' AS comparison, 'in_triad' AS "group_A",
+  'not_in_triad' AS "group_B", CASE WHEN n1 >= 3 AND n2 >= 3 THEN ub END AS u FROM tested),
+inside AS (SELECT role, cell_type, marker, value, condition = 'CLR' AS in_a FROM rows_ WHERE in_a),
+b AS (WITH {test_sql("inside", "role, cell_type, marker")} SELECT *, 'CLR_vs_DII_in_triad' AS comparison, 'CLR' AS "group_A",
+  'DII' AS "group_B", CASE WHEN n1 >= 3 AND n2 >= 3 THEN ua END AS u FROM tested WHERE n >= 6 AND n1 >= 3 AND n2 >= 3),
+both_ AS (SELECT {_SUMMED} FROM a UNION ALL SELECT {_SUMMED} FROM b),
+p AS (SELECT *, CASE WHEN x IS NOT NULL THEN {erfc_sql('x')} END AS p FROM both_)
+SELECT cell_type, comparison, marker, CASE marker {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SHOWN.items())} END AS marker_col,
+  "group_A", "group_B", CAST(n1 AS BIGINT) AS "n_A", CAST(n2 AS BIGINT) AS "n_B", round(mean_a, 4) AS "mean_A", round(mean_b, 4) AS "mean_B",
+  round(median_a, 4) AS "median_A", round(median_b, 4) AS "median_B", u AS "mannwhitney_U", round(p, 6) AS p_value,
+  {stars_sql('p')} AS significance, round(0.05 / count(*) OVER (), 8) AS bonferroni_alpha,
+  coalesce(p < 0.05 / count(*) OVER (), FALSE) AS sig_bonferroni FROM p""")
 def functional_summary(spark, sf):
-    return rt.functional_summary(flagged(spark, sf), ROLES, NAMES, SHOWN, CONDITIONS)
+    out = rt.functional_summary(flagged(spark, sf), ROLES, NAMES, SHOWN, CONDITIONS)
+    digits = {"mean_A": 4, "mean_B": 4, "median_A": 4, "median_B": 4, "p_value": 6}
+    return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in out.columns])
 

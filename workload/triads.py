@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import neighbors, triads as ops
 from cellweave.operators.lineage import materialize
-from cellweave.operators.skew import broadcast_if_small
 from cellweave.sources.tables import assign_condition
 from workload.registry import query
 from workload.views import (
@@ -33,7 +32,7 @@ def short_summary(spark, sf):
     """Triads per image from neighbour counts, where distances are not asked for; written once."""
     images = _slim(spark, sf).select("image_id", "condition").distinct()
     counts = ops.triad_counts(_slim(spark, sf), SEARCH)
-    return materialize(counts.join(broadcast_if_small(images, ["image_id"]), "image_id")
+    return materialize(counts.join(images, "image_id")
                        .withColumn("combo_label", SEARCH.label(*[F.col(t) for t in ops.TYPES])))
 
 
@@ -67,7 +66,7 @@ def triad_join(spark, sf):
         *[F.round(d, 6).alias(d) for d in ops.DISTANCES], "triad_combo_label", "n_p1_neighbors", "n_p2_neighbors")
 
 
-@query("triad_join_all", f"""WITH {CELLS}, {pairs_sql()}
+@query("triad_join_all", f"""WITH {CELLS.replace("cells AS (", "cells AS MATERIALIZED (", 1)}, {pairs_sql().replace("pairs AS (", "pairs AS MATERIALIZED (", 1)}
 SELECT p.image_id, p.anchor_id AS anchor_cell_id, p.other_id AS partner1_cell_id, q.other_id AS partner2_cell_id,
        p.anchor_type || '__' || p.other_type || '__' || q.other_type AS triad_combo_label
 FROM pairs p JOIN pairs q ON p.image_id = q.image_id AND p.anchor_id = q.anchor_id
@@ -178,7 +177,7 @@ def area_lookup(spark, sf):
     counts = (cells(spark, sf)
               .groupBy(F.when(F.col("tissue_id") == "core0", "Unknown").otherwise(F.col("condition")).alias("condition"))
               .agg(F.count(F.lit(1)).alias("n")))
-    return (counts.join(broadcast_if_small(known, ["condition"]), "condition", "left")
+    return (counts.join(known, "condition", "left")
             .select("condition", "n", (F.col("area_um2") / 1e6).alias("area_mm2")))
 
 

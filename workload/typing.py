@@ -196,7 +196,8 @@ ROUNDS = 12
 SELECT marker, round(least(m0, m1) + 2.0 * sqrt(CASE WHEN m0 <= m1 THEN v0 ELSE v1 END), 4) AS threshold,
        'mixture' AS method FROM fit_{ROUNDS}""")
 def gmm_threshold(spark, sf):
-    return mixture.thresholds_from_long(bimodal(spark, sf), {}, 2.0).withColumn("threshold", F.round("threshold", 4))
+    found = mixture.thresholds_from_long(bimodal(spark, sf), {}, 2.0)
+    return found.select("marker", F.round("threshold", 4).alias("threshold"), "method")
 
 
 BY_MARKER = mixture.multipliers(MARKERS, 2.0, {"l_tax": 1.5}, ["l_quantity"], 3.0)

@@ -74,6 +74,16 @@ summary AS (
   FROM triads GROUP BY ALL)"""
 
 
+def erfc_sql(x: str) -> str:
+    """Complement of the error function by numerical integration: Simpson's rule on [x, x + 8], 400 steps."""
+    return (f"(CASE WHEN {x} > 20 THEN 0.0 ELSE 2 / sqrt(pi()) * (8.0 / 1200) * list_sum(list_transform(range(0, 401), lambda i: "
+            f"(CASE WHEN i = 0 OR i = 400 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-pow({x} + i * 0.02, 2)))) END)")
+
+
+def stars_sql(p: str) -> str:
+    return f"CASE WHEN {p} < 0.001 THEN '***' WHEN {p} < 0.01 THEN '**' WHEN {p} < 0.05 THEN '*' ELSE 'ns' END"
+
+
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Condition areas by time point: the suppliers' balance digits stand in for areas."""
     s = table(spark, sf_dir, "supplier")
