@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import hinted, stored
-from cellweave.operators.lineage import shared_folder
+from cellweave.operators.lineage import owned_folder
 
 # Fixed values of the formats.
 ARC_FIELDS = {
@@ -290,7 +290,7 @@ def archived(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     ``page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, uri, date``.
     """
     spark = pages.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    folder = f"{owned_folder(spark)}/archives-{uuid.uuid4().hex}"
     write_arc(pages, f"{folder}/arc")
     arc_to_warc(spark, f"{folder}/arc", f"{folder}/warc", least)
     back = stored(read_warc(spark, f"{folder}/warc", False))
