@@ -73,7 +73,7 @@ def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int =
     asking = (queries.join(sizes, "home").withColumn("query_block", own(F.col("query_blocks"))).withColumn("block", every("blocks"))
               .select(*key, "site", "vector"))
     asked = (members.join(sizes, "home").withColumn("block", own(F.col("blocks"))).withColumn("query_block", every("query_blocks"))
-             .select(*key, "site", "ids", "vector"))
+             .select(*[F.col(c).alias(c) for c in (*key, "site", "ids", "vector")]))
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):

@@ -92,14 +92,15 @@ def test_cluster_profiles(spark):
     assert got["1"].n == 2 and got["1"].pct_pos == {"a": 50.0}
 
 
-@pytest.mark.parametrize("pivots,block", [(256, 2000), (5, 9)])
-def test_knn_matches_brute_force_with_copies(spark, pivots, block):
+@pytest.mark.parametrize("method,pivots,block", [("exact", 256, 2000), ("exact", 5, 9), ("grouped", 5, 9)])
+def test_knn_matches_brute_force_with_copies(spark, method, pivots, block):
     rng = np.random.default_rng(1)
     points = rng.normal(size=(150, 4)).round(2)
     points[:60] = points[0]
     df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id bigint, vector array<double>")
     got = {}
-    for r in knn(df, 6, pivots, block).collect():
+    # With every group asked, the grouped search is exact as well.
+    for r in knn(df, 6, method, pivots, pivots, block).collect():
         got.setdefault(r.src, []).append((r["rank"], r.dst))
     d2 = ((points[:, None] - points[None]) ** 2).sum(-1)
     for i in range(len(points)):
@@ -109,6 +110,22 @@ def test_knn_matches_brute_force_with_copies(spark, pivots, block):
             assert [j for _, j in sorted(got[i])] == [j for _, j in want]
 
 
+def test_grouped_neighbours_recall_and_reach(spark):
+    points = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").selectExpr("vec_id AS id", "embedding AS vector")
+    pairs = lambda **more: {(r.src, r.dst) for r in knn(points, 15, **more).collect()}
+    exact, grouped = pairs(), pairs(method="grouped")
+    assert len(exact & grouped) >= 0.95 * len(exact)
+    with pytest.raises(ValueError):
+        knn(points, 3, "nearest")
+
+
+def test_communities_are_numbered_by_their_smallest_member(spark):
+    cliques = [[9, 3, 30], [5, 4, 40, 41], [7, 8]]
+    edges = [(a, b, 1.0) for c in cliques for a in c for b in c if a != b]
+    found = communities.communities(spark.createDataFrame(edges, "src bigint, dst bigint, weight double"))
+    assert {r.node: r.community for r in found.collect()} == {n: min(c) for c in cliques for n in c}
+
+
 def test_communities_find_planted_groups(spark):
     rng = np.random.default_rng(2)
     centers = rng.normal(size=(4, 5)) * 20

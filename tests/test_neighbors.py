@@ -1,8 +1,12 @@
+from pathlib import Path
+from collections import Counter
+import time
 import itertools
 import math
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from cellweave.operators import neighbors, triads as ops
@@ -142,3 +146,47 @@ def test_labels_use_short_names_per_role(spark):
     search = ops.TriadSearch(5.0, 1.0, "A", "A", "B", {"A": "first"}, {}, {"B": "last"})
     df = spark.createDataFrame([("A", "A", "B")], "a string, b string, c string")
     assert df.select(search.label(F.col("a"), F.col("b"), F.col("c"))).first()[0] == "first__A__last"
+
+
+def test_repeated_ids_count_alike_with_and_without_crowds(spark):
+    rows = [("i", "a", 0.0, 0.0, "A"), ("i", "a", 0.0, 0.0, "A"), ("i", "a", 1.0, 0.0, "B"), ("i", "b", 1.0, 1.0, "A"),
+            ("i", "c", 2.0, 0.0, "B"), ("i", "c", 2.0, 0.0, "B"), ("i", "d", 50.0, 50.0, "B"), ("j", "a", 0.0, 0.0, "A")]
+    df = spark.createDataFrame(rows, "image_id string, cell_id string, x double, y double, cell_type string")
+    want = Counter()
+    for place, times in Counter((r[0], r[1], r[2], r[3]) for r in rows).items():
+        near = Counter(r[4] for r in rows if r[0] == place[0] and r[1] != place[1] and math.dist(r[2:4], place[2:]) <= 5)
+        want.update({(place[0], place[1], t, n * times): 1 for t, n in near.items()})
+    for limit in (4000, 2, 1):
+        got = Counter(tuple(r) for r in neighbors.type_counts(df, df, 5.0, limit).select("image_id", "anchor_cell_id", "neighbor_type", "n").collect())
+        assert got == want, limit
+
+
+def jobs_of(spark, work):
+    group = f"count-{time.time_ns()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("name", ["zscore_norm", "triad_flags", "test_in_vs_out", "noise_filter", "logrank"])
+def test_plans_are_built_with_few_jobs_beyond_stored_stages(spark, monkeypatch, name):
+    from cellweave.operators import lineage
+    from workload import REGISTRY
+    stored = []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: stored.append(jobs_of(spark, lambda: write(self, path, *a, **k))))
+    beyond = jobs_of(spark, lambda: REGISTRY[name].build(spark, "/root/testdata/sf0.001"))
+    assert stored and beyond <= 5 + 2 * len(stored), (beyond, stored)
+    lineage.drop_stages(spark)
+
+
+def test_nothing_is_left_behind(spark):
+    from cellweave.operators import lineage
+    from workload import REGISTRY
+    folder = Path(lineage.owned_folder(spark).removeprefix("file:"))
+    assert REGISTRY["zscore_norm"].build(spark, "/root/testdata/sf0.001").count() and any(folder.iterdir())
+    lineage.drop_stages(spark)
+    assert not folder.exists()
