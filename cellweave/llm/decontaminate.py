@@ -7,6 +7,8 @@ Each kept hash of a document carries the words a span around it can reach; a hit
 An item with fewer words than a span is one window of its own length L, winnowed with single words: of every L
 consecutive words the smallest hash is kept. Only lengths that occur in the benchmark are added.
 
+The words of a document are counted by the same reading: a row with no hash carries the count through the join.
+
 The benchmark is the small side. Its hashes are counted and broadcast up to ``BROADCAST_ROWS``; a larger benchmark is
 joined by shuffling. Documents are read in place, and only hits are moved. Hit words are counted per document as the
 length of a union of intervals, in one ordered pass.
@@ -18,6 +20,8 @@ that hits words and counts, but is not in the list of ids; repeated item ids are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ SPAN, K = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A kept hash and its place in one number: 33 bits of hash above 30 bits of place.
 _PLACE = 30
+# Numbers below zero are no hashes: under them the number of words goes through the join, spread over so many keys.
+COUNTS = 1024
 
 
 def words(text: Column) -> Column:
@@ -41,7 +47,10 @@ def _minima(grams: Column, k: int, window: int) -> Column:
 
 
 def _kept_rows(df: DataFrame, carry: list[str], k: int, window: int, around: bool) -> DataFrame:
-    """``carry, hash, at`` of every kept hash of ``words``; with ``around`` also the words a span can reach, and its start."""
+    """``carry, hash, at`` of every kept hash of ``words``; with ``around`` also the words a span can reach, and its start.
+
+    With ``around`` a text also gets a row with a hash below zero, whose ``at`` is the number of its words.
+    """
     span = k + window - 1
     gram = lambda x, i: F.xxhash64(x, *[F.get(F.col("hashes"), i + n) for n in range(1, k)])
     grams = df.withColumn("grams", F.transform("hashes", lambda x, i: F.shiftleft(
@@ -52,7 +61,11 @@ def _kept_rows(df: DataFrame, carry: list[str], k: int, window: int, around: boo
     fields = lambda x: [F.shiftrightunsigned(x, _PLACE).alias("hash"), place(x).alias("at")] + ([
         first(x).alias("start"), F.slice("words", first(x) + 1, place(x) + span - first(x)).alias("near")] if around else [])
     # The outer form, since before an inner one the optimizer computes the array once more to test its size.
-    each = F.explode_outer(F.transform("numbers", lambda x: F.struct(*fields(x)))).alias("kept")
+    each = F.transform("numbers", lambda x: F.struct(*fields(x)))
+    if around:
+        count = F.struct((-1 - F.pmod(F.xxhash64(*carry), F.lit(COUNTS))).alias("hash"), F.size("words").alias("at"), F.lit(0).alias("start"), F.array().cast("array<string>").alias("near"))
+        each = F.concat(F.array(count), each)
+    each = F.explode_outer(each).alias("kept")
     return numbers.select(*carry, each).where("kept is not null").select(*carry, "kept.*")
 
 
@@ -70,32 +83,45 @@ def windows_of(benchmark: DataFrame, key: str = "item_id", text: str = "text") -
         .distinct())
 
 
+def _anchors(docs: DataFrame, windows: DataFrame, long: int) -> DataFrame:
+    """``id, hash, at, start, near``: kept hashes that documents share with windows of ``long`` words, and counts of words."""
+    k, window = (K, SPAN - K + 1) if long == SPAN else (1, long)
+    sides = windows.where(F.col("long") == long).withColumn("words", F.split("window", " "))
+    sides = sides.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
+    marks = stored(_kept_rows(sides, [], k, window, False).select("hash").distinct().union(
+        docs.sparkSession.range(-COUNTS, 0).toDF("hash")))
+    return _kept_rows(_hashed(docs, "id", "text"), ["id"], k, window, True).join(hinted(marks, marks.count()), "hash")
+
+
+def _extended(anchors: DataFrame, windows: DataFrame, long: int) -> DataFrame:
+    """``id, start, long, window``: the windows that occur around anchors, word by word."""
+    same = windows.where(F.col("long") == long).select("window", "long")
+    reached = anchors.where("hash >= 0").select("id", F.explode(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("near") - long, F.lit(0))),
+        lambda o: F.struct((F.col("start") + o).alias("start"), F.array_join(F.slice("near", o + 1, long), " ").alias("window")))).alias("w"))
+    return reached.select("id", "w.*").join(hinted(same, same.count()), "window").select("id", "start", "long", "window").distinct()
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-         item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``id, start, long, window``: every place of a document where a window of the benchmark occurs."""
+         item_key: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``id, start, long, window``: every place of a document where a window of the benchmark occurs; and ``id, n_words``.
+
+    Documents are read once per length of windows, which is once unless the benchmark has items shorter than a span.
+    """
+    once = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     windows = stored(windows_of(benchmark, item_key, item_text).select("long", "window").distinct())
-    sides = windows.withColumn("words", F.split("window", " ")).withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
-    found = None
-    for long in sorted(r["long"] for r in windows.select("long").distinct().collect()):
-        k, window = (K, SPAN - K + 1) if long == SPAN else (1, long)
-        marks = stored(_kept_rows(sides.where(F.col("long") == long), [], k, window, False).select("hash").distinct())
-        anchored = _kept_rows(_hashed(docs, key, text), ["id"], k, window, True).join(hinted(marks, marks.count()), "hash")
-        reached = anchored.select("id", F.explode(F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size("near") - long, F.lit(0))),
-            lambda o: F.struct((F.col("start") + o).alias("start"), F.array_join(F.slice("near", o + 1, long), " ").alias("window")))).alias("w"))
-        same = windows.where(F.col("long") == long).select("window", "long")
-        part = reached.select("id", "w.*").join(hinted(same, same.count()), "window").select("id", "start", "long", "window").distinct()
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = docs.select(F.col(f"`{key}`").alias("id"), F.lit(0).alias("start"), F.lit(0).alias("long"), F.lit("").alias("window")).where("false")
-    return found
+    lengths = sorted((r["long"] for r in windows.select("long").distinct().collect()), reverse=True) or [SPAN]
+    anchors = [(long, stored(_anchors(once, windows, long))) for long in lengths]
+    found = reduce(DataFrame.union, (_extended(rows, windows, long) for long, rows in anchors))
+    sizes = anchors[0][1].where("hash < 0").groupBy("id").agg(F.max("at").cast("bigint").alias("n_words"))
+    return found, sizes
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``: one row per document id."""
-    once = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    found = stored(hits(once, benchmark, "doc_id", "text", item_key, item_text))
+    places, sizes = hits(docs, benchmark, key, text, item_key, item_text)
+    found, sizes = stored(places), sizes.withColumnRenamed("id", "doc_id")
     far = Window.partitionBy("id").orderBy("start", "long").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("long")
     covered = found.select("id", "start", "long").distinct().withColumn(
@@ -106,8 +132,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
              .select("id", F.col("item").cast("string").alias("item")).distinct())
     listed = items.groupBy("id").agg(F.count(F.lit(1)).alias("n_items"),
                                      F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
-    count = F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(WORD)), F.lit(0)).cast("bigint")
-    sizes = once.groupBy("doc_id").agg(F.max(count).alias("n_words"))
     # Both results have one row per document hit, so they are joined first; a null id matches a null id.
     hit = n_hit.alias("n").join(listed.alias("l"), F.col("n.id").eqNullSafe(F.col("l.id"))).select("n.id", "n_hit", "n_items", "items_sha256")
     return (sizes.join(hit, F.col("doc_id").eqNullSafe(F.col("id")), "left")
@@ -120,6 +144,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 def decontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                    item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents without a hit word, with all their columns."""
-    bad = stored(hits(docs, benchmark, key, text, item_key, item_text).select("id").distinct())
+    bad = stored(hits(docs, benchmark, key, text, item_key, item_text)[0].select("id").distinct())
     rows = docs.select(F.col(f"`{key}`").alias("key"), packed(docs).alias("doc"))
     return unpacked(rows.join(hinted(bad, bad.count(), BROADCAST_ROWS), F.col("key").eqNullSafe(F.col("id")), "left_anti"), "doc")
