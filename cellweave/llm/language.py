@@ -34,8 +34,8 @@ WORD = regex.compile(r"\p{L}+")
 _PLAIN = re.compile("[a-z]+")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _START = "▁"
-# Words scored in one pass, the letters of a word scored in one piece, and words remembered by a task.
-_CHUNK, _LONG, _REMEMBERED = 20_000, 64, 400_000
+# Words scored in one pass, the letters of a word scored in one piece, words remembered by a task, and characters read at once.
+_CHUNK, _LONG, _REMEMBERED, _PORTION = 20_000, 64, 400_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -194,6 +194,19 @@ def letters_of(text: str | None) -> list[str]:
     return [word[s:s + _LONG] for word in found for s in range(0, len(word), _LONG)]
 
 
+def portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in runs of a bounded number of characters, whose words are held at once; a longer text is a run of its own."""
+    run, size = [], 0
+    for text in texts:
+        if run and size + len(text or "") > _PORTION:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text or "")
+    if run:
+        yield run
+
+
 def sample(labelled: DataFrame, fit: Fit) -> DataFrame:
     """``lang, text`` of at most ``fit_documents`` documents of each language, those with the smallest hash of the id.
 
@@ -251,25 +264,26 @@ def predicted(docs: DataFrame, labelled: DataFrame, text: str = "text", fit: Fit
         known: dict[str, int] = {}
         table = np.zeros((0, len(languages)))
         for texts in batches:
-            counts = [Counter(letters_of(t)) for t in texts]
-            if len(known) > _REMEMBERED:
-                known, table = {}, table[:0]
-            new = list(dict.fromkeys(w for c in counts for w in c if w not in known)) if languages else []
-            if new:
-                known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-                table = np.concatenate([table, lattice.scores(new, prob)])
             picks, best = [], []
-            for c in counts:
-                if not c or not languages:
-                    picks.append(UNKNOWN_LANGUAGE)
-                    best.append(0.0)
-                    continue
-                rows = np.fromiter(map(known.__getitem__, c), dtype=np.int64, count=len(c))
-                total = np.fromiter(c.values(), dtype=float, count=len(c)) @ table[rows]
-                share = np.exp(total - total.max())
-                at = int(share.argmax())
-                picks.append(languages[at])
-                best.append(float(share[at] / share.sum()))
+            for some in portions(list(texts)):
+                counts = [Counter(letters_of(t)) for t in some]
+                if len(known) > _REMEMBERED:
+                    known, table = {}, table[:0]
+                new = list(dict.fromkeys(w for c in counts for w in c if w not in known)) if languages else []
+                if new:
+                    known.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
+                    table = np.concatenate([table, lattice.scores(new, prob)])
+                for c in counts:
+                    if not c or not languages:
+                        picks.append(UNKNOWN_LANGUAGE)
+                        best.append(0.0)
+                        continue
+                    rows = np.fromiter(map(known.__getitem__, c), dtype=np.int64, count=len(c))
+                    total = np.fromiter(c.values(), dtype=float, count=len(c)) @ table[rows]
+                    share = np.exp(total - total.max())
+                    at = int(share.argmax())
+                    picks.append(languages[at])
+                    best.append(float(share[at] / share.sum()))
             yield pd.DataFrame({"lang_pred": picks, "score": best})
 
     row: Column = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
