@@ -42,4 +42,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{owned_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.is_stage = True
+    return stored
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """The table itself if it is a stored one, else stored now."""
+    return df if getattr(df, "is_stage", False) else materialize(df)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.operators.lineage import materialize
+from cellweave.operators.lineage import stage
 from cellweave.schema import col
 
 # Rows of one group that a single task may sort or buffer.
@@ -53,9 +53,9 @@ def heavy_groups(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS,
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Bring per-group values back to the rows.
 
-    The statistics are computed once and stored. Up to the bound they are broadcast, so the
+    The statistics are computed once and stored, if they are not a stored table already. Up to the bound they are broadcast, so the
     rows are not moved; beyond it a shuffle join is left whose hot keys the adaptive skew
     join splits: the statistics hold one row per key.
     """
-    stored = materialize(stats)
+    stored = stage(stats)
     return df.join(F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored, list(keys), how)

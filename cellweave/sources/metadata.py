@@ -107,7 +107,7 @@ def match_documents(images: DataFrame, documents: DataFrame, path: str = "path")
     patterns = F.array(F.concat(base, F.lit("_metadata.json")), F.concat(base, F.lit(".json")),
                        F.concat(F.lit("metadata_"), base, F.lit(".json")))
     tried = images.select("*", F.posexplode(patterns).alias("pattern", "file_name"))
-    found = tried.join(documents, "file_name")
-    return (found.groupBy(*images.columns)
-            .agg(F.min_by(F.struct("file_name", "text"), "pattern").alias("doc"))
-            .select(*images.columns, "doc.file_name", "doc.text"))
+    # Names meet first; the texts, which may be large, only join the one that was found.
+    best = (tried.join(documents.select("file_name"), "file_name", "left_semi").groupBy(*images.columns)
+            .agg(F.min_by("file_name", "pattern").alias("file_name")))
+    return best.join(documents, "file_name").select(*images.columns, "file_name", "text")
