@@ -39,10 +39,3 @@ def packed(df: DataFrame) -> Column:
 
 def unpacked(df: DataFrame, column: str) -> DataFrame:
     return df.select(f"{column}.*")
-
-
-def with_decision(docs: DataFrame, decided: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``decided`` (one row per id); a null id matches a null id."""
-    rows = docs.select(packed(docs).alias("doc"))
-    ids = decided.select(F.col(key).alias("decided_id")).distinct()
-    return unpacked(rows.join(ids, F.col(f"doc.{key}").eqNullSafe(F.col("decided_id")), "left_semi"), "doc")
