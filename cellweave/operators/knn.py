@@ -5,7 +5,8 @@ best k per vector: quadratic work, for tables where that is wanted and as the me
 other. ``grouped`` deals vectors to the nearest of a bounded number of pivots and compares a
 vector with the members of the ``probes`` pivots nearest to it: its work grows with a vector's
 share of the table, and its recall with ``probes``. Which one runs is the caller's choice and
-never depends on the size. Large groups are cut into blocks as well, and equal vectors are
+never depends on the size. Where ``probes`` is not given, it is measured: a sample of vectors is compared with the whole
+table, and as many pivots are asked as hold ``RECALL`` of the sample's true neighbours. Large groups are cut into blocks as well, and equal vectors are
 collapsed to one first.
 """
 
@@ -22,7 +23,8 @@ from cellweave.operators.lineage import materialize
 
 
 MAX_PIVOTS = 1024
-PROBES = 24
+# Share of the true neighbours aimed at where probes are measured, and vectors they are measured on.
+RECALL, MEASURED = 0.97, 256
 BLOCK_ROWS = 2_000
 
 
@@ -47,7 +49,7 @@ def _collapse(points: DataFrame, keep: int) -> DataFrame:
             .withColumn("site", F.col("ids")[0]))
 
 
-def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int = MAX_PIVOTS, probes: int = PROBES,
+def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int = MAX_PIVOTS, probes: int | None = None,
         block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(src, dst, rank, dist) for the k nearest other points of each; ties by id.
 
@@ -59,7 +61,7 @@ def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int =
     points = points.select(F.col("id").cast("bigint").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
     sites = materialize(_collapse(points, keep))
     if method == "grouped":
-        members, queries = _grouped(sites, max_pivots, probes)
+        members, queries = _grouped(sites, keep, max_pivots, probes)
     else:
         members = sites.select("site", "ids", "vector", F.lit(0).alias("home"))
         queries = members.select("site", "vector", "home")
@@ -104,18 +106,44 @@ def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int =
                     F.sqrt("e.d2").alias("dist")))
 
 
-def _grouped(sites: DataFrame, max_pivots: int, probes: int) -> tuple[DataFrame, DataFrame]:
+def _asked(placed: DataFrame, pivots: np.ndarray, keep: int) -> int:
+    """The fewest nearest pivots that hold ``RECALL`` of the neighbours of the sampled vectors. One pass over the table."""
+    sample = placed.select("site", "vector").orderBy(F.xxhash64("site", F.lit("measured")), "site").limit(MEASURED).collect()
+    own, points = np.array([r["site"] for r in sample]), np.array([r["vector"] for r in sample], dtype=float)
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                d2 = _distances(points, np.stack(batch["vector"].to_numpy()))
+                d2[own[:, None] == batch["site"].to_numpy()[None]] = np.inf
+                top = np.argsort(d2, axis=1, kind="stable")[:, :keep]
+                found = pd.DataFrame({"query": np.repeat(np.arange(len(points)), top.shape[1]), "site": batch["site"].to_numpy()[top.ravel()],
+                                      "home": batch["home"].to_numpy()[top.ravel()], "d2": np.take_along_axis(d2, top, axis=1).ravel()})
+                yield found[np.isfinite(found["d2"])]
+
+    near = (placed.select("site", "vector", F.col("near")[0].alias("home"))
+            .mapInPandas(nearest, "query int, site bigint, home int, d2 double")
+            .withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("d2", "site"))).where(F.col("place") < keep)
+            .select("query", "home").collect())
+    if not near:
+        return len(pivots)
+    turn = np.argsort(np.argsort(_distances(points, pivots), axis=1, kind="stable"), axis=1)
+    turns = np.sort([turn[r["query"], r["home"]] for r in near])
+    return int(turns[int(np.ceil(RECALL * len(turns))) - 1]) + 1
+
+
+def _grouped(sites: DataFrame, keep: int, max_pivots: int, probes: int | None) -> tuple[DataFrame, DataFrame]:
     """Members of every pivot's group, and the vectors that ask it."""
     n_pivots = max(1, min(max_pivots, int(sites.count() ** 0.5)))
     chosen = sites.select("site", "vector").orderBy(F.xxhash64("site"), "site").limit(n_pivots)
     pivots = np.array([r["vector"] for r in chosen.collect()], dtype=float)
-    asked = min(probes, len(pivots))
+    most = len(pivots) if probes is None else min(probes, len(pivots))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 d2 = _distances(np.stack(batch["vector"].to_numpy()), pivots)
-                near = np.argsort(d2, axis=1, kind="stable")[:, :asked].astype("int32")
+                near = np.argsort(d2, axis=1, kind="stable")[:, :most].astype("int32")
                 yield batch.assign(near=list(near))
 
     if not len(pivots):
@@ -123,7 +151,8 @@ def _grouped(sites: DataFrame, max_pivots: int, probes: int) -> tuple[DataFrame,
     placed = materialize(sites.select("site", "ids", "vector").mapInPandas(
         place, "site bigint, ids array<bigint>, vector array<double>, near array<int>"))
     members = placed.select("site", "ids", "vector", F.col("near")[0].alias("home"))
-    return members, placed.select("site", "vector", F.explode("near").alias("home"))
+    asked = _asked(placed, pivots, keep) if probes is None else most
+    return members, placed.select("site", "vector", F.explode(F.slice("near", 1, asked)).alias("home"))
 
 
 def knn_edges(neighbors: DataFrame) -> DataFrame:
