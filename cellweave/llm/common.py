@@ -39,3 +39,20 @@ def packed(df: DataFrame) -> Column:
 
 def unpacked(df: DataFrame, column: str) -> DataFrame:
     return df.select(f"{column}.*")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """``row_hash``: with the id, it names a row among those of the table; equal rows share it."""
+    return F.xxhash64(packed(df)).alias("row_hash")
+
+
+def one_per_root(docs: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """One row of ``docs`` per ``root`` of ``members`` (``doc_id, row_hash, root``): smallest id, null last, then smallest hash.
+
+    Only these narrow columns are compared; whole rows are fetched by the chosen id and hash, and equal rows are one.
+    """
+    first = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("kept"))
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    kept = first.select(name(F.col("kept.doc_id")).alias("id"), F.col("kept.row_hash").alias("row_hash")).distinct()
+    rows = docs.select(name(F.col(f"`{key}`")).alias("id"), row_hash(docs), packed(docs).alias("doc"))
+    return unpacked(rows.join(kept, ["id", "row_hash"], "left_semi").groupBy("id", "row_hash").agg(F.min("doc").alias("doc")), "doc")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cellweave.llm.common import packed, stored, unpacked
+from cellweave.llm.common import one_per_root, row_hash, stored
 from cellweave.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -133,26 +133,28 @@ def links(fps: DataFrame) -> DataFrame:
         lambda pdf: _links(pdf), "u bigint, v bigint")
 
 
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id`` for every row: the fingerprint and the smallest id reachable over links."""
-    marked = stored(docs.select(F.col(f"`{key}`").alias("doc_id"), fingerprints(F.col(f"`{text}`")).alias("fp")))
+def _rooted(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    """``doc_id, fp, root, component_id`` and ``more`` for every row; ``root`` is a fingerprint of the component."""
+    marked = stored(docs.select(F.col(f"`{key}`").alias("doc_id"), fingerprints(F.col(f"`{text}`")).alias("fp"), *more))
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     member = components(links(nodes.select("fp")))
     rooted = nodes.join(member, nodes.fp == member.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
     tied = rooted.where("linked")
-    named = tied.join(tied.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "component_id")
-    alone = rooted.where("not linked").select("fp", F.col("first").alias("component_id"))
-    return marked.join(named.union(alone), "fp").select("doc_id", "fp", "component_id")
+    named = tied.join(tied.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("fp", "root", "component_id")
+    alone = rooted.where("not linked").select("fp", "root", F.col("first").alias("component_id"))
+    return marked.join(named.union(alone), "fp")
+
+
+def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, fp, component_id`` for every row: the fingerprint and the smallest id reachable over links."""
+    return _rooted(docs, key, text).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of every component, with all its columns.
 
-    Rows that share that id are one document; of several the smallest row stays.
+    Null ids come last, and of several rows with that id the one with the smallest hash stays. Rows are merged only within
+    a component, whatever their ids.
     """
-    found = near_copies(docs, key, text)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.col(f"`{key}`").alias("id"), packed(docs).alias("doc"))
-    return unpacked(rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-                    .groupBy("id").agg(F.min("doc").alias("doc")), "doc")
+    return one_per_root(docs, _rooted(docs, key, text, row_hash(docs)), key)

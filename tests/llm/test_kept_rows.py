@@ -1,0 +1,14 @@
+from cellweave.llm import simhash
+
+SCHEMA = "doc_id bigint, text string, id string, row_hash string, root int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "clash", "clash", 1) for i, t in rows], SCHEMA)
+
+
+def test_rows_are_merged_by_their_texts_and_not_their_ids(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black grey")
+    rows = [(None, a), (5, a), (None, b), (None, b), (7, c), (7, b + " seven"), (7, c)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(5, a), (None, b), (7, c), (7, b + " seven")], key=str)
