@@ -125,7 +125,9 @@ def _date(legacy: str) -> str:
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and re.fullmatch(r"-?\d{1,18}", text) else None
+    """A whole number in the range of a long."""
+    number = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
 
 
 CONVERTED = ("record_id string, kind string, uri string, date string, ip string, mime string, head binary, payload binary, "
