@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.llm import archives, blocks, decontaminate, language, licences, mixing, preferences, simhash, urls, weighted
+from cellweave.llm import archives, blocks, decontaminate, language, licences, mixing, preferences, simhash, topk, urls, weighted
 from cellweave.llm.common import table
 
 SQL: dict[str, str] = {}
@@ -158,6 +158,19 @@ n AS (SELECT s.*, q.* EXCLUDE (source), row_number() OVER (PARTITION BY s.source
   FROM s JOIN q ON s.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target, CAST((floor(rate * i + u) - floor(rate * (i - 1) + u)) * size AS BIGINT) AS taken FROM n"""
 
+
+def op11_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+SQL["op11_topk"] = """WITH v AS (SELECT DISTINCT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(1024 * x) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND list_bool_and(list_transform(CAST(embedding AS DOUBLE[]), lambda x: coalesce(isfinite(x), FALSE))) IS NOT FALSE),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id IS DISTINCT FROM c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 10"""
+
 QUERIES = {f.__name__: f for f in (
     op1_archives, op2_decontaminate, op3_urls, op4_preferences, op5_licences, op6_near_copies, op7_language, op8_fingerprints,
-    op9_main_text, op10_mix)}
+    op9_main_text, op10_mix, op11_topk)}
