@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.llm import archives, blocks, decontaminate, language, licences, mixing, preferences, simhash, topk, urls, weighted
+from cellweave.llm import archives, blocks, collocations, decontaminate, language, licences, mixing, preferences, prefixes, simhash, topk, urls, weighted
 from cellweave.llm.common import table
 
 SQL: dict[str, str] = {}
@@ -171,6 +171,57 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.v[i] * c.v[i] for
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 10"""
 
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_collocations"] = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+e AS (SELECT lang, unnest([array_to_string(w[i : i + k - 1], ' ') for k in range(1, 4) if i + k - 1 <= len(w)]) AS phrase FROM i),
+f AS (SELECT lang, phrase, count(*) AS f FROM e GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE f >= 10 AND contains(phrase, ' ')),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, len(w))) AS k FROM c)),
+s AS (SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r,
+    CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, inside, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inside FROM c WHERE len(w) = 3) GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN around o ON o.lang = low.lang AND o.inside = low.phrase WHERE o.a IS NULL OR 100 * o.a < 50 * low.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000"""
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefixes.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# crc32 bit by bit: the polynomial is a fixed value.
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda crc, b:
+  list_reduce(CAST(range(8) AS BIGINT[]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)), CAST(4294967295 AS BIGINT)))"""
+SQL["op13_prefix_trie"] = f"""WITH t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS k,
+  length(coalesce(text, '')) AS len FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'k': k, 'len': len}} ORDER BY turn NULLS FIRST, k) AS turns, CAST({_CRC.format('conv_id')} % 6 AS BIGINT) AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+s AS (SELECT conv_id, turns, array_to_string(list_transform(turns, lambda x: x.k), '') AS path FROM r),
+p AS (SELECT conv_id, d, path[1:32 * d] AS node, CASE WHEN d = 0 THEN 0 ELSE turns[d].len END AS len
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM s)),
+n AS (SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(len) AS len FROM p GROUP BY d, node),
+k AS (SELECT d - 1 AS d, node[1:32 * (d - 1)] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+a AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (d, node)),
+u AS (SELECT e AS d, node[1:32 * e] AS node, sum(n_convs * len - len) AS saved, count_if(n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM a) GROUP BY ALL),
+x AS (SELECT len(turns) AS d, path AS node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM s GROUP BY ALL)
+SELECT a.conv_id, a.d AS depth, o.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves,
+  CAST(u.saved AS BIGINT) AS saved_tokens, coalesce(x.ends, sha256('')) AS ends_sha256
+FROM a JOIN u USING (d, node) LEFT JOIN x USING (d, node) LEFT JOIN n o ON o.d = a.d - 1 AND o.node = a.node[1:32 * (a.d - 1)]"""
+
 QUERIES = {f.__name__: f for f in (
     op1_archives, op2_decontaminate, op3_urls, op4_preferences, op5_licences, op6_near_copies, op7_language, op8_fingerprints,
-    op9_main_text, op10_mix, op11_topk)}
+    op9_main_text, op10_mix, op11_topk, op12_collocations, op13_prefix_trie)}
