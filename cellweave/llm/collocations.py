@@ -5,6 +5,7 @@ A chunk ends with the trigger's two words and the next one starts with them, so
 depend on the words alone, and repeated passages give the same chunks wherever they stand. Distinct chunks with their
 frequency are the dictionary. Phrases are counted inside distinct chunks, weighted by the chunk's frequency: one that starts
 before the closing trigger belongs to this chunk, one that starts with it to the next, so every occurrence counts once.
+Most phrases are rare: they are told apart by bucket counts first, and only what may be frequent is counted by its words.
 
 A chunk that meets no trigger is cut after ``longest`` words with the same overlap, which changes no count and bounds every
 list. Chunk and phrase counts are combined before each shuffle, so a hot passage or word pair is one row per task.
@@ -15,13 +16,13 @@ repeated rows count each; ids and other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import LOWER, UPPER, stored
@@ -36,70 +37,176 @@ LEAST_COUNT = 10
 SHARE = 50
 BEST = 2000
 
-_CUT = re.compile(r"[.,;:!?\x0A-\x0D]")
-_WORD = re.compile(r"[^\x20\x09]+")
-_LOWER = str.maketrans(UPPER, LOWER)
-# Distinct chunks, and word hashes, a Python worker holds before it hands them on.
-_HELD = 100_000
+# Distinct chunks, phrases and word hashes a Python worker holds before it hands them on, and phrases it tallies at once.
+_HELD, _TALLIED = 100_000, 1 << 20
+# Phrases are first counted in this many buckets (a power of 2); the bitmap of those to look into has this size at most.
+_BUCKET_BITS, _MOST_BITS = 40, 28
 
 
-def chunks(words: list[str], hashes: list[int], every: int = EVERY, longest: int = LONGEST) -> Iterator[tuple[int, int, int]]:
-    """(start, end, starts) of each chunk of a piece: phrases at the first ``starts`` words are its own."""
-    n, start = len(words), 0
-    for at in range(1, n - 1):
-        if (hashes[at] * 31 + hashes[at + 1]) % every == 0 or at - start == longest:
-            yield start, at + 2, at - start
-            start = at
-    yield start, n, n - start
+class _Hashes(dict):
+    """Word hashes, taken once per word as long as there is room."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _HELD:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def cuts(hashes: np.ndarray, ends: np.ndarray, every: int = EVERY, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and number of own starts of every chunk of pieces in a row; ``ends`` are the places after each piece.
+
+    Phrases at a chunk's own starts are counted in it, and lie in it as a whole.
+    """
+    n = len(hashes)
+    first = np.zeros(n, dtype=bool)
+    starts = np.r_[0, ends[:-1]]
+    first[starts] = True
+    last = np.zeros(n, dtype=bool)
+    last[ends - 1] = True
+    trigger = np.zeros(n, dtype=bool)
+    trigger[:-1] = (_mixed(hashes[:-1], hashes[1:]) >> np.uint64(20)) % np.uint64(every) == 0
+    begin = np.flatnonzero(first | (trigger & ~last))
+    size = np.diff(np.r_[begin, n])
+    if size.max() > longest:  # no trigger for long
+        begin = np.concatenate([np.arange(b, b + s, longest) for b, s in zip(begin, size, strict=True)])
+        size = np.diff(np.r_[begin, n])
+    piece_end = ends[np.searchsorted(ends, begin, side="right")]
+    return begin, np.minimum(begin + size + MOST_WORDS - 1, piece_end), size
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in order."""
+    with np.errstate(over="ignore"):
+        x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(29))
+
+
+# Marks of cuts stand as words of their own between the words; a tab is a blank.
+_MARKED = {ord(c): " \n " for c in ".,;:!?\x0a\x0b\x0c\x0d"} | {9: " "} | {ord(a): b for a, b in zip(UPPER, LOWER, strict=True)}
 
 
 def _parse(batches: Iterator[pd.DataFrame], every: int, longest: int) -> Iterator[pd.DataFrame]:
-    held, known = Counter(), {}
+    held, known = Counter(), _Hashes()
 
     def out() -> pd.DataFrame:
-        rows = pd.DataFrame([(lang, chunk, starts, n) for (lang, chunk, starts), n in held.items()], columns=["lang", "chunk", "starts", "n"])
+        rows = pd.DataFrame([(lang, chunk, words, starts, n) for (lang, chunk, words, starts), n in held.items()], columns=["lang", "chunk", "words", "starts", "n"])
         held.clear()
         return rows
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            for piece in _CUT.split(text.translate(_LOWER)):
-                words = _WORD.findall(piece)
-                if not words:
-                    continue
-                hashes = []
-                for w in words:
-                    h = known.get(w)
-                    if h is None:
-                        if len(known) >= _HELD:
-                            known.clear()
-                        h = known[w] = crc32(w.encode("utf-8", "surrogatepass"))
-                    hashes.append(h)
-                for s, e, own in chunks(words, hashes, every, longest):
-                    held[lang, " ".join(words[s:e]), own] += 1
-                if len(held) >= _HELD:
-                    yield out()
+            marked = [w for w in text.translate(_MARKED).split(" ") if w]
+            words = [w for w in marked if w != "\n"]
+            if not words:
+                continue
+            marks = np.flatnonzero(np.array([w == "\n" for w in marked]))
+            ends = np.unique(np.r_[marks - np.arange(len(marks)), len(words)])
+            for s, e, own in zip(*(a.tolist() for a in cuts(known.of(words), ends[ends > 0], every, longest)), strict=True):
+                held[lang, " ".join(words[s:e]), e - s, own] += 1
+            if len(held) >= _HELD:
+                yield out()
     yield out()
 
 
 def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", every: int = EVERY, longest: int = LONGEST) -> DataFrame:
-    """``lang, chunk, starts, n``: distinct chunks with their own starts and frequency."""
+    """``lang, chunk, words, starts, n``: distinct chunks, their length, own starts and frequency."""
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    parsed = rows.where("text is not null").mapInPandas(lambda batches: _parse(batches, every, longest), "lang string, chunk string, starts int, n bigint")
-    return parsed.groupBy("lang", "chunk", "starts").agg(F.sum("n").alias("n"))
+    parsed = rows.where("text is not null").mapInPandas(
+        lambda batches: _parse(batches, every, longest), "lang string, chunk string, words int, starts int, n bigint")
+    return parsed.groupBy("lang", "chunk", "words", "starts").agg(F.sum("n").alias("n"))
+
+
+def _phrases(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[tuple]:
+    """Of some chunks at once: their words, and per phrase length its first words, buckets, chunks and weights."""
+    known = _Hashes()
+    for batch in batches:
+        if not len(batch):
+            continue
+        words = " ".join(batch["chunk"]).split(" ")
+        length, own = batch["words"].to_numpy(), batch["starts"].to_numpy()
+        chunk = np.repeat(np.arange(len(batch)), length)
+        place = np.arange(len(words)) - np.repeat(np.cumsum(length) - length, length)
+        mine, left, times = place < own[chunk], length[chunk] - place, batch["n"].to_numpy()[chunk]
+        hashes = known.of(words)
+        now, each = known.of(list(batch["lang"]))[chunk], []
+        for k in range(1, most_words + 1):
+            now = _mixed(now[:len(words) - k + 1], hashes[k - 1:])
+            at = np.flatnonzero(mine[:len(now)] & (left[:len(now)] >= k))
+            each.append((k, at, (now[at] >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), times[at]))
+        yield words, batch["lang"].to_numpy(), chunk, each
+
+
+def _tallies(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[pd.DataFrame]:
+    held, size = [], 0
+
+    def out() -> pd.DataFrame:
+        keys, times = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        found, where = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(found), dtype=np.int64)
+        np.add.at(total, where, times)
+        return pd.DataFrame({"bucket": found, "n": total})
 
+    for _, _, _, each in _phrases(batches, most_words):
+        held += [(keys, times) for _, _, keys, times in each]
+        size += sum(len(e[1]) for e in each)
+        if size >= _TALLIED:
+            yield out()
+            held, size = [], 0
+    if held:
+        yield out()
 
-def phrase_counts(chunk_table: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
-    """``lang, phrase, f`` of all phrases of 1 to ``most_words`` words."""
-    words = F.split("chunk", " ")
 
-    def starting_at(i: Column) -> Column:
-        longest = F.least(F.lit(most_words), F.size("w") - i + 1)
-        return F.transform(F.sequence(F.lit(1), longest), lambda k: F.array_join(F.slice("w", i, k), " "))
+def _kept(batches: Iterator[pd.DataFrame], most_words: int, bits: np.ndarray, width: int) -> Iterator[pd.DataFrame]:
+    held = Counter()
 
-    each = F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.col("starts")), starting_at)))
-    return (chunk_table.select("lang", "n", "starts", words.alias("w")).select("lang", "n", each.alias("phrase"))
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("f")))
+    def out() -> pd.DataFrame:
+        rows = pd.DataFrame([(lang, phrase, n) for (lang, phrase), n in held.items()], columns=["lang", "phrase", "n"])
+        held.clear()
+        return rows
+
+    for words, langs, chunk, each in _phrases(batches, most_words):
+        for k, at, keys, times in each:
+            low = keys & (width - 1)
+            may = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
+            for i, lang, n in zip(at[may].tolist(), langs[chunk[at[may]]], times[may].tolist(), strict=True):
+                held[lang, " ".join(words[i:i + k])] += n
+        if len(held) >= _HELD:
+            yield out()
+    yield out()
+
+
+def _bitmap(buckets: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits at the low part of every bucket's number. Its size follows the number of buckets, up to 2^_MOST_BITS bits."""
+    n = buckets.count()
+    width = 1 << min(_MOST_BITS, max(15, (16 * n).bit_length()))
+    low = F.col("bucket").bitwiseAND(F.lit(width - 1))
+    parts = (buckets.groupBy(F.shiftright(low, 15).alias("part"))
+             .agg(F.bitmap_construct_agg(low.bitwiseAND(F.lit(0x7FFF))).alias("bits")))
+    out = np.zeros(width // 8, dtype=np.uint8)
+    for r in parts.toLocalIterator():
+        out[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out, width
+
+
+def frequent_phrases(parsed: DataFrame, least: int = LEAST_COUNT, most_words: int = MOST_WORDS) -> DataFrame:
+    """``lang, phrase, f`` of all phrases of 1 to ``most_words`` words that occur ``least`` times or more.
+
+    Phrases are first counted by buckets of their hashes, which shuffles two numbers for a phrase. A bucket below ``least``
+    holds no frequent phrase. Then only phrases whose bucket may be over it are counted as what they are, so the counts are
+    exact whatever the hashes do.
+    """
+    chunks = parsed.select("lang", "chunk", "words", "starts", "n")
+    buckets = stored(chunks.mapInPandas(lambda b: _tallies(b, most_words), "bucket bigint, n bigint")
+                     .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("bucket"))
+    bits, width = _bitmap(buckets)
+    shared = parsed.sparkSession.sparkContext.broadcast(bits)
+    return (chunks.mapInPandas(lambda b: _kept(b, most_words, shared.value, width), "lang string, phrase string, n bigint")
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
 
 
 def scored(frequent: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -125,7 +232,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     """``lang, rank, phrase, a, l, r, n, score``: the best phrases of each language that no longer phrase stands for."""
     parsed = stored(dictionary(docs, text, lang, every, longest))
     sizes = parsed.groupBy("lang").agg(F.sum(F.col("n") * F.col("starts")).alias("n"))
-    frequent = stored(phrase_counts(parsed).where(F.col("f") >= least))
+    frequent = stored(frequent_phrases(parsed, least))
     inner = (F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda m: F.transform(
         F.sequence(F.lit(1), F.size("w") - m + 1), lambda i: F.array_join(F.slice("w", i, m), " "))))
     around = (frequent.withColumn("w", F.split("phrase", " ")).where(F.size("w") >= 3)

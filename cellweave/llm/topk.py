@@ -1,9 +1,8 @@
 """Exact inner-product top-k by Fagin's threshold algorithm, block by block.
 
-A block holds some distinct vectors and, for every dimension, the list of them in the order of that component. A query
-walks all lists at once from the end that suits its own component's sign, scores each vector when it is first met, and
-stops when the threshold, the score a vector not met yet can reach at most, is below its kth best score. A query first
-asks one block; the kth score found there is a floor that lets the other blocks stop early, often at once. The best k of
+A block holds some distinct vectors and, for every dimension, the list of them in the order of that component. All queries
+that meet a block walk its lists together, from both ends; a vector is scored when it is first met, and a query stops when
+its threshold, the score a vector not met yet can reach at most, is below its kth best score. A query first asks one block; the kth score found there is a floor that lets the other blocks stop early, often at once. The best k of
 all blocks are then the best k of the table: nothing is estimated.
 
 Equal vectors are one member with its smallest ids, as many as an answer can hold, so a hot vector is one row. Members
@@ -29,8 +28,10 @@ SCALE = 1024
 BLOCK, QUERIES, FEW = 2048, 1024, 16
 # Parts in which the copies of one vector are first reduced to their smallest ids.
 SALTS = 16
-# Places of every list read at once.
+# Places of every list read at first; then as many as were read before.
 _STEP = 8
+# Less than any score.
+_LEAST = -2 ** 200
 
 _FOUND = "query bigint, query_id bigint, ids array<bigint>, nameless boolean, score bigint"
 
@@ -59,63 +60,60 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def threshold_top(members: np.ndarray, order: np.ndarray, query: np.ndarray, keep: int, floor: int | None,
-                  left_out: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-    """Rows of members that can be among the ``keep`` best, their scores, and how many members were scored.
+def threshold_top(members: np.ndarray, queries: np.ndarray, keep: int, floors: np.ndarray, left_out: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Scores of queries (rows) by members, what a member has to reach to be among the best, and how many were scored.
 
-    ``order`` holds the rows of each dimension, smallest component first. Members that score below ``floor`` are not wanted;
-    row ``left_out`` is no candidate.
+    Every list is read from both ends, for all queries that are not done. Members that were not scored, or are a query's
+    ``left_out``, have the least score there is. Scores below ``floors`` are not wanted.
     """
-    asked = np.flatnonzero(query)
     n = len(members)
-    lists = np.where((query[asked] > 0)[:, None], order[asked, ::-1], order[asked])
-    weights, values = query[asked], members[:, asked]
-    met = np.zeros(n, dtype=bool)
-    rows, scores = [], []
-    best = np.zeros(0, dtype=members.dtype)
-    start = 0
-    while start < n:
+    least = -np.inf if members.dtype == float else _LEAST
+    order = np.argsort(members, axis=0, kind="stable")
+    for_high, for_low = np.maximum(queries, 0), np.minimum(queries, 0)
+    scores = np.full((len(queries), n), least, dtype=members.dtype)
+    best = np.full((len(queries), keep), least, dtype=members.dtype)
+    wanted, at = floors.copy(), np.arange(members.shape[1])
+    met, open_, start = np.zeros(n, dtype=bool), np.arange(len(queries)), 0
+    while len(open_) and not met.all():
         step = max(_STEP, start)
-        if len(asked):
-            here = np.unique(lists[:, start:start + step])
-            here = here[~met[here]]
-        else:  # every score is 0
-            here, step = np.arange(n), n
+        # Components that are all 0 have no lists to read; then everything scores 0.
+        ends = np.concatenate([order[start:start + step], order[max(0, n - start - step):n - start]]) if len(at) else np.arange(n)
+        here = np.unique(ends)
+        here = here[~met[here]]
         met[here] = True
-        here = here[here != left_out]
-        found = values[here] @ weights if len(here) else np.zeros(0, dtype=members.dtype)
-        rows.append(here)
-        scores.append(found)
-        best = np.sort(np.concatenate([best, found]))[-keep:]
+        found = queries[open_] @ members[here].T
+        found[left_out[open_][:, None] == here] = least
+        scores[np.ix_(open_, here)] = found
+        best[open_] = _largest(np.concatenate([best[open_], found], axis=1), keep)
+        wanted[open_] = np.maximum(wanted[open_], best[open_].min(axis=1))
         start += step
-        if start >= n or met.all():
+        if start >= n:
             break
-        at = lists[:, start]
-        threshold = (values[at, np.arange(len(asked))] * weights).sum()
-        if (len(best) == keep and threshold < best[0]) or (floor is not None and threshold < floor):
-            break
-    rows, scores = np.concatenate(rows).astype(int), np.concatenate(scores)
-    least = best[0] if len(best) == keep else None
-    least = floor if least is None or (floor is not None and floor > least) else least
-    kept = np.ones(len(rows), dtype=bool) if least is None else (scores >= least).astype(bool)
-    return rows[kept], scores[kept], int(met.sum())
+        threshold = for_high[open_] @ members[order[n - 1 - start], at] + for_low[open_] @ members[order[start], at]
+        open_ = open_[threshold >= wanted[open_]]
+    return scores, wanted, int(met.sum())
+
+
+def _largest(values: np.ndarray, keep: int) -> np.ndarray:
+    return np.sort(values, axis=1)[:, -keep:] if values.dtype == object else np.partition(values, -keep, axis=1)[:, -keep:]
 
 
 def _answers(k: int):
     def answer(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(members):
-            width = max(queries["v"].map(len).max(), members["v"].map(len).max())
-            m, q = _matrix(members["v"], width), _matrix(queries["v"], width)
-            order = np.argsort(m, axis=0, kind="stable").T
-            ids, nameless = members["ids"].to_numpy(), members["nameless"].to_numpy()
-            alone = {e[0]: i for i, e in enumerate(ids) if len(e) == 1 and not nameless[i]}
-            if float(np.abs(m.astype(float)).max(initial=0)) * float(np.abs(q.astype(float)).sum(axis=1).max(initial=0)) >= 2.0 ** 62:
-                m, q = m.astype(object), q.astype(object)  # whole numbers of any size
-            for name, own, floor, vector in zip(queries["query"], queries["query_id"], queries["floor"], q, strict=True):
-                rows, scores, _ = threshold_top(m, order, vector, k, int(floor[0]) if len(floor) else None, alone.get(own, -1))
-                out += [(name, own, ids[r], nameless[r], max(-2 ** 63, min(2 ** 63 - 1, int(s)))) for r, s in zip(rows, scores, strict=True)]
-        return pd.DataFrame(out, columns=["query", "query_id", "ids", "nameless", "score"])
+        if not len(queries) or not len(members):
+            return pd.DataFrame([], columns=["query", "query_id", "ids", "nameless", "score"])
+        width = max(queries["v"].map(len).max(), members["v"].map(len).max())
+        m, q = _matrix(members["v"], width), _matrix(queries["v"], width)
+        # Whole numbers below 2^53 are exact as doubles, in any order of summing; larger ones are taken as they are.
+        bound = float(np.abs(m.astype(float)).max(initial=0)) * float(np.abs(q.astype(float)).sum(axis=1).max(initial=0))
+        kind = float if bound < 2.0 ** 52 else object
+        ids, nameless = members["ids"].to_numpy(), members["nameless"].to_numpy()
+        alone = {e[0]: i for i, e in enumerate(ids) if len(e) == 1 and not nameless[i]}
+        floors = np.array([f[0] if len(f) else _LEAST for f in queries["floor"]], dtype=object).astype(kind)
+        scores, wanted, _ = threshold_top(m.astype(kind), q.astype(kind), k, floors, np.array([alone.get(i, -1) for i in queries["query_id"]]))
+        r, c = np.nonzero((scores >= wanted[:, None]) & (scores > (-np.inf if kind is float else _LEAST)))
+        return pd.DataFrame({"query": queries["query"].to_numpy()[r], "query_id": queries["query_id"].to_numpy()[r], "ids": ids[c], "nameless": nameless[c],
+                             "score": [max(-2 ** 63, min(2 ** 63 - 1, int(s))) for s in scores[r, c]]})
     return answer
 
 

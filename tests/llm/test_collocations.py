@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from cellweave.llm import collocations
@@ -60,21 +61,31 @@ def test_every_start_belongs_to_one_chunk(every, longest):
     rng = random.Random(7)
     for n in [1, 2, 3, 4, 50, 500]:
         for words in ([rng.choice("abcde") for _ in range(n)], ["same"] * n):
-            hashes = [hash(w) for w in words]
+            ends = sorted({n, *(rng.randint(1, n) for _ in range(n // 10))})
             found = Counter()
-            for s, e, own in collocations.chunks(words, hashes, every, longest):
-                assert e - s <= longest + 2
+            for s, e, own in zip(*collocations.cuts(collocations._Hashes().of(words), np.array(ends), every, longest), strict=True):
+                assert own <= longest and e - s <= longest + 2
                 for i in range(s, s + own):
                     found.update(tuple(words[i:i + k]) for k in (1, 2, 3) if i + k <= e)
-            assert found == Counter(tuple(words[i:i + k]) for k in (1, 2, 3) for i in range(n - k + 1))
+            pieces = [words[a:b] for a, b in zip([0, *ends], ends)]
+            assert found == Counter(tuple(w[i:i + k]) for w in pieces for k in (1, 2, 3) for i in range(len(w) - k + 1))
 
 
 def test_a_repeated_passage_is_parsed_alike():
     rng = random.Random(2)
     words = [rng.choice("abcdefghij") * 2 for _ in range(300)]
-    cut = lambda w: {tuple(w[s:e]) for s, e, _ in collocations.chunks(w, [sum(map(ord, x)) * 7 for x in w], 5)}
+
+    def cut(w):
+        return {tuple(w[s:e]) for s, e, _ in zip(*collocations.cuts(collocations._Hashes().of(w), np.array([len(w)]), 5), strict=True)}
     one, other = cut(["before"] + words), cut(["quite", "other"] + words + ["after"])
-    assert len(one & other) >= len(one) - 3
+    assert len(one) > 20 and len(one & other) >= len(one) - 3
+
+
+def test_buckets_only_leave_out_what_is_rare(spark):
+    rows = [("a b c " * 3 + "d e " * 12, "en"), ("d e " * 5, "de")]
+    parsed = collocations.stored(collocations.dictionary(frame(spark, rows)))
+    assert {(r.lang, r.phrase): r.f for r in collocations.frequent_phrases(parsed, 10).collect()} == {
+        ("en", "d"): 12, ("en", "e"): 12, ("en", "d e"): 12, ("en", "e d"): 11, ("en", "d e d"): 11, ("en", "e d e"): 11}
 
 
 def test_large_counts_are_exact_and_empty_tables(spark):

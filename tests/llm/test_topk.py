@@ -56,19 +56,22 @@ def test_few_no_and_huge_vectors(spark):
     assert sorted(((r[2], r[3]) for r in big), key=lambda r: -r[1]) == [(1, 2 ** 63 - 1), (3, 2 * 1024 ** 2), (2, -2 ** 63)]
 
 
-def test_the_threshold_ends_the_walk_early():
+@pytest.mark.parametrize("kind", [float, object])
+def test_the_threshold_ends_the_walk_early(kind):
     rng = np.random.default_rng(5)
-    members = rng.integers(-50, 51, size=(5000, 4)).astype(np.int64)
+    members = rng.integers(-50, 51, size=(5000, 4))
     members[:20] = 400 * np.array([1, -1, 1, 1]) + rng.integers(-5, 6, size=(20, 4))
-    query = np.array([3, -2, 4, 1])
-    order = np.argsort(members, axis=0, kind="stable").T
-    rows, scores, scored = topk.threshold_top(members, order, query, 10, None)
-    exact = members @ query
-    assert scored < 100 and sorted(scores)[-10:] == sorted(exact)[-10:]
-    assert (exact[rows] == scores).all()
+    queries = np.array([[3, -2, 4, 1], [1, -1, 1, 2]])
+    none, own = np.full(2, topk._LEAST, dtype=object).astype(kind), np.array([-1, 3])
+    scores, wanted, scored = topk.threshold_top(members.astype(kind), queries.astype(kind), 10, none, own)
+    exact = queries @ members.T
+    assert scored < 200
+    for q in range(2):
+        want = sorted((s for i, s in enumerate(exact[q]) if i != own[q]), reverse=True)[:10]
+        assert sorted((s for s in scores[q] if s >= wanted[q]), reverse=True)[:10] == want
     # A floor beyond everything lets a block answer at once, with nothing.
-    rows, _, scored = topk.threshold_top(members, order, query, 10, 10 ** 6)
-    assert not len(rows) and scored <= 4 * topk._STEP
+    scores, wanted, scored = topk.threshold_top(members.astype(kind), queries.astype(kind), 10, np.full(2, 10 ** 6).astype(kind), own)
+    assert not (scores >= wanted[:, None]).any() and scored <= 2 * 4 * topk._STEP
 
 
 def test_registered_query_on_the_given_table(spark):
