@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cellweave.llm import language, mixing, simhash
+from cellweave.llm import language, mixing
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,15 +37,18 @@ def test_run_equals_brute_force(spark, docs):
             total = sum(n * score(w) for w, n in words.items())
             if (np.exp(total - total.max()) / np.exp(total - total.max()).sum()).max() >= 0.5:
                 kept.append(i)
-    # Near copies.
-    fps = {i: simhash.fingerprint(rows[i].text) for i in kept}
+    # Near copies: sets of shingles of 5 words, all pairs, a Jaccard similarity of 0.8 or more.
+    def shingles(text):
+        w = (text or "").encode().lower().split()
+        return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    sets = {i: shingles(rows[i].text) for i in kept}
     group = {i: i for i in kept}
     changed = True
     while changed:
         changed = False
         for a in kept:
             for b in kept:
-                if (fps[a] ^ fps[b]).bit_count() <= 3 and group[a] > group[b]:
+                if group[a] > group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
                     group[a] = group[b]
                     changed = True
     kept = [i for i in kept if group[i] == i]
