@@ -13,9 +13,9 @@ The benchmark is the small side. Its hashes are counted and broadcast up to ``BR
 joined by shuffling. Documents are read in place, and only hits are moved. Hit words are counted per document as the
 length of a union of intervals, in one ordered pass.
 
-Defined cases: a null or wordless text has no words, no hits and no windows; repeated rows of a document id are one
-document: its hit places are those of any of its rows, its words those of the longest; items without an id are one item
-that hits words and counts, but is not in the list of ids; repeated item ids are one item.
+Defined cases: a null or wordless text has no words, no hits and no windows; every row is a document of its own, whether its
+id is null or stands twice, and equal rows are worked on once and returned as often as they stand; items without an id are one
+item that hits words and counts, but is not in the list of ids; repeated item ids are one item.
 """
 
 from __future__ import annotations
@@ -102,26 +102,33 @@ def _extended(anchors: DataFrame, windows: DataFrame, long: int) -> DataFrame:
     return reached.select("id", "w.*").join(hinted(same, same.count()), "window").select("id", "start", "long", "window").distinct()
 
 
+def _name(key: str, text: str) -> Column:
+    """What tells documents apart: the id and the text. Structs are equal where nulls meet nulls."""
+    return F.struct(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
          item_key: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``id, start, long, window``: every place of a document where a window of the benchmark occurs; and ``id, n_words``.
+    """``id, start, long, window``: every place of a document where a window of the benchmark occurs; and ``id, n_words, n_rows``.
 
+    ``id`` is a struct that names the document, ``n_rows`` how many rows are that document.
     Documents are read once per length of windows, which is once unless the benchmark has items shorter than a span.
     """
-    once = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    once = docs.select(_name(key, text).alias("id"), F.col(f"`{text}`").alias("text"))
     windows = stored(windows_of(benchmark, item_key, item_text).select("long", "window").distinct())
     lengths = sorted((r["long"] for r in windows.select("long").distinct().collect()), reverse=True) or [SPAN]
     anchors = [(long, stored(_anchors(once, windows, long))) for long in lengths]
     found = reduce(DataFrame.union, (_extended(rows, windows, long) for long, rows in anchors))
-    sizes = anchors[0][1].where("hash < 0").groupBy("id").agg(F.max("at").cast("bigint").alias("n_words"))
+    sizes = anchors[0][1].where("hash < 0").groupBy("id").agg(
+        F.max("at").cast("bigint").alias("n_words"), F.count(F.lit(1)).alias("n_rows"))
     return found, sizes
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``: one row per document id."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``: one row per row."""
     places, sizes = hits(docs, benchmark, key, text, item_key, item_text)
-    found, sizes = stored(places), sizes.withColumnRenamed("id", "doc_id")
+    found = stored(places)
     far = Window.partitionBy("id").orderBy("start", "long").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("long")
     covered = found.select("id", "start", "long").distinct().withColumn(
@@ -132,10 +139,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
              .select("id", F.col("item").cast("string").alias("item")).distinct())
     listed = items.groupBy("id").agg(F.count(F.lit(1)).alias("n_items"),
                                      F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
-    # Both results have one row per document hit, so they are joined first; a null id matches a null id.
-    hit = n_hit.alias("n").join(listed.alias("l"), F.col("n.id").eqNullSafe(F.col("l.id"))).select("n.id", "n_hit", "n_items", "items_sha256")
-    return (sizes.join(hit, F.col("doc_id").eqNullSafe(F.col("id")), "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+    # Both results have one row per document hit, so they are joined first.
+    each = F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))
+    return (sizes.join(n_hit.join(listed, "id"), "id", "left").withColumn("row", each)
+            .select("id.doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
                     F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
                     F.col("n_hit").isNotNull().alias("contaminated")))
@@ -145,5 +152,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
                    item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents without a hit word, with all their columns."""
     bad = stored(hits(docs, benchmark, key, text, item_key, item_text)[0].select("id").distinct())
-    rows = docs.select(F.col(f"`{key}`").alias("key"), packed(docs).alias("doc"))
-    return unpacked(rows.join(hinted(bad, bad.count(), BROADCAST_ROWS), F.col("key").eqNullSafe(F.col("id")), "left_anti"), "doc")
+    rows = docs.select(_name(key, text).alias("id"), packed(docs).alias("doc"))
+    return unpacked(rows.join(hinted(bad, bad.count(), BROADCAST_ROWS), "id", "left_anti"), "doc")

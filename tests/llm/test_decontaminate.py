@@ -27,7 +27,7 @@ def brute(docs, items):
                     if w[p:p + n] == v[s:s + n]:
                         hit |= set(range(p, p + n))
                         found.add(str(item))
-        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found - {"None"})).encode()).hexdigest(), bool(hit)))
     return sorted(out)
 
 
@@ -76,17 +76,22 @@ def test_filter_keeps_clean_rows_with_their_columns(spark):
     docs += [(300, "clean"), (300, "clean"), (None, "clean too"), (None, items[0][1])]
     table, bench = frames(spark, docs, items)
     out = decontaminate.decontaminated(table, bench)
-    bad = {r[0] for r in brute([d for d in docs if d[0] is not None], items) if r[-1]} | {None}
+    numbered = [(n, t) for n, (_, t) in enumerate(docs)]
+    bad = {r[0] for r in brute(numbered, items) if r[-1]}
     assert out.columns == table.columns
-    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, _ in docs if i not in bad)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted((d for n, d in enumerate(docs) if n not in bad), key=str)
+    assert (None, "clean too") in docs and len(docs) - 1 not in set(range(len(docs))) - bad
 
 
-def test_rows_of_one_id_and_items_without_one(spark):
-    docs = [(1, "a b c d e f g h i j k"), (1, "zz"), (1, "zz"), (2, "q r")]
-    items = [(None, "zz"), (5, "b c d e f g h i j k")]
-    got = {r.doc_id: r for r in decontaminate.contamination(*frames(spark, docs, items)).collect()}
-    assert (got[1].n_words, got[1].n_hit, got[1].n_items) == (11, 11, 2)
-    assert got[1].items_sha256 == hashlib.sha256(b"5").hexdigest() and not got[2].contaminated
+def test_every_row_is_a_document(spark):
+    # A third without an id, two texts under one id, and equal rows.
+    docs, items = corpus()
+    docs = [(None if n % 3 == 0 else i, t) for n, (i, t) in enumerate(docs)]
+    docs += [(1, "a b c d e f g h i j k"), (1, "zz"), (1, "zz"), (2, "q r"), (None, "a b c d"), (None, "z z z z z z")]
+    items = items + [(None, "zz"), (5, "b c d e f g h i j k")]
+    got = decontaminate.contamination(*frames(spark, docs, items)).collect()
+    want = [(docs[r[0]][0], *r[1:]) for r in brute([(n, t) for n, (_, t) in enumerate(docs)], items)]
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
 
 
 def test_empty_tables(spark):
