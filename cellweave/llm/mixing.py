@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import packed, stored
+from cellweave.llm.common import packed, row_hash, stored
 
 # Blocks into which equal sizes of a source are cut by id.
 BLOCKS = 1024
@@ -68,45 +68,56 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
             .select("source", "source_size", "target", "rate"))
 
 
-def decide(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``doc_id, source, size, nth, source_size, target, copies``: one row per document; ``nth`` numbers equal rows."""
-    sizes = stored(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-                               word_count(F.col(f"`{text}`")).alias("size")))
-    block = F.coalesce(F.pmod(F.col("doc_id"), F.lit(BLOCKS)), F.lit(-1)).alias("block")
-    groups = sizes.groupBy("source", "size", block, "doc_id").agg(F.count(F.lit(1)).alias("n"))
+def _block(known: Column, unknown: Column) -> Column:
+    """Blocks of ids; rows without one come first, in blocks of ``unknown``."""
+    return F.coalesce(F.pmod(known, F.lit(BLOCKS)), F.pmod(unknown, F.lit(BLOCKS)) - BLOCKS)
+
+
+def _placed(sizes: DataFrame, names: list[str], unknown: Column, mix: Mix) -> DataFrame:
+    """Per ``names``, source and size: ``n`` equal rows, their first ``place`` on the line, and the source's targets."""
+    block = _block(F.col("doc_id"), unknown).alias("block")
+    groups = sizes.groupBy("source", "size", block, *names).agg(F.count(F.lit(1)).alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per_block = groups.groupBy("source", "size", "block").agg(F.sum("n").alias("n"))
     per_size = per_block.groupBy("source", "size").agg(F.sum("n").alias("n"))
     size_start = per_size.select("source", "size", before(Window.partitionBy("source").orderBy("size")).alias("size_start"))
     block_start = per_block.select("source", "size", "block",
                                    before(Window.partitionBy("source", "size").orderBy("block")).alias("block_start"))
-    same = lambda a, b, names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
+    same = lambda a, b, keys: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in keys]
     starts = (block_start.alias("b").join(size_start.alias("s"), same("b", "s", ["source", "size"]))
               .join(F.broadcast(targets(sizes, mix)).alias("t") if sizes.select("source").distinct().limit(10_001).count() <= 10_000
                     else targets(sizes, mix).alias("t"), same("b", "t", ["source"]))
               .select("b.source", "b.size", "b.block", (F.col("size_start") + F.col("block_start")).alias("start"),
                       "source_size", "target", "rate"))
-    inside = groups.withColumn("inside", before(Window.partitionBy("source", "size", "block").orderBy(F.col("doc_id"))))
-    place = F.col("start") + F.col("inside") + F.col("nth")
-    crossed = lambda p: F.floor(F.col("rate") * p + offset(F.col("source"), mix.seed))
+    inside = groups.withColumn("inside", before(Window.partitionBy("source", "size", "block").orderBy(*names)))
     return (inside.alias("i").join(starts.alias("s"), same("i", "s", ["source", "size", "block"]))
-            .select("i.doc_id", "i.source", "i.size", "inside", "start", "source_size", "target", "rate",
-                    F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("nth"))
-            .select("doc_id", "source", "size", "nth", "source_size", "target",
-                    (crossed(place + 1) - crossed(place)).cast("bigint").alias("copies")))
+            .select(*[f"i.{c}" for c in names], "i.source", "i.size", "n", (F.col("start") + F.col("inside")).alias("place"), "source_size", "target", "rate"))
+
+
+def _crossed(place: Column, mix: Mix) -> Column:
+    return F.floor(F.col("rate") * place + offset(F.col("source"), mix.seed))
+
+
+def decide(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``doc_id, source, size, nth, source_size, target, copies``: one row per document; ``nth`` numbers rows equal in these."""
+    sizes = stored(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
+                               word_count(F.col(f"`{text}`")).alias("size")))
+    at = F.col("place") + F.col("nth")
+    return (_placed(sizes, ["doc_id"], F.lit(0), mix).withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+            .select("doc_id", "source", "size", "nth", "source_size", "target", (_crossed(at + 1, mix) - _crossed(at, mix)).cast("bigint").alias("copies")))
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The documents, each as often as it is taken, with all their columns and no other."""
-    taken = decide(docs, mix, key, text, source).where("copies > 0").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("of"), F.col("size").alias("long"), F.col("nth").alias("nth_of"), "copies")
-    row = packed(docs)
-    rows = docs.select(row.alias("doc"), F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-                       word_count(F.col(f"`{text}`")).alias("size"))
-    numbered = rows.withColumn("nth", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy("source", "size", "doc")))
-    first = Window.partitionBy("doc_id", "source", "size")
-    numbered = numbered.withColumn("nth", F.col("nth") - F.min("nth").over(first))
-    on = (F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("of"))
-          & (F.col("size") == F.col("long")) & (F.col("nth") == F.col("nth_of")))
-    return (numbered.join(taken, on).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*"))
+    """The documents, each as often as it is taken, with all their columns and no other.
+
+    Rows go by id and row hash, so that rows without an id are spread; equal rows are fetched once and given all their copies.
+    """
+    sizes = stored(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
+                               word_count(F.col(f"`{text}`")).alias("size"), row_hash(docs)))
+    copies = (_crossed(F.col("place") + F.col("n"), mix) - _crossed(F.col("place"), mix)).cast("bigint")
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    taken = _placed(sizes, ["doc_id", "row_hash"], F.col("row_hash"), mix).select(
+        name(F.col("doc_id")).alias("id"), "row_hash", copies.alias("copies")).where("copies > 0")
+    rows = docs.select(name(F.col(f"`{key}`")).alias("id"), row_hash(docs), packed(docs).alias("doc"))
+    once = rows.join(taken, ["id", "row_hash"]).groupBy("id", "row_hash", "copies").agg(F.min("doc").alias("doc"))
+    return once.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -74,6 +74,20 @@ def test_rows_come_out_as_often_as_decided(spark):
     assert got == dict(want)
 
 
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"word {n} " * (n % 3), "s") for n in range(600)] + [(n, "other words here", "s") for n in range(600)] + [(None, "same row", "t")] * 50
+    docs = frame(spark, rows)
+    out = mixing.mixed(docs)
+    decided = mixing.decide(docs)
+    counted = lambda df, n: {(r.source, r["size"]): r.n for r in df.groupBy("source", "size").agg(n.alias("n")).collect()}
+    got = counted(out.withColumn("size", mixing.word_count(F.col("text"))), F.count(F.lit(1)))
+    assert got == {k: n for k, n in counted(decided, F.sum("copies")).items() if n}
+    of = out.where("doc_id is null and source = 's' and text <> ''").groupBy("text").count().agg(F.max("count")).first()[0]
+    assert of <= 2
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(doc_id" not in plan and "hashpartitioning(doc_id" not in plan
+
+
 def test_empty_table(spark):
     assert mixing.decide(frame(spark, [])).count() == 0
     assert mixing.mixed(frame(spark, [])).count() == 0

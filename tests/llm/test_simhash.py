@@ -71,9 +71,6 @@ def test_components_equal_brute_force(spark, monkeypatch, limit):
     want = sorted((i, f, lowest[g]) for (i, _), f, g in zip(rows, fps, group, strict=True))
     got = simhash.near_copies(frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.fp % 2 ** 64, r.component_id) for r in got) == want
-    kept = simhash.one_of_each(frame(spark, rows))
-    assert kept.columns == frame(spark, rows).columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
 
 
 def test_links_of_dense_and_sparse_fingerprints(spark):
@@ -94,8 +91,6 @@ def test_null_ids_and_empty_tables(spark):
     got = simhash.near_copies(frame(spark, [(None, "a b c"), (4, "a b c"), (None, "x")])).collect()
     assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted([(None, 4), (4, 4), (None, None)], key=str)
     assert simhash.near_copies(frame(spark, [])).count() == 0
-    assert simhash.one_of_each(frame(spark, [])).count() == 0
-    assert simhash.one_of_each(frame(spark, [(None, "x"), (None, "y z")])).count() == 1
 
 
 def test_components_of_chains_stars_and_loops(spark):
