@@ -16,7 +16,6 @@ repeated rows count each; ids and other columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,22 +36,22 @@ LEAST_COUNT = 10
 SHARE = 50
 BEST = 2000
 
-# Distinct chunks, phrases and word hashes a Python worker holds before it hands them on, and phrases it tallies at once.
-_HELD, _TALLIED = 100_000, 1 << 20
+# Word hashes a Python worker holds, bytes of text it parses and words it tallies at once.
+_HELD, _BYTES, _TALLIED = 200_000, 1 << 20, 1 << 19
 # Phrases are first counted in this many buckets (a power of 2); the bitmap of those to look into has this size at most.
 _BUCKET_BITS, _MOST_BITS = 40, 28
 
 
 class _Hashes(dict):
-    """Word hashes, taken once per word as long as there is room."""
+    """Word hashes, taken once per word as long as there is room. The mark of a cut has 0, no word has."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= _HELD:
             self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        found = self[word] = 0 if word == _MARK else xxhash.xxh64_intdigest(word) | 1
         return found
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -86,98 +85,117 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-# Marks of cuts stand as words of their own between the words; a tab is a blank.
-_MARKED = {ord(c): " \n " for c in ".,;:!?\x0a\x0b\x0c\x0d"} | {9: " "} | {ord(a): b for a, b in zip(UPPER, LOWER, strict=True)}
+# Bytes are replaced one by one: ASCII characters are never part of another one, and 0xFF is no part of any.
+_MARK = b"\xff"
+_PLAIN = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09" + UPPER.encode(), _MARK * 10 + b" " + LOWER.encode())
 
 
-def _parse(batches: Iterator[pd.DataFrame], every: int, longest: int) -> Iterator[pd.DataFrame]:
-    held, known = Counter(), _Hashes()
+def _parsed(texts: list[bytes], known: _Hashes, every: int, longest: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Chunks of some texts, their words and own starts."""
+    tokens = _MARK.join(texts).translate(_PLAIN).replace(_MARK, b" \xff ").split()
+    hashes = known.of(tokens)
+    at = np.flatnonzero(hashes)
+    if not len(at):
+        return [], at, at
+    # Words before each mark; marks in a row and at the ends cut nothing.
+    ends = np.unique(np.r_[np.flatnonzero(hashes == 0) - np.arange(len(hashes) - len(at)), len(at)])
+    starts, stops, own = cuts(hashes[at], ends[ends > 0], every, longest)
+    found = [b" ".join(tokens[s:e]).decode("utf-8", "surrogatepass") for s, e in zip(at[starts].tolist(), (at[stops - 1] + 1).tolist(), strict=True)]
+    return found, stops - starts, own
 
-    def out() -> pd.DataFrame:
-        rows = pd.DataFrame([(lang, chunk, words, starts, n) for (lang, chunk, words, starts), n in held.items()], columns=["lang", "chunk", "words", "starts", "n"])
-        held.clear()
-        return rows
 
+def _parse(batches: Iterator[pd.DataFrame], every: int, longest: int) -> Iterator[pd.DataFrame]:
+    known = _Hashes()
     for batch in batches:
-        for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            marked = [w for w in text.translate(_MARKED).split(" ") if w]
-            words = [w for w in marked if w != "\n"]
-            if not words:
-                continue
-            marks = np.flatnonzero(np.array([w == "\n" for w in marked]))
-            ends = np.unique(np.r_[marks - np.arange(len(marks)), len(words)])
-            for s, e, own in zip(*(a.tolist() for a in cuts(known.of(words), ends[ends > 0], every, longest)), strict=True):
-                held[lang, " ".join(words[s:e]), e - s, own] += 1
-            if len(held) >= _HELD:
-                yield out()
-    yield out()
+        for lang, of in batch.groupby("lang", sort=False)["text"]:
+            held, size = [], 0
+            for k, text in enumerate(of, start=1):
+                held.append(text.encode("utf-8", "surrogatepass"))
+                size += len(held[-1])
+                if size >= _BYTES or k == len(of):
+                    chunks, words, own = _parsed(held, known, every, longest)
+                    held, size = [], 0
+                    yield pd.DataFrame({"lang": lang, "chunk": chunks, "words": words, "starts": own})
 
 
 def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", every: int = EVERY, longest: int = LONGEST) -> DataFrame:
     """``lang, chunk, words, starts, n``: distinct chunks, their length, own starts and frequency."""
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
     parsed = rows.where("text is not null").mapInPandas(
-        lambda batches: _parse(batches, every, longest), "lang string, chunk string, words int, starts int, n bigint")
-    return parsed.groupBy("lang", "chunk", "words", "starts").agg(F.sum("n").alias("n"))
+        lambda batches: _parse(batches, every, longest), "lang string, chunk string, words int, starts int")
+    return parsed.groupBy("lang", "chunk", "words", "starts").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _phrases(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[tuple]:
-    """Of some chunks at once: their words, and per phrase length its first words, buckets, chunks and weights."""
-    known = _Hashes()
-    for batch in batches:
-        if not len(batch):
-            continue
-        words = " ".join(batch["chunk"]).split(" ")
-        length, own = batch["words"].to_numpy(), batch["starts"].to_numpy()
-        chunk = np.repeat(np.arange(len(batch)), length)
-        place = np.arange(len(words)) - np.repeat(np.cumsum(length) - length, length)
-        mine, left, times = place < own[chunk], length[chunk] - place, batch["n"].to_numpy()[chunk]
-        hashes = known.of(words)
-        now, each = known.of(list(batch["lang"]))[chunk], []
-        for k in range(1, most_words + 1):
-            now = _mixed(now[:len(words) - k + 1], hashes[k - 1:])
-            at = np.flatnonzero(mine[:len(now)] & (left[:len(now)] >= k))
-            each.append((k, at, (now[at] >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), times[at]))
-        yield words, batch["lang"].to_numpy(), chunk, each
+class _Chunks:
+    """Some distinct chunks as arrays over their words."""
 
+    def __init__(self, rows: pd.DataFrame, known: _Hashes, most_words: int) -> None:
+        self.words = " ".join(rows["chunk"]).encode("utf-8", "surrogatepass").split(b" ")
+        length, own = rows["words"].to_numpy(), rows["starts"].to_numpy()
+        self.chunk = np.repeat(np.arange(len(rows)), length)
+        place = np.arange(len(self.words)) - np.repeat(np.cumsum(length) - length, length)
+        self.mine, self.left, self.times = place < own[self.chunk], length[self.chunk] - place, rows["n"].to_numpy()[self.chunk]
+        self.langs, self.known, self.most_words = rows["lang"].to_numpy(), known, most_words
 
-def _tallies(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
+    def buckets(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per phrase length: first words, and buckets."""
+        hashes = self.known.of(self.words)
+        now = self.known.of([x.encode("utf-8", "surrogatepass") for x in self.langs])[self.chunk]
+        for k in range(1, self.most_words + 1):
+            now = _mixed(now[:len(hashes) - k + 1], hashes[k - 1:])
+            at = np.flatnonzero(self.mine[:len(now)] & (self.left[:len(now)] >= k))
+            yield k, at, (now[at] >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
 
-    def out() -> pd.DataFrame:
-        keys, times = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        found, where = np.unique(keys, return_inverse=True)
-        total = np.zeros(len(found), dtype=np.int64)
-        np.add.at(total, where, times)
-        return pd.DataFrame({"bucket": found, "n": total})
 
-    for _, _, _, each in _phrases(batches, most_words):
-        held += [(keys, times) for _, _, keys, times in each]
-        size += sum(len(e[1]) for e in each)
+def _several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches put together to about ``_TALLIED`` words."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["words"].sum())
         if size >= _TALLIED:
-            yield out()
+            yield pd.concat(held, ignore_index=True)
             held, size = [], 0
-    if held:
-        yield out()
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first of equal keys, in the order of the keys, and the sums of their times."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
+    return order[first], np.add.reduceat(times[order], first) if len(first) else times[:0]
+
+
+def _tallies(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[pd.DataFrame]:
+    known = _Hashes()
+    for rows in _several(batches):
+        chunks = _Chunks(rows, known, most_words)
+        found = [(buckets, chunks.times[at]) for _, at, buckets in chunks.buckets()]
+        buckets, times = (np.concatenate(c) for c in zip(*found, strict=True))
+        first, total = _added(buckets, times)
+        yield pd.DataFrame({"bucket": buckets[first], "n": total})
 
 
 def _kept(batches: Iterator[pd.DataFrame], most_words: int, bits: np.ndarray, width: int) -> Iterator[pd.DataFrame]:
-    held = Counter()
-
-    def out() -> pd.DataFrame:
-        rows = pd.DataFrame([(lang, phrase, n) for (lang, phrase), n in held.items()], columns=["lang", "phrase", "n"])
-        held.clear()
-        return rows
-
-    for words, langs, chunk, each in _phrases(batches, most_words):
-        for k, at, keys, times in each:
-            low = keys & (width - 1)
-            may = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
-            for i, lang, n in zip(at[may].tolist(), langs[chunk[at[may]]], times[may].tolist(), strict=True):
-                held[lang, " ".join(words[i:i + k])] += n
-        if len(held) >= _HELD:
-            yield out()
-    yield out()
+    known = _Hashes()
+    for rows in _several(batches):
+        chunks = _Chunks(rows, known, most_words)
+        # Numbers of the words of a language among these: phrases of equal numbers are equal.
+        number: dict[bytes, int] = {}
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in chunks.words), dtype=np.int64, count=len(chunks.words))
+        langs, lang = np.unique(chunks.langs.astype(str), return_inverse=True)
+        now = lang[chunks.chunk].astype(np.int64)
+        for k, at, buckets in chunks.buckets():
+            pairs = now[:len(ids) - k + 1] * len(number) + ids[k - 1:]
+            now = np.unique(pairs, return_inverse=True)[1].reshape(-1)  # of language and the first k words
+            low = buckets & (width - 1)
+            at = at[(bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1]
+            first, total = _added(now[at], chunks.times[at])
+            at = at[first]
+            yield pd.DataFrame({"lang": langs[lang[chunks.chunk[at]]], "n": total,
+                                "phrase": [b" ".join(chunks.words[i:i + k]).decode("utf-8", "surrogatepass") for i in at.tolist()]})
 
 
 def _bitmap(buckets: DataFrame) -> tuple[np.ndarray, int]:

@@ -63,7 +63,7 @@ def test_every_start_belongs_to_one_chunk(every, longest):
         for words in ([rng.choice("abcde") for _ in range(n)], ["same"] * n):
             ends = sorted({n, *(rng.randint(1, n) for _ in range(n // 10))})
             found = Counter()
-            for s, e, own in zip(*collocations.cuts(collocations._Hashes().of(words), np.array(ends), every, longest), strict=True):
+            for s, e, own in zip(*collocations.cuts(collocations._Hashes().of([x.encode() for x in words]), np.array(ends), every, longest), strict=True):
                 assert own <= longest and e - s <= longest + 2
                 for i in range(s, s + own):
                     found.update(tuple(words[i:i + k]) for k in (1, 2, 3) if i + k <= e)
@@ -76,7 +76,7 @@ def test_a_repeated_passage_is_parsed_alike():
     words = [rng.choice("abcdefghij") * 2 for _ in range(300)]
 
     def cut(w):
-        return {tuple(w[s:e]) for s, e, _ in zip(*collocations.cuts(collocations._Hashes().of(w), np.array([len(w)]), 5), strict=True)}
+        return {tuple(w[s:e]) for s, e, _ in zip(*collocations.cuts(collocations._Hashes().of([x.encode() for x in w]), np.array([len(w)]), 5), strict=True)}
     one, other = cut(["before"] + words), cut(["quite", "other"] + words + ["after"])
     assert len(one) > 20 and len(one & other) >= len(one) - 3
 
