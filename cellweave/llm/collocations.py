@@ -129,24 +129,32 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", every: i
 class _Chunks:
     """Some distinct chunks as arrays over their words."""
 
-    def __init__(self, rows: pd.DataFrame, known: _Hashes, most_words: int) -> None:
+    def __init__(self, rows: pd.DataFrame, known: _Hashes) -> None:
         self.words = " ".join(rows["chunk"]).encode("utf-8", "surrogatepass").split(b" ")
         length, own = rows["words"].to_numpy(), rows["starts"].to_numpy()
         self.chunk = np.repeat(np.arange(len(rows)), length)
         place = np.arange(len(self.words)) - np.repeat(np.cumsum(length) - length, length)
         self.mine, self.left, self.times = place < own[self.chunk], length[self.chunk] - place, rows["n"].to_numpy()[self.chunk]
-        self.langs, self.known, self.most_words = rows["lang"].to_numpy(), known, most_words
+        self.langs, self.known = rows["lang"].to_numpy(), known
 
-    def buckets(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per phrase length: first words, and buckets."""
+    def buckets(self, most_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per phrase length: the places of all phrases, and their buckets."""
         hashes = self.known.of(self.words)
         now = self.known.of([x.encode("utf-8", "surrogatepass") for x in self.langs])[self.chunk]
-        for k in range(1, self.most_words + 1):
+        for k in range(1, most_words + 1):
             now = _mixed(now[:len(hashes) - k + 1], hashes[k - 1:])
-            at = np.flatnonzero(self.mine[:len(now)] & (self.left[:len(now)] >= k))
+            at = np.flatnonzero(self.left[:len(now)] >= k)
             yield k, at, (now[at] >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self)
+        return found
+
+
 def _several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Batches put together to about ``_TALLIED`` words."""
     held, size = [], 0
@@ -171,31 +179,43 @@ def _added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _tallies(batches: Iterator[pd.DataFrame], most_words: int) -> Iterator[pd.DataFrame]:
     known = _Hashes()
     for rows in _several(batches):
-        chunks = _Chunks(rows, known, most_words)
-        found = [(buckets, chunks.times[at]) for _, at, buckets in chunks.buckets()]
+        chunks = _Chunks(rows, known)
+        found = [(buckets[chunks.mine[at]], chunks.times[at[chunks.mine[at]]]) for _, at, buckets in chunks.buckets(most_words)]
         buckets, times = (np.concatenate(c) for c in zip(*found, strict=True))
         first, total = _added(buckets, times)
         yield pd.DataFrame({"bucket": buckets[first], "n": total})
 
 
-def _kept(batches: Iterator[pd.DataFrame], most_words: int, bits: np.ndarray, width: int) -> Iterator[pd.DataFrame]:
+def _kept(batches: Iterator[pd.DataFrame], most_words: int, tallied: int, bits: np.ndarray, width: int) -> Iterator[pd.DataFrame]:
     known = _Hashes()
     for rows in _several(batches):
-        chunks = _Chunks(rows, known, most_words)
-        # Numbers of the words of a language among these: phrases of equal numbers are equal.
-        number: dict[bytes, int] = {}
-        ids = np.fromiter((number.setdefault(w, len(number)) for w in chunks.words), dtype=np.int64, count=len(chunks.words))
+        chunks, number = _Chunks(rows, known), _Numbers()
+        ids = np.fromiter(map(number.__getitem__, chunks.words), dtype=np.int64, count=len(chunks.words))
         langs, lang = np.unique(chunks.langs.astype(str), return_inverse=True)
-        now = lang[chunks.chunk].astype(np.int64)
-        for k, at, buckets in chunks.buckets():
-            pairs = now[:len(ids) - k + 1] * len(number) + ids[k - 1:]
-            now = np.unique(pairs, return_inverse=True)[1].reshape(-1)  # of language and the first k words
-            low = buckets & (width - 1)
-            at = at[(bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1]
-            first, total = _added(now[at], chunks.times[at])
+        lang = lang.reshape(-1).astype(np.int64)
+
+        def counted(k: int, at: np.ndarray) -> pd.DataFrame:
+            # Language and words as one number: phrases of equal numbers are equal.
+            key, room = lang[chunks.chunk[at]], len(langs)
+            for n in range(k):
+                if room * len(number) >= 2 ** 62:
+                    key = np.unique(key, return_inverse=True)[1].reshape(-1)
+                    room = len(key) + 1
+                key, room = key * len(number) + ids[at + n], room * len(number)
+            first, total = _added(key, chunks.times[at])
             at = at[first]
-            yield pd.DataFrame({"lang": langs[lang[chunks.chunk[at]]], "n": total,
-                                "phrase": [b" ".join(chunks.words[i:i + k]).decode("utf-8", "surrogatepass") for i in at.tolist()]})
+            return pd.DataFrame({"lang": langs[lang[chunks.chunk[at]]], "n": total,
+                                 "phrase": [b" ".join(chunks.words[i:i + k]).decode("utf-8", "surrogatepass") for i in at.tolist()]})
+
+        for k, at, buckets in chunks.buckets(tallied):
+            low = buckets & (width - 1)
+            may = np.zeros(len(ids) + 1, dtype=bool)
+            may[at] = (bits[low >> 3] >> (low & 7).astype(np.uint8)) & 1 == 1
+            yield counted(k, np.flatnonzero(may[:-1] & chunks.mine))
+        for k in range(tallied + 1, most_words + 1):
+            # Both phrases inside, one word shorter, may be frequent.
+            may[:-1] &= may[1:]
+            yield counted(k, np.flatnonzero(may[:-1] & chunks.mine & (chunks.left >= k)))
 
 
 def _bitmap(buckets: DataFrame) -> tuple[np.ndarray, int]:
@@ -214,16 +234,17 @@ def _bitmap(buckets: DataFrame) -> tuple[np.ndarray, int]:
 def frequent_phrases(parsed: DataFrame, least: int = LEAST_COUNT, most_words: int = MOST_WORDS) -> DataFrame:
     """``lang, phrase, f`` of all phrases of 1 to ``most_words`` words that occur ``least`` times or more.
 
-    Phrases are first counted by buckets of their hashes, which shuffles two numbers for a phrase. A bucket below ``least``
-    holds no frequent phrase. Then only phrases whose bucket may be over it are counted as what they are, so the counts are
-    exact whatever the hashes do.
+    Phrases but the longest are first counted by buckets of their hashes, which shuffles two numbers for a phrase. A bucket
+    below ``least`` holds no frequent phrase. Then only phrases whose bucket may be over it, or the longest ones both of whose
+    parts' buckets may be, are counted as what they are, so the counts are exact whatever the hashes do.
     """
+    tallied = max(1, most_words - 1)
     chunks = parsed.select("lang", "chunk", "words", "starts", "n")
-    buckets = stored(chunks.mapInPandas(lambda b: _tallies(b, most_words), "bucket bigint, n bigint")
+    buckets = stored(chunks.mapInPandas(lambda b: _tallies(b, tallied), "bucket bigint, n bigint")
                      .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("bucket"))
     bits, width = _bitmap(buckets)
     shared = parsed.sparkSession.sparkContext.broadcast(bits)
-    return (chunks.mapInPandas(lambda b: _kept(b, most_words, shared.value, width), "lang string, phrase string, n bigint")
+    return (chunks.mapInPandas(lambda b: _kept(b, most_words, tallied, shared.value, width), "lang string, phrase string, n bigint")
             .groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
 
 
