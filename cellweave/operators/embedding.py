@@ -46,11 +46,13 @@ def normalize_scale(cells: DataFrame, markers: list[str], target: float = TARGET
 def principal_components(cells: DataFrame, markers: list[str], n_components: int = 50) -> DataFrame:
     """Add ``components``: coordinates on the leading axes of the centred markers.
 
-    Only the marker by marker covariance is brought together; cells stay where they are.
+    Only the marker by marker covariance is brought together; cells stay where they are. An unknown value (null or NaN)
+    counts as its marker's mean, a marker without any value as 0.
     """
     n = min(n_components, len(markers))
-    means = cells.agg(*[F.avg(col(m)).alias(f"m_{i}") for i, m in enumerate(markers)]).first()
-    centred = cells.withColumns({f"centred_{i}": col(m) - F.lit(means[f"m_{i}"]) for i, m in enumerate(markers)})
+    known = lambda m: F.when(~F.isnan(col(m).cast("double")), col(m))
+    means = cells.agg(*[F.avg(known(m)).alias(f"m_{i}") for i, m in enumerate(markers)]).first()
+    centred = cells.withColumns({f"centred_{i}": F.coalesce(known(m) - F.lit(means[f"m_{i}"]), F.lit(0.0)) for i, m in enumerate(markers)})
     names = [f"centred_{i}" for i in range(len(markers))]
     assembled = VectorAssembler(inputCols=names, outputCol="centred").transform(centred)
     fitted = PCA(k=n, inputCol="centred", outputCol="projected").fit(assembled)

@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 
 def arriving_files(spark: SparkSession, path: str, schema: T.StructType, glob: str,
                    files_per_batch: int | None = None) -> DataFrame:
-    """Files with a header under a folder as a stream of rows."""
-    reader = (spark.readStream.schema(schema).option("header", True)
+    """Files with a header under a folder as a stream of rows.
+
+    Columns are taken by place, so a file whose header names others, or in another order, ends the stream with an error.
+    """
+    reader = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
               .option("recursiveFileLookup", True).option("pathGlobFilter", glob))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
