@@ -37,7 +37,7 @@ SHARE = 50
 BEST = 2000
 
 # Word hashes a Python worker holds, bytes of text it parses and words it tallies at once.
-_HELD, _BYTES, _TALLIED = 200_000, 1 << 20, 1 << 19
+_HELD, _BYTES, _TALLIED = 200_000, 1 << 20, 3 << 19
 # Phrases are first counted in this many buckets (a power of 2); the bitmap of those to look into has this size at most.
 _BUCKET_BITS, _MOST_BITS = 40, 28
 
@@ -169,8 +169,8 @@ def _several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the first of equal keys, in the order of the keys, and the sums of their times."""
-    order = np.argsort(keys, kind="stable")
+    """A place of each distinct key, in the order of the keys, and the sums of their times."""
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=int)
     return order[first], np.add.reduceat(times[order], first) if len(first) else times[:0]
