@@ -117,4 +117,4 @@ def cox(rows: DataFrame, covariates: list[str], limit: int = GROUP_ROWS) -> Data
                  float(f.loglik), f.converged) for i, c in enumerate(covariates)]
     found = rows.sparkSession.createDataFrame(out, "outcome string, covariate string, coef double, hazard_ratio double, se double, z double, "
                                                    "lower double, upper double, n bigint, n_events bigint, loglik double, converged boolean")
-    return found.withColumn("p", normal_two_sided(F.abs("z")))
+    return found.withColumn("p", F.when(F.col("z").isNotNull(), normal_two_sided(F.abs("z"))))

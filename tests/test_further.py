@@ -170,6 +170,13 @@ def test_cox_equals_numpy_with_ties(spark, limit):
         assert r.p == pytest.approx(math.erfc(abs(beta[k] / se[k]) / math.sqrt(2)), abs=1e-6)
 
 
+def test_cox_without_events_rows_or_differences(spark):
+    rows = spark.createDataFrame([("OS", 1.0, 1, 2.0), ("OS", 2.0, 1, 2.0), ("OS", 3.0, 0, 2.0)], "outcome string, duration double, event int, a double")
+    assert hazards.cox(rows.where("event = 0"), ["a"]).count() == hazards.cox(rows.where("false"), ["a"]).count() == 0
+    r = hazards.cox(rows, ["a"]).collect()[0]
+    assert (r.coef, r.z, r.p) == (0.0, None, None)
+
+
 def test_components_take_unknown_values(spark):
     rng = np.random.default_rng(6)
     rows = [tuple(map(float, r)) for r in rng.normal(size=(40, 3))]
