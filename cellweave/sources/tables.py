@@ -52,7 +52,7 @@ def with_markers(schema: T.StructType, markers: list[str]) -> T.StructType:
 READABLE, EMPTY, UNREADABLE = "OK", "EMPTY", "ERROR"
 
 
-def _matching(spark: SparkSession, path: str, glob: str, fmt: str):
+def _matching(spark: SparkSession, glob: str, fmt: str):
     return spark.read.format(fmt).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
 
 
@@ -61,22 +61,27 @@ def _one_slash(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
+def literal_path(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
+
+
 def _as_path(uri: str) -> str:
-    """A file's URI as a path to read, in which no character stands for others."""
-    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+    """A file's URI as a path to read."""
+    return literal_path(unquote(uri))
 
 
-def file_status(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """(file_path, status, encoding, header): one row for every matching file.
+def file_status(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
+    """(file_path, status, encoding, header): one row for every matching file, under one path or several.
 
     One reading of the lines gives a file's first line and whether all its bytes are UTF-8; a
     file without is Latin-1. Files that cannot be read have no lines and stay in the list.
     """
-    lines = _matching(spark, path, glob, "text").option("ignoreCorruptFiles", True).load(path)
+    lines = _matching(spark, glob, "text").option("ignoreCorruptFiles", True).load(path)
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     seen = (lines.select(_one_slash(F.col("_metadata.file_path")).alias("file_path"), "value", place.alias("place"))
             .groupBy("file_path").agg(F.min_by("value", "place").alias("first"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8")))
-    found = _matching(spark, path, glob, "binaryFile").load(path)
+    found = _matching(spark, glob, "binaryFile").load(path)
     # The listing itself also has the files without a byte.
     listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "file_path string").select(_one_slash(F.col("file_path")).alias("file_path"))
     sizes = found.select(_one_slash(F.col("_metadata.file_path")).alias("file_path"), "length")
@@ -94,7 +99,7 @@ def _columns(header: str, sep: str) -> list[str]:
     return next(csv.reader([header], delimiter=sep), [])
 
 
-def read_delimited(spark: SparkSession, path: str, fixed: T.StructType, glob: str, sep: str = ",",
+def read_delimited(spark: SparkSession, path: str | list[str], fixed: T.StructType, glob: str, sep: str = ",",
                    encoding: str | None = None) -> DataFrame:
     """Files with a header under a folder, by column name.
 
@@ -103,7 +108,12 @@ def read_delimited(spark: SparkSession, path: str, fixed: T.StructType, glob: st
     do not fit are kept in ``CORRUPT``; empty and unreadable files are listed by file_status.
     The driver holds one line per file, as Spark's own listing does.
     """
-    files = file_status(spark, path, glob).where(F.col("status") == READABLE).collect()
+    return read_listed(spark, file_status(spark, path, glob), fixed, sep, encoding)
+
+
+def read_listed(spark: SparkSession, status: DataFrame, fixed: T.StructType, sep: str = ",", encoding: str | None = None) -> DataFrame:
+    """The readable files of a listing made by file_status, by column name."""
+    files = status.where(F.col("status") == READABLE).collect()
     groups: dict[tuple[str, str], list[str]] = {}
     for f in files:
         groups.setdefault((f["header"], encoding or f["encoding"]), []).append(f["file_path"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellweave.functions.names import slide_id
-from cellweave.operators import regions, triads as ops
+from cellweave.operators import masks, regions, triads as ops
 from cellweave.sources import metadata, tables
 from workload.registry import query
 from workload.triads import SEARCH
@@ -130,6 +130,41 @@ def roi_assign(spark, sf):
     return regions.assign_to_rois(slim, located(spark, sf), "matched").select("image_id", "roi_name", "cell_id")
 
 
+def tissue_masks(spark, sf):
+    """A tissue mask of 250 rows for every image that has regions, two runs a row, and its frame of 1000 by 1000 pixels."""
+    images = located(spark, sf).select("image_id").distinct().withColumn("mask", F.lit("tissue"))
+    rows = images.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(249))))
+    ends = F.array(F.struct(F.lit(0).alias("start"), (100 + C("row") % 7).alias("end")), F.struct(F.lit(150).alias("start"), F.lit(250).alias("end")))
+    frames = images.select("*", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(1000).alias("w"), F.lit(1000).alias("h"),
+                           F.lit(250).alias("mask_width"), F.lit(250).alias("mask_height"))
+    return rows.select("*", F.explode(ends).alias("run")).select("image_id", "mask", "row", "run.*"), frames
+
+
+def own_masks(spark, sf):
+    """Masks of 64 by 48 pixels for the regions of four in five customers, one run a row that starts further right row by row."""
+    of = regions.clip_rois(located(spark, sf)).where(C("c_custkey") % 5 != 0).withColumn("mask", C("roi_name"))
+    frames = of.select("image_id", "mask", "x", "y", (C("x_end") - C("x")).alias("w"), (C("y_end") - C("y")).alias("h"),
+                       F.lit(64).alias("mask_width"), F.lit(48).alias("mask_height"))
+    rows = of.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(47))))
+    start = (C("row") + C("c_custkey")) % 30
+    return rows.select("image_id", "mask", "row", start.alias("start"), (start + 31).alias("end")), frames
+
+
+@query("roi_mask_assign", f"""WITH {CELLS}, {ROIS},
+hit AS (SELECT c.image_id, roi_name, cell_id, c_custkey, CAST(floor(c.x) AS BIGINT) AS px, CAST(floor(c.y) AS BIGINT) AS py, bx, by_,
+               least(bx + bw, 1000) - bx AS w, least(by_ + bh, 1000) - by_ AS h
+        FROM cells c JOIN placed p ON c.image_id = p.image_id WHERE c.x >= bx AND c.x < least(bx + bw, 1000) AND c.y >= by_ AND c.y < least(by_ + bh, 1000)),
+pixel AS (SELECT *, (2 * px + 1) * 250 // 2000 AS tx, (2 * py + 1) * 250 // 2000 AS ty,
+                 (2 * (px - bx) + 1) * 64 // (2 * w) AS mx, (2 * (py - by_) + 1) * 48 // (2 * h) AS my FROM hit)
+SELECT image_id, roi_name, cell_id FROM pixel
+WHERE (tx < 100 + ty % 7 OR tx >= 150)
+  AND (c_custkey % 5 = 0 OR (mx >= (my + c_custkey) % 30 AND mx < (my + c_custkey) % 30 + 31))""")
+def roi_mask_assign(spark, sf):
+    slim = cells(spark, sf).select("image_id", "cell_id", "x", "y")
+    found = masks.assign_through_masks(slim, located(spark, sf), tissue_masks(spark, sf), own_masks(spark, sf))
+    return found.select("image_id", "roi_name", "cell_id")
+
+
 @query("roi_condition_counts", f"""WITH {ROIS}, dims(condition, pre) AS (VALUES ('CLR', 'CLR_'), ('DII', 'DII_'), ('CTL', 'CTL_'))
 SELECT condition, CAST(count(c_custkey) AS BIGINT) AS n_rois FROM dims LEFT JOIN placed ON cond = pre GROUP BY condition""")
 def roi_condition_counts(spark, sf):
