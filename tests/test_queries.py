@@ -17,7 +17,7 @@ QUICK = [
     "triad_trajectory", "distance_summary", "qc_filter", "noise_cutoffs", "qc_counts", "marker_range", "intensity_level",
     "rule_typing", "composition_pct", "gmm_threshold", "sample_cap", "mann_whitney", "test_between_conditions",
     "patient_density", "km_curve", "logrank", "cluster_profile", "knn_graph", "scan_cells", "scan_channel_meta",
-    "roi_assign", "roi_mask_assign", "region_features", "dq_report",
+    "roi_assign", "roi_mask_assign", "region_features", "region_outlines", "dq_report",
 ]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellweave.functions.names import slide_id
-from cellweave.operators import masks, regions, triads as ops
+from cellweave.operators import masks, outlines, regions, triads as ops
 from cellweave.sources import metadata, tables
 from workload.registry import query
 from workload.triads import SEARCH
@@ -199,3 +199,30 @@ def region_features(spark, sf):
     digits = {"x": 5, "y": 5, "axis_major_length": 4, "axis_minor_length": 4, "eccentricity": 4, "mean_1": 5, "mean_2": 5}
     out = regions.region_features(pixels, ["1", "2"])
     return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in out.columns])
+
+
+def labelled_pixels(spark, sf):
+    """Line items as pixels of three labels that lie dense in small images."""
+    return table(spark, sf, "lineitem").select(
+        C("l_suppkey").alias("image_id"), (C("l_linenumber") % 3).alias("label"), (C("l_orderkey") % 12).alias("x"), (C("l_partkey") % 10).alias("y"))
+
+
+PIXELS = "px AS (SELECT DISTINCT l_suppkey AS image_id, l_linenumber % 3 AS label, l_orderkey % 12 AS x, l_partkey % 10 AS y FROM lineitem)"
+
+
+@query("region_outlines", f"""WITH {PIXELS},
+edge AS (SELECT p.image_id, p.label, p.x, p.y FROM px p LEFT JOIN px q ON p.image_id = q.image_id AND p.label = q.label AND abs(p.x - q.x) + abs(p.y - q.y) = 1
+         GROUP BY ALL HAVING count(q.x) < 4),
+code AS (SELECT p.image_id, p.label, p.x, p.y, sum(CASE abs(p.x - q.x) + abs(p.y - q.y) WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 10 END) AS m
+         FROM edge p JOIN edge q ON p.image_id = q.image_id AND p.label = q.label AND abs(p.x - q.x) <= 1 AND abs(p.y - q.y) <= 1 GROUP BY ALL)
+SELECT image_id, label, CAST(count(*) AS BIGINT) AS n_border,
+       round(sum(CASE WHEN m IN (5, 7, 15, 17, 25, 27) THEN 1 WHEN m IN (21, 33) THEN sqrt(2) WHEN m IN (13, 23) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 5) AS perimeter
+FROM code GROUP BY ALL""")
+def region_outlines(spark, sf):
+    return outlines.region_outlines(labelled_pixels(spark, sf)).withColumn("perimeter", F.round("perimeter", 5))
+
+
+# No SQL: hulls are held against a plain test of every pixel in tests/test_outlines.py.
+@query("region_hulls")
+def region_hulls(spark, sf):
+    return outlines.convex_areas(labelled_pixels(spark, sf))
