@@ -87,19 +87,19 @@ def scan_patients_files(spark, sf):
     return tables.scan_patients(spark, path).select("Patient", "Group", "OS_Censor", F.round("OS", 6).alias("OS"))
 
 
-@query("scan_encodings", """SELECT n_nationkey, 'é' || n_name || 'ß' AS cell_type, n_nationkey % 2 = 0 AS utf8 FROM nation""")
+@query("scan_encodings", """SELECT c_custkey, 'é' || c_name || 'ß' AS cell_type, CAST(c_custkey % 1000 AS DOUBLE) AS x, c_nationkey % 2 = 0 AS utf8 FROM customer""")
 def scan_encodings(spark, sf):
+    # Customers as cells of one image per nation; every other image is written as Latin-1.
     path = folder(spark)
-    rows = table(spark, sf, "nation").select(
-        F.concat(F.lit("n"), C("n_nationkey").cast("string")).alias("image"), C("n_nationkey").cast("string").alias("cell_id"),
-        F.lit(1).alias("centroid_x"), F.lit(2).alias("centroid_y"), F.concat(F.lit("é"), "n_name", F.lit("ß")).alias("cell_type"))
-    key = C("cell_id").cast("int") % 2
-    named_files(rows.where(key == 0), path, "image", tables.MATCHED_SUFFIX)
-    named_files(rows.where(key == 1), path, "image", tables.MATCHED_SUFFIX, "ISO-8859-1")
+    rows = table(spark, sf, "customer").select(
+        "c_nationkey", F.concat(F.lit("n"), C("c_nationkey").cast("string")).alias("image"), C("c_custkey").cast("string").alias("cell_id"),
+        (C("c_custkey") % 1000).alias("centroid_x"), F.lit(2).alias("centroid_y"), F.concat(F.lit("é"), "c_name", F.lit("ß")).alias("cell_type"))
+    for key, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
+        named_files(rows.where(C("c_nationkey") % 2 == key).drop("c_nationkey"), path, "image", tables.MATCHED_SUFFIX, encoding)
     status = tables.file_status(spark, path, "*" + tables.MATCHED_SUFFIX).select(
-        F.regexp_extract("file_path", r"n(\d+)_matched", 1).cast("int").alias("n_nationkey"), (C("encoding") == "UTF-8").alias("utf8"))
-    found = tables.scan_matched(spark, path, []).select(C("cell_id").cast("int").alias("n_nationkey"), "cell_type")
-    return found.join(status, "n_nationkey").select("n_nationkey", "cell_type", "utf8")
+        F.regexp_extract("file_path", r"(n\d+)_matched", 1).alias("image_id"), (C("encoding") == "UTF-8").alias("utf8"))
+    found = tables.scan_matched(spark, path, []).select("image_id", C("cell_id").cast("bigint").alias("c_custkey"), "cell_type", "x")
+    return found.join(status, "image_id").select("c_custkey", "cell_type", "x", "utf8")
 
 
 @query("sink_per_key", f"""WITH {CELLS} SELECT tissue_id, condition, CAST(count(*) AS BIGINT) AS n, round(sum(area), 2) AS area FROM cells GROUP BY ALL""")

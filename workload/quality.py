@@ -77,12 +77,12 @@ def dq_report(spark, sf):
         dq.passing_step(spark, "functional")))
 
 
-@query("set_diff_columns", """SELECT n_name, CASE n_nationkey % 3 WHEN 0 THEN 'absent,other' WHEN 1 THEN 'absent' ELSE 'other' END AS missing FROM nation""")
+@query("set_diff_columns", """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'absent,other' WHEN 1 THEN 'absent' ELSE 'other' END AS missing FROM customer""")
 def set_diff_columns(spark, sf):
     # Tables that have none, one or the other of two required columns, asked one after the other.
-    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    shapes = [nations, nations.withColumn("other", F.lit(1)), nations.withColumn("absent", F.lit(1))]
-    required = ["absent", "n_name", "other"]
+    customers = table(spark, sf, "customer").select("c_custkey")
+    shapes = [customers, customers.withColumn("other", F.lit(1)), customers.withColumn("absent", F.lit(1))]
+    required = ["absent", "c_custkey", "other"]
     return reduce(DataFrame.unionByName, [
-        t.where(F.col("n_nationkey") % 3 == k).select("n_name", F.lit(",".join(missing_columns(t, required))).alias("missing"))
+        t.where(F.col("c_custkey") % 3 == k).select("c_custkey", F.lit(",".join(missing_columns(t, required))).alias("missing"))
         for k, t in enumerate(shapes)])
