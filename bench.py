@@ -19,7 +19,8 @@ HEADLINE = [
     "triad_summary", "radius_join", "triad_counts_all", "triad_flags", "triad_trajectory",
     "qc_filter", "zscore_norm", "noise_filter", "rule_typing", "marker_thresholds",
     "test_in_vs_out", "logrank", "region_features", "roi_assign", "knn_graph",
-    "neighbour_enrichment", "dense_structures", "cox_regression",
+    "neighbour_enrichment", "dense_structures", "cox_regression", "region_outlines",
+    "roi_mask_assign", "graph_clusters",
 ]
 
 
