@@ -106,7 +106,9 @@ r0 AS (SELECT doc_id, count(*) AS n, string_agg('<' || sentence_id || '>', '' OR
   string_agg('<' || sentence_id || '>', '' ORDER BY pos, line, sentence_id) AS rest, CAST([] AS VARCHAR[]) AS named FROM found GROUP BY doc_id)"""]
     for k, (licence, ids) in enumerate(licences.RULES):
         run = licences.run_of(ids)
-        parts.append(f"r{k + 1} AS (SELECT doc_id, n, sequence, replace(rest, '{run}', '|') AS rest, CASE WHEN contains(rest, '{run}') "
+        alone = " AND len(named) = 0" if licence in licences.ONLY_ALONE else ""
+        parts.append(f"r{k + 1} AS (SELECT doc_id, n, sequence, CASE WHEN TRUE{alone} THEN replace(rest, '{run}', '|') ELSE rest END AS rest, "
+                     f"CASE WHEN contains(rest, '{run}'){alone} "
                      f"AND NOT list_contains(named, '{licence}') THEN list_append(named, '{licence}') ELSE named END AS named FROM r{k})")
     return ",\n".join(parts) + f"""
 SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(sequence, '') AS sequence, coalesce(array_to_string(named, ','), '') AS licences,
