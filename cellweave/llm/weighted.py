@@ -11,8 +11,9 @@ another shuffle, since all of it is grouped by id. Neighbours come from ranges o
 from range to range by a table with one row per range.
 
 Defined cases: a null text is empty; an empty text draws nothing, its fingerprint is all zeros, and it is like another
-empty text only; rows that share an id are one document, whose text is the smallest; a null id is an id of its own, below all
-others; the only document is its own neighbour; an empty table gives an empty table.
+empty text only; every row is a document and has a row in the result, whatever its id: a document is named by its id and a
+64-bit hash of its text, documents of one id follow in descending order of that hash, a null id comes below all others, and
+rows equal in both are one document in the order; the only document is its own neighbour; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import lower_ascii, stored
 
-SAMPLES = 32
+SAMPLES = 64
 # Samples drawn in one pass over a term: as many as one compiled method holds.
 _AT_ONCE = 8
 _DIGITS = 4
-# Stands for a null id, so that ids can be compared with plain equality.
+# Stands for a null id, so that ids can be compared with plain equality; the hash tells it from a real id of that value.
 _NO_ID = -(1 << 63)
+_NAME = ["id", "hash"]
 # Ids in one range of neighbours.
 _RANGE = 100_000
 
@@ -38,16 +40,16 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (cut.cast("double") + F.lit(0.5)) / F.lit(float(1 << width))
 
 
-def drawn(terms: DataFrame, key: str, weights: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``key`` and an array ``<weight>_draws`` per weight column: the lowest position of every sample, null without terms.
+def drawn(terms: DataFrame, key: list[str], weights: list[str], samples: int = SAMPLES) -> DataFrame:
+    """The columns of ``key`` and an array ``<weight>_draws`` per weight column: the lowest position of every sample, null without terms.
 
     ``terms`` has ``key``, a 64-bit ``term`` and the weights, each term once per key; a weight of 0 is no term.
     """
-    logs = terms.select(key, "term", *[F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(w) for w in weights],
+    logs = terms.select(*key, "term", *[F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(w) for w in weights],
                         F.explode(F.array(*[F.lit(g) for g in range(samples // _AT_ONCE)])).alias("part"))
-    bits = logs.select(key, "part", *weights, *[
+    bits = logs.select(*key, "part", *weights, *[
         F.xxhash64("term", F.col("part"), F.lit(2 * s + half)).alias(f"bits_{s}_{half}") for s in range(_AT_ONCE) for half in (0, 1)])
-    spread = bits.select(key, "part", *weights, *[c for s in range(_AT_ONCE) for c in (
+    spread = bits.select(*key, "part", *weights, *[c for s in range(_AT_ONCE) for c in (
         (-F.ln(_uniform(F.col(f"bits_{s}_0"), 0, 21) * _uniform(F.col(f"bits_{s}_0"), 21, 21))).alias(f"r_{s}"),
         F.ln(-F.ln(_uniform(F.col(f"bits_{s}_0"), 42, 21) * _uniform(F.col(f"bits_{s}_1"), 0, 32))).alias(f"c_{s}"),
         _uniform(F.col(f"bits_{s}_1"), 32, 32).alias(f"b_{s}"))])
@@ -56,10 +58,10 @@ def drawn(terms: DataFrame, key: str, weights: list[str], samples: int = SAMPLES
         r, c, b = F.col(f"r_{s}"), F.col(f"c_{s}"), F.col(f"b_{s}")
         return c - r * (F.floor(F.col(weight) / r + b) - b + F.lit(1.0))
 
-    lowest = spread.groupBy(key, "part").agg(*[F.min(position(w, s)).alias(f"{w}_{s}") for w in weights for s in range(_AT_ONCE)])
+    lowest = spread.groupBy(*key, "part").agg(*[F.min(position(w, s)).alias(f"{w}_{s}") for w in weights for s in range(_AT_ONCE)])
     in_order = lambda w: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(
         "part", F.array(*[f"{w}_{s}" for s in range(_AT_ONCE)]).alias("draws")))), lambda x: x["draws"]))
-    return lowest.groupBy(key).agg(*[in_order(w).alias(f"{w}_draws") for w in weights])
+    return lowest.groupBy(*key).agg(*[in_order(w).alias(f"{w}_draws") for w in weights])
 
 
 def as_text(draws: Column, samples: int = SAMPLES) -> Column:
@@ -76,48 +78,54 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return sum(agree[1:], agree[0]) / F.lit(float(samples))
 
 
-def counted_words(texts: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``key, term`` and per text column how often the word occurs in it."""
-    each = texts.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).alias("text"))
+def counted_words(texts: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """``key``, ``term`` and per text column how often the word occurs in it."""
+    each = texts.select(*key, F.explode(F.array(*[F.struct(F.lit(n).alias("side"), F.col(c).alias("text"))
                                                  for n, c in enumerate(columns)])).alias("t"))
-    split = each.select(key, "t.side", F.explode_outer(F.split(lower_ascii(F.col("t.text")), r"[\x20\x09-\x0D]+")).alias("word"))
-    return (split.where("word <> ''").select(key, "side", F.xxhash64("word").alias("term")).groupBy(key, "term")
+    split = each.select(*key, "t.side", F.explode_outer(F.split(lower_ascii(F.col("t.text")), r"[\x20\x09-\x0D]+")).alias("word"))
+    return (split.where("word <> ''").select(*key, "side", F.xxhash64("word").alias("term")).groupBy(*key, "term")
             .agg(*[F.sum((F.col("side") == n).cast("int")).alias(c) for n, c in enumerate(columns)]))
 
 
-def neighbours(ids: DataFrame) -> DataFrame:
-    """``id, next_id`` in descending order of the distinct ids of ``id``; after the last comes the first."""
-    ranges = max(1, -(-ids.count() // _RANGE))
-    placed = stored(ids.select("id").repartitionByRange(ranges, F.col("id").desc()).withColumn("part", F.spark_partition_id()))
-    edges = placed.groupBy("part").agg(F.max("id").alias("first"))
+def neighbours(names: DataFrame) -> DataFrame:
+    """The columns of ``names`` with ``next_id, next_hash`` in descending order of its distinct ``id, hash``; after the last comes the first."""
+    ranges = max(1, -(-names.count() // _RANGE))
+    down = [F.col(c).desc() for c in _NAME]
+    placed = stored(names.repartitionByRange(ranges, *down).withColumn("part", F.spark_partition_id()))
+    name = F.struct(*_NAME)
+    edges = placed.groupBy("part").agg(F.max(name).alias("first"))
     around = Window.orderBy("part")
     after = edges.select("part", F.coalesce(F.lead("first").over(around), F.first("first").over(around)).alias("after"))
-    inside = placed.withColumn("next", F.lead("id").over(Window.partitionBy("part").orderBy(F.col("id").desc())))
-    return inside.join(after, "part").select("id", F.coalesce("next", "after").alias("next_id"))
+    inside = placed.withColumn("next", F.lead(name).over(Window.partitionBy("part").orderBy(*down)))
+    return inside.join(after, "part").withColumn("next", F.coalesce("next", "after")).select(
+        *names.columns, F.col("next.id").alias("next_id"), F.col("next.hash").alias("next_hash"))
 
 
 def fingerprinted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` per document.
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` per row.
 
     The edited text is the document's with its last half replaced by as much of the beginning of its neighbour.
     """
+    words = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     raw = docs.select(F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(_NO_ID)).alias("id"),
-                      F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    lengths = stored(raw.groupBy("id").agg(F.max(F.char_length("text")).alias("n")))
-    order = stored(neighbours(lengths))
-    whole = raw.groupBy("id").agg(F.min("text").alias("text"))
-    wanted = order.join(lengths, "id").select(F.col("id").alias("to"), F.col("next_id").alias("id"), "n")
-    sent = whole.join(wanted, "id").select(F.col("to").alias("id"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("head"))
+                      F.xxhash64(words, F.col(f"`{key}`").isNull()).alias("hash"), F.col(f"`{key}`").isNotNull().alias("has_id"), words.alias("text"))
+    names = stored(raw.groupBy(*_NAME).agg(F.max(F.char_length("text")).alias("n"), F.count(F.lit(1)).alias("n_rows"), F.max("has_id").alias("has_id")))
+    order = stored(neighbours(names))
+    whole = raw.groupBy(*_NAME).agg(F.min("text").alias("text"))
+    wanted = order.select(F.col("id").alias("to_id"), F.col("hash").alias("to_hash"), F.col("next_id").alias("id"), F.col("next_hash").alias("hash"), "n")
+    sent = whole.join(wanted, _NAME).select(F.col("to_id").alias("id"), F.col("to_hash").alias("hash"),
+                                            F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("head"))
     n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
-    texts = whole.join(sent, "id").select(
-        "id", "text", F.concat(F.substring("text", F.lit(1), n - half), F.substring("head", F.lit(1), half)).alias("edited"))
-    draws = drawn(counted_words(texts, "id", ["text", "edited"]), "id", ["text", "edited"])
-    facts = texts.select("id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    done = stored(facts.join(draws, "id", "left").select(
-        "id", "n_chars", "edited_sha256", as_text(F.col("text_draws")).alias("fingerprint"),
+    texts = whole.join(sent, _NAME).select(
+        *_NAME, "text", F.concat(F.substring("text", F.lit(1), n - half), F.substring("head", F.lit(1), half)).alias("edited"))
+    draws = drawn(counted_words(texts, _NAME, ["text", "edited"]), _NAME, ["text", "edited"])
+    facts = texts.select(*_NAME, F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    done = stored(facts.join(draws, _NAME, "left").select(
+        *_NAME, "n_chars", "edited_sha256", as_text(F.col("text_draws")).alias("fingerprint"),
         as_text(F.col("edited_draws")).alias("edited_fingerprint")))
-    others = done.select(F.col("id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
-    return (done.join(order, "id").join(others, "next_id")
-            .select(F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    others = done.select(F.col("id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("fingerprint").alias("next_fingerprint"))
+    each = F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))
+    return (done.join(order, _NAME).join(others, ["next_id", "next_hash"]).withColumn("row", each)
+            .select(F.when(F.col("has_id"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                     likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                     likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next")))
