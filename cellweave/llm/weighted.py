@@ -34,10 +34,10 @@ _NAME = ["id", "hash"]
 _RANGE = 100_000
 
 
-def _uniform(bits: Column, shift: int, width: int) -> Column:
-    """``width`` bits as a number inside (0, 1)."""
-    cut = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
-    return (cut.cast("double") + F.lit(0.5)) / F.lit(float(1 << width))
+def _middle(bits: Column, shift: int, width: int) -> Column:
+    """``width`` bits as a number inside (0, 2^width), to be scaled by a power of two."""
+    cut = F.shiftrightunsigned(bits, shift) if shift + width == 64 else F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
+    return cut.cast("double") + F.lit(0.5)
 
 
 def drawn(terms: DataFrame, key: list[str], weights: list[str], samples: int = SAMPLES) -> DataFrame:
@@ -47,12 +47,17 @@ def drawn(terms: DataFrame, key: list[str], weights: list[str], samples: int = S
     """
     logs = terms.select(*key, "term", *[F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(w) for w in weights],
                         F.explode(F.array(*[F.lit(g) for g in range(samples // _AT_ONCE)])).alias("part"))
-    bits = logs.select(*key, "part", *weights, *[
-        F.xxhash64("term", F.col("part"), F.lit(2 * s + half)).alias(f"bits_{s}_{half}") for s in range(_AT_ONCE) for half in (0, 1)])
+    seeds = logs.select(*key, "part", *weights, F.xxhash64("term", "part").alias("seed"))
+    bits = seeds.select(*key, "part", *weights, *[F.xxhash64(F.col("seed").bitwiseXOR(F.lit(2 * s + half))).alias(f"bits_{s}_{half}")
+                                                  for s in range(_AT_ONCE) for half in (0, 1)])
+
+    def gamma(a: Column, b: Column, width: int) -> Column:
+        return -F.ln(a * b * F.lit(0.5 ** width))
+
     spread = bits.select(*key, "part", *weights, *[c for s in range(_AT_ONCE) for c in (
-        (-F.ln(_uniform(F.col(f"bits_{s}_0"), 0, 21) * _uniform(F.col(f"bits_{s}_0"), 21, 21))).alias(f"r_{s}"),
-        F.ln(-F.ln(_uniform(F.col(f"bits_{s}_0"), 42, 21) * _uniform(F.col(f"bits_{s}_1"), 0, 32))).alias(f"c_{s}"),
-        _uniform(F.col(f"bits_{s}_1"), 32, 32).alias(f"b_{s}"))])
+        gamma(_middle(F.col(f"bits_{s}_0"), 0, 21), _middle(F.col(f"bits_{s}_0"), 21, 21), 42).alias(f"r_{s}"),
+        F.ln(gamma(_middle(F.col(f"bits_{s}_0"), 42, 22), _middle(F.col(f"bits_{s}_1"), 0, 32), 54)).alias(f"c_{s}"),
+        (_middle(F.col(f"bits_{s}_1"), 32, 32) * F.lit(0.5 ** 32)).alias(f"b_{s}"))])
 
     def position(weight: str, s: int) -> Column:
         r, c, b = F.col(f"r_{s}"), F.col(f"c_{s}"), F.col(f"b_{s}")
