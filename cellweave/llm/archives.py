@@ -14,7 +14,8 @@ a counted bound and by a shuffle beyond it.
 
 Defined cases: a null payload is empty; a null address is ``unknown:``; white space in an address is written as ``%20``; a
 header line that does not parse is skipped up to the next that does; a block cut off by the end of its file is kept as
-far as it goes and marked ``WARC-Truncated``; repeated rows are records of their own, the first is the response; records
+far as it goes and marked ``WARC-Truncated``, as is a block in a compressed file that is cut off or damaged: what comes before
+the damage is read, the rest of that file is not; a file has to fit into one task, and cannot be over 2 GB; repeated rows are records of their own, the first is the response; records
 without a rank come after those with one; an empty table gives archives without a record.
 """
 
@@ -25,6 +26,7 @@ import hashlib
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,9 +55,27 @@ _DATE = re.compile(rb"\d{8,17}\Z")
 
 # Reading: streams of one file.
 
+class _Readable(io.RawIOBase):
+    """A compressed file up to its end or to where it is damaged."""
+
+    def __init__(self, content: bytes):
+        self.file = gzip.GzipFile(fileobj=io.BytesIO(content))
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, room) -> int:
+        try:
+            part = self.file.read1(len(room))
+        except (EOFError, OSError, zlib.error):
+            return 0
+        room[:len(part)] = part
+        return len(part)
+
+
 def _opened(content: bytes) -> io.BufferedReader:
     packed = content[:2] == b"\x1f\x8b"
-    return io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)) if packed else io.BytesIO(content), 1 << 18)
+    return io.BufferedReader(_Readable(content) if packed else io.BytesIO(content), 1 << 18)
 
 
 def _whole(stream: io.BufferedReader, n: int) -> bytes:

@@ -29,6 +29,24 @@ def test_versions_lengths_and_broken_lines():
     assert got[0]["Result-code"] == "200" and list(archives.arc_records(b"")) == []
 
 
+def test_damaged_compressed_files_are_read_up_to_the_damage():
+    noise = [hashlib.sha256(b"%d" % k).hexdigest().encode() * 40 for k in range(400)]
+    one = version_one(*[(b"http://a.example/%d 1.2.3.4 19970101 text/html %%d" % k, body) for k, body in enumerate(noise)])
+    packed = gzip.compress(one)
+    whole = list(archives.arc_records(packed))
+    assert [r["block"] for r in whole] == noise
+    for bad in (packed[:-12], packed[:len(packed) // 2], packed[:len(packed) // 2] + bytes(64) + packed[len(packed) // 2 + 64:], packed + b"trailing", packed[:12]):
+        got = list(archives.arc_records(bad))
+        full = [r for r in got if not r["truncated"]]
+        assert all(r["block"] == noise[k][:len(r["block"])] for k, r in enumerate(got[:len(got) // 3]))
+        assert len(got) - len(full) <= 1 and len(full) >= len(noise) * (len(bad) - 4096) // len(packed) // 3
+    assert [r["block"] for r in archives.arc_records(packed + b"trailing")] == noise
+    # Members end where records do; a damaged one loses what follows in its file, nothing before.
+    members = [gzip.compress(b) for b in (version_one((b"http://a.example/ 1.2.3.4 19970101 text/html %d", b"first")), b"http://b.example/ 1.2.3.4 1997010")]
+    assert [r["block"] for r in archives.arc_records(members[0] + members[1][:-9])] == [b"first"]
+    assert list(archives.warc_records(gzip.compress(b"WARC/1.0\r\nContent-Length: 9\r\n\r\n123456789")[:-8])) == [({"content-length": "9"}, b"123456789")]
+
+
 def test_converted_fields():
     page = b"HTTP/1.0 200 OK\r\nX-Page-Id: 12\r\n\r\nbody"
     rows = list(archives._converted("s3://x/old.arc", version_one((b"http://a/ 1.2.3.4 1997 text/html %d", page), (b"http://a/ 1.2.3.4 19970304 text/html %d", page),
