@@ -9,7 +9,9 @@ Piece probabilities are fitted by expectation maximisation on a sample of labell
 Prediction reads every whole text in place: distinct words of a batch are scored together, and words already seen by
 the task are looked up. Nothing is shuffled.
 
-Words are runs of letters, in lower case. A letter outside the vocabulary is one unknown piece.
+Words are runs of letters, in lower case, of any length: a word longer than ``_LONG`` is walked in stretches, and the sums
+that pieces across the border need are carried over, so its probability is that of the whole. A letter outside the vocabulary
+is one unknown piece. Only where pieces are learned are longer words counted in parts of ``_LONG``.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; with no labelled row at all, every text is
 ``und``; ties between languages go to the smaller name; rows with a null language are never learned from; repeated rows
@@ -34,8 +36,9 @@ WORD = regex.compile(r"\p{L}+")
 _PLAIN = re.compile("[a-z]+")
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 _START = "▁"
-# Words scored in one pass, the letters of a word scored in one piece, words remembered by a task, and characters read at once.
-_CHUNK, _LONG, _REMEMBERED, _PORTION = 20_000, 64, 400_000, 1 << 20
+# Words scored in one pass, the letters up to which words are scored together, the letters of a stretch of a longer one,
+# words remembered by a task, and characters read at once.
+_CHUNK, _LONG, _STRETCH, _REMEMBERED, _PORTION = 20_000, 64, 2048, 400_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -80,7 +83,10 @@ class Lattice:
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word, first place, last place and piece of every arc, in the order of the last and the first place."""
-        texts = np.array([_START + w for w in words])
+        return self._arcs([_START + w for w in words])
+
+    def _arcs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        texts = np.array(words)
         places = texts.dtype.itemsize // 4
         marks = np.zeros((len(words), places + 1), dtype=np.int64)
         codes = texts.view(np.uint32).reshape(len(words), places)
@@ -145,7 +151,10 @@ class Lattice:
     def scores(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language; words of like length together, so that memory stays bounded."""
         out = np.zeros((len(words), prob.shape[1]))
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        order = sorted((k for k in range(len(words)) if len(words[k]) <= _LONG), key=lambda k: len(words[k]))
+        for k, word in enumerate(words):
+            if len(word) > _LONG:
+                out[k] = self.whole(word, prob)
         at = 0
         while at < len(order):
             some = order[at:at + _CHUNK]
@@ -155,6 +164,37 @@ class Lattice:
             at += len(some)
         return out
 
+    def whole(self, word: str, prob: np.ndarray, stretch: int = _STRETCH) -> np.ndarray:
+        """Log probability of one long word in each language, stretch by stretch.
+
+        A stretch handles the pieces that begin in it. Those that reach beyond leave their sums at the next places, which
+        are carried over. Each language is scaled by itself, since their sums drift apart.
+        """
+        text, reach = _START + word, self.longest
+        carried = np.zeros((reach + 1, prob.shape[1]))
+        carried[0] = 1
+        logs = np.zeros(prob.shape[1])
+        for start in range(0, len(text), stretch):
+            peak = carried.max(axis=0)
+            logs += np.log(peak)
+            carried = carried / peak
+            part = text[start:start + stretch + reach]
+            own = min(stretch, len(text) - start)
+            _, i, j, piece = self._arcs([part])
+            i, j, piece = (x[i < own] for x in (i, j, piece))
+            sums = np.zeros((own + reach + 1, prob.shape[1]))
+            sums[:reach + 1] = carried
+            for s in self._steps(j):
+                b = int(j[s.start])
+                sums[b] += (sums[i[s]] * prob[piece[s]]).sum(axis=0)
+                if b % 8 == 0:
+                    near = slice(max(0, b - reach), max(b, reach) + 1)
+                    peak = sums[near].max(axis=0)
+                    sums[near] /= peak
+                    logs += np.log(peak)
+            carried = sums[own:]
+        return np.log(carried[0]) + logs
+
     def fit(self, counts: Counter, rounds: int, smoothing: float) -> np.ndarray:
         """Expectation maximisation of piece probabilities from word counts."""
         prob = np.full(self.size, 1.0 / self.size)
@@ -186,12 +226,14 @@ class Lattice:
 
 
 def letters_of(text: str | None) -> list[str]:
-    """Words of a text; very long ones are cut, which only forbids pieces across the cut."""
+    """Words of a text."""
     lower = (text or "").lower()
-    found = _PLAIN.findall(lower) if lower.isascii() else WORD.findall(lower)
-    if max(map(len, found), default=0) <= _LONG:
-        return found
-    return [word[s:s + _LONG] for word in found for s in range(0, len(word), _LONG)]
+    return _PLAIN.findall(lower) if lower.isascii() else WORD.findall(lower)
+
+
+def parts_of(word: str) -> list[str]:
+    """A word in parts of bounded length, as it is learned from."""
+    return [word[s:s + _LONG] for s in range(0, len(word), _LONG)]
 
 
 def portions(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -232,7 +274,7 @@ def train(labelled: DataFrame, fit: Fit = Fit()) -> tuple[list[str], np.ndarray,
             for lang, texts in batch.groupby("lang")["text"]:
                 seen: Counter = Counter()
                 for text in texts:
-                    seen.update(letters_of(text))
+                    seen.update(part for word in letters_of(text) for part in parts_of(word))
                 if seen:
                     yield pd.DataFrame({"lang": lang, "word": list(seen), "n": list(seen.values())})
 

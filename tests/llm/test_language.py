@@ -40,6 +40,32 @@ def test_unknown_letters_and_long_words():
     assert np.isfinite(long).all() and (long[2] - long[1]) / 200 == pytest.approx((long[1] - long[0]) / 190)
 
 
+def test_long_words_are_whole():
+    """One pass over the word in logarithms, place by place, against stretches."""
+    lattice = language.Lattice([*PIECES, "cabca", "bcabcab"])
+    rng = np.random.default_rng(3)
+    prob = rng.dirichlet(np.ones(lattice.size) * 0.2, size=3).T + 1e-6
+    singles = {p for p in lattice.ids if len(p) == 1}
+
+    def one_pass(word):
+        text = "▁" + word
+        sums = np.full((len(text) + 1, 3), -np.inf)
+        sums[0] = 0
+        for end in range(1, len(text) + 1):
+            for start in range(max(0, end - lattice.longest), end):
+                piece = lattice.ids.get(text[start:end], lattice.unknown if end == start + 1 and text[start] not in singles else None)
+                if piece is not None:
+                    sums[end] = np.logaddexp(sums[end], sums[start] + np.log(prob[piece]))
+        return sums[-1]
+
+    for n in (1, 64, 65, 130, 300, 5000):
+        word = "".join(rng.choice(list("abcż"), n, p=[0.4, 0.3, 0.25, 0.05]))
+        want = one_pass(word)
+        assert lattice.scores([word], prob)[0] == pytest.approx(want)
+        for stretch in (3, 8, 50, 64, 2048):
+            assert lattice.whole(word, prob, stretch) == pytest.approx(want)
+
+
 def test_expectation_maximisation_raises_the_likelihood():
     from collections import Counter
     lattice = language.Lattice(PIECES)
