@@ -66,11 +66,20 @@ def triad_join(spark, sf):
         *[F.round(d, 6).alias(d) for d in ops.DISTANCES], "triad_combo_label", "n_p1_neighbors", "n_p2_neighbors")
 
 
-@query("triad_join_all", f"""WITH {CELLS.replace("cells AS (", "cells AS MATERIALIZED (", 1)}, {pairs_sql().replace("pairs AS (", "pairs AS MATERIALIZED (", 1)}
-SELECT p.image_id, p.anchor_id AS anchor_cell_id, p.other_id AS partner1_cell_id, q.other_id AS partner2_cell_id,
-       p.anchor_type || '__' || p.other_type || '__' || q.other_type AS triad_combo_label
-FROM pairs p JOIN pairs q ON p.image_id = q.image_id AND p.anchor_id = q.anchor_id
-WHERE p.anchor_type <> p.other_type AND p.anchor_type <> q.other_type AND p.other_type <> q.other_type""")
+# Cells meet by squares as wide as the radius, and each anchor's neighbours are gathered once: no second join.
+@query("triad_join_all", f"""WITH {CELLS},
+grid AS (SELECT image_id, cell_id, cell_type, x, y, x // {int(RADIUS)} AS gx, y // {int(RADIUS)} AS gy FROM cells),
+shifted AS (SELECT image_id, cell_id, cell_type, x, y, gx + dx AS gx, gy + dy AS gy
+            FROM grid, (VALUES (-1), (0), (1)) i(dx), (VALUES (-1), (0), (1)) j(dy)),
+near AS (SELECT a.image_id, a.cell_id AS anchor_id, a.cell_type AS anchor_type, list(struct_pack(id := b.cell_id, kind := b.cell_type)) AS others
+         FROM grid a JOIN shifted b ON a.image_id = b.image_id AND a.gx = b.gx AND a.gy = b.gy
+         WHERE a.cell_id <> b.cell_id AND a.cell_type <> b.cell_type
+           AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {RADIUS * RADIUS} GROUP BY ALL),
+first AS (SELECT *, unnest(others) AS p1 FROM near),
+both_partners AS (SELECT image_id, anchor_id, anchor_type, p1, unnest(others) AS p2 FROM first)
+SELECT image_id, anchor_id AS anchor_cell_id, p1.id AS partner1_cell_id, p2.id AS partner2_cell_id,
+       anchor_type || '__' || p1.kind || '__' || p2.kind AS triad_combo_label
+FROM both_partners WHERE p1.kind <> p2.kind""")
 def triad_join_all(spark, sf):
     return ops.find_triads(_slim(spark, sf), EVERY, with_counts=False).select(
         "image_id", "anchor_cell_id", "partner1_cell_id", "partner2_cell_id", "triad_combo_label")
