@@ -18,8 +18,6 @@ table gives an empty table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,9 +170,7 @@ def recognised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.count(F.lit(1)).alias("n_sentences"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line", "sentence_id"))),
                                  lambda x: F.concat(F.lit("<"), x["sentence_id"], F.lit(">"))), "").alias("sequence"))
-    # Rules are tried one after the other, each on what the former left, in one column per rule.
-    step = rows.withColumn("left", F.col("sequence")).withColumn("named", F.array().cast("array<string>"))
-    step = reduce(_apply, RULES, step)
+    step = rows.withColumn("read", _read(F.col("sequence"))).select("id", "n_sentences", "sequence", "read.left", "read.named")
     sizes = docs.groupBy(_name(key, text).alias("id")).agg(F.count(F.lit(1)).alias("n_rows"))
     each = F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))
     return sizes.join(step, "id", "left").withColumn("row", each).select(
@@ -184,11 +180,19 @@ def recognised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.coalesce(F.regexp_count(F.col("left"), F.lit("<")), F.lit(0)).cast("bigint").alias("n_unmatched"))
 
 
-def _apply(rows: DataFrame, rule: tuple[str, tuple[str, ...]]) -> DataFrame:
-    licence, ids = rule
-    run = F.lit(run_of(ids))
-    fits = F.contains("left", run)
-    if licence in ONLY_ALONE:
-        fits &= F.size("named") == 0
-    return (rows.withColumn("fits", fits).withColumn("named", F.when(F.col("fits"), F.concat("named", F.array(F.lit(licence)))).otherwise(F.col("named")))
-            .withColumn("left", F.when(F.col("fits"), F.replace(F.col("left"), run, F.lit(USED))).otherwise(F.col("left"))))
+def _read(sequence: Column) -> Column:
+    """``left, named``: rules tried one after the other, each on what the former left.
+
+    One small expression runs over the list of rules; a chain of one column per rule compiles to a method that grows with them.
+    """
+    rules = F.array(*[F.struct(F.lit(licence).alias("licence"), F.lit(run_of(ids)).alias("run"), F.lit(licence in ONLY_ALONE).alias("alone"))
+                      for licence, ids in RULES])
+    start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("named"))
+
+    def tried(state: Column, rule: Column) -> Column:
+        fits = F.contains(state["left"], rule["run"]) & (~rule["alone"] | (F.size(state["named"]) == 0))
+        used = F.struct(F.replace(state["left"], rule["run"], F.lit(USED)).alias("left"),
+                        F.concat(state["named"], F.array(rule["licence"])).alias("named"))
+        return F.when(fits, used).otherwise(state)
+
+    return F.aggregate(rules, start, tried)
