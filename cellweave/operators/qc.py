@@ -95,7 +95,7 @@ def histogram(rows: DataFrame, keys: list[str], value: str, bins: int = HISTOGRA
 
 
 def knee(hist: DataFrame, keys: list[str], sensitivity: float = 1.0) -> DataFrame:
-    """Knee of a convex decreasing curve (center, n) per group; null where there is none.
+    """Knee of a convex decreasing curve (center, n) of bins of one width per group; null where there is none.
 
     The published Kneedle rule: scale both axes to 0..1, turn the curve over, and take the
     first local maximum of (y - x) whose following points fall under its threshold. At a
@@ -103,17 +103,19 @@ def knee(hist: DataFrame, keys: list[str], sensitivity: float = 1.0) -> DataFram
     """
     whole = Window.partitionBy(*keys)
     line = whole.orderBy("bin")
-    x = (F.col("center") - F.min("center").over(whole)) / (F.max("center").over(whole) - F.min("center").over(whole))
-    flipped = F.try_divide((F.max("n").over(whole) - F.col("n")).cast("double"),
-                           F.max("n").over(whole) - F.min("n").over(whole))
-    curve = (hist.withColumn("x", x).withColumn("gap", flipped - F.col("x"))
+    # Bins are of one width, so both axes are whole numbers over the same denominator: ties are ties on every run.
+    last = F.count(F.lit(1)).over(whole) - 1
+    height = F.max("n").over(whole) - F.min("n").over(whole)
+    place = F.row_number().over(line) - 1
+    curve = (hist.withColumn("height", height)
+             .withColumn("gap", F.when(height > 0, (F.max("n").over(whole) - F.col("n")) * last - place * height))
              .withColumn("left", F.coalesce(F.lag("gap").over(line), F.col("gap")))
              .withColumn("right", F.coalesce(F.lead("gap").over(line), F.col("gap")))
-             .withColumn("next_gap", F.lead("gap").over(line))
-             .withColumn("mean_dx", 1.0 / (F.count(F.lit(1)).over(whole) - 1)))
+             .withColumn("next_gap", F.lead("gap").over(line)))
     top = (F.col("gap") >= F.col("left")) & (F.col("gap") >= F.col("right"))
     bottom = (F.col("gap") <= F.col("left")) & (F.col("gap") <= F.col("right"))
-    threshold = F.when(bottom, F.lit(0.0)).when(top, F.col("gap") - F.lit(sensitivity) * F.col("mean_dx"))
+    # One mean step along x is 1 / last, so ``height`` in these units.
+    threshold = F.when(bottom, F.lit(0.0)).when(top, F.col("gap") - F.lit(float(sensitivity)) * F.col("height"))
     traced = (curve.withColumn("top_at", F.last(F.when(top, F.col("center")), ignorenulls=True).over(line))
               .withColumn("threshold", F.last(threshold, ignorenulls=True).over(line)))
     falls = F.col("top_at").isNotNull() & (F.col("next_gap") < F.col("threshold"))

@@ -37,6 +37,15 @@ def test_knee_follows_the_published_rule(spark, seed):
     assert qc.knee(df, ["k"]).first().knee == kneedle([i + 0.5 for i in range(50)], n)
 
 
+def test_knee_does_not_hang_on_rounded_places(spark):
+    # Bin 6 is as high as the top, bin 5: it lies on the threshold and not under it, wherever the values lie.
+    n = [37, 34, 20, 14, 11, 10, 10, 3, 1, 3] + [0] * 40
+    rows = [(f"g{k}", i, c, -4.1 + 0.37 * k + (i + 0.5) * (0.0973 + 0.0111 * k)) for k in range(40) for i, c in enumerate(n)]
+    center = {(r[0], r[1]): r[3] for r in rows}
+    df = spark.createDataFrame(rows, "k string, bin bigint, n bigint, center double")
+    assert {r.k: r.knee for r in qc.knee(df, ["k"]).collect()} == {f"g{k}": center[f"g{k}", 8] for k in range(40)}
+
+
 def test_histogram_matches_numpy(spark):
     values = [random.Random(4).gauss(0, 3) for _ in range(400)]
     df = spark.createDataFrame([("a", v) for v in values] + [("flat", 2.0)] * 3, "k string, v double")
