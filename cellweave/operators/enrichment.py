@@ -2,7 +2,7 @@
 
 A shuffle of an image's types is a permutation of its cells' numbers: cells are numbered by type, so that the type at a number
 follows from the counts of types, and the permutation is a keyed one that is computed for each number by itself. No image is
-gathered: numbers come from one sort of all cells, types under all shuffles are one short array per cell, and neighbour pairs
+gathered: numbers come from one sort of all cells, types under all shuffles are a few bits each per cell, and neighbour pairs
 are found once and carry the two arrays. All shuffles are then tallied in one pass over the pairs.
 """
 
@@ -41,11 +41,13 @@ def permuted(number: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarra
     size, out = size.astype(np.uint64), number.astype(np.uint64)
     todo = np.arange(len(out))
     while len(todo):
-        left, right = out[todo] >> half[todo], out[todo] & mask[todo]
+        keys, low, bits = key[todo], mask[todo], half[todo]
+        left, right = out[todo] >> bits, out[todo] & low
         for turn in range(_ROUNDS):
-            left, right = right, left ^ (_mix(right, key[todo] + np.uint64(turn)) & mask[todo])
-        out[todo] = (left << half[todo]) | right
-        todo = todo[out[todo] >= size[todo]]
+            left, right = right, left ^ (_mix(right, keys + np.uint64(turn)) & low)
+        placed = (left << bits) | right
+        out[todo] = placed
+        todo = todo[placed >= size[todo]]
     return out.astype(np.int64)
 
 
@@ -76,31 +78,66 @@ def numbered(cells: DataFrame) -> DataFrame:
                     "n_cells", "kinds", "starts"))
 
 
-def shuffled(cells: DataFrame, kinds: list[str], permutations: int, seed: int) -> DataFrame:
-    """Cells with ``codes``: their type as a number in ``kinds`` (2 bytes each), first as it is, then under each shuffle."""
+def code_bits(n_kinds: int) -> int:
+    """Bits of one type's number: 1, 2, 4, 8 or 16."""
+    return next(b for b in (1, 2, 4, 8, 16) if n_kinds <= 1 << b)
+
+
+def packed(codes: np.ndarray, bits: int) -> list[bytes]:
+    """Each row of type numbers as bytes, ``bits`` a number."""
+    if bits == 16:
+        return [r.tobytes() for r in codes.astype(np.uint16)]
+    each = 8 // bits
+    rows = np.zeros((len(codes), -(-codes.shape[1] // each) * each), dtype=np.uint8)
+    rows[:, :codes.shape[1]] = codes
+    out = np.zeros((len(rows), rows.shape[1] // each), dtype=np.uint8)
+    for i in range(each):
+        out |= rows[:, i::each] << np.uint8(i * bits)
+    return [r.tobytes() for r in out]
+
+
+def unpacked(rows: pd.Series, width: int, bits: int) -> np.ndarray:
+    """The type numbers of ``packed`` rows."""
+    if bits == 16:
+        return np.frombuffer(b"".join(rows), dtype=np.uint16).reshape(len(rows), width).astype(np.int64)
+    each = 8 // bits
+    read = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), -(-width // each))
+    out = np.empty((len(rows), read.shape[1] * each), dtype=np.int64)
+    for i in range(each):
+        out[:, i::each] = (read >> np.uint8(i * bits)) & np.uint8((1 << bits) - 1)
+    return out[:, :width]
+
+
+def shuffled(cells: DataFrame, kinds: list[str], permutations: int, seed: int, bits: int = 16) -> DataFrame:
+    """Cells with ``codes``: their type as a number in ``kinds`` (``bits`` each), first as it is, then under each shuffle."""
     code = {k: i for i, k in enumerate(kinds)}
 
     @F.pandas_udf("binary")
     def codes(image: pd.Series, number: pd.Series, n: pd.Series, own: pd.Series, types: pd.Series, starts: pd.Series) -> pd.Series:
         out = np.empty((len(number), permutations + 1), dtype=np.uint16)
         out[:, 0] = own.map(code)
-        key = image.to_numpy().view(np.uint64)
-        first = [np.asarray(s) for s in starts]
-        named = [np.array([code[t] for t in ts], dtype=np.uint16) for ts in types]
+        key, number, n = image.to_numpy().view(np.uint64), number.to_numpy(), n.to_numpy()
+        # The images of the batch lie one behind the other, so that one sorted list holds the first numbers of all their types.
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+        base = np.cumsum(n[first]) - n[first]
+        begin = np.concatenate([np.asarray(starts.iloc[i]) + b for i, b in zip(first, base, strict=True)])
+        named = np.array([code[t] for i in first for t in types.iloc[i]], dtype=np.uint16)
+        base = base[place]
         for p in range(permutations):
-            at = permuted(number.to_numpy(), n.to_numpy(), _mix(key, np.full(len(key), np.uint64(seed * 1_000_003 + p))))
-            out[:, p + 1] = [ts[np.searchsorted(s, a, side="right") - 1] for ts, s, a in zip(named, first, at, strict=True)]
-        return pd.Series([r.tobytes() for r in out])
+            at = permuted(number, n, _mix(key, np.full(len(key), np.uint64(seed * 1_000_003 + p))))
+            out[:, p + 1] = named[np.searchsorted(begin, at + base, side="right") - 1]
+        return pd.Series(packed(out, bits))
 
     return cells.withColumn("codes", codes(F.xxhash64("image_id"), "number", "n_cells", "cell_type", "kinds", "starts"))
 
 
 def _tallied(batches: Iterator[pd.DataFrame], n_kinds: int, width: int) -> Iterator[pd.DataFrame]:
     held: dict[str | None, dict] = {}
+    bits = code_bits(n_kinds)
     cells = width * n_kinds * n_kinds
     for batch in batches:
         for group, of in batch.groupby("grp", dropna=False, sort=False):
-            a, b = (np.frombuffer(b"".join(of[c]), dtype=np.uint16).reshape(len(of), width).astype(np.int64) for c in ("a", "b"))
+            a, b = (unpacked(of[c], width, bits) for c in ("a", "b"))
             code = ((np.arange(width) * n_kinds + a) * n_kinds + b).ravel()
             group = None if pd.isna(group) else group
             if cells <= _TABLE:
@@ -125,7 +162,7 @@ def neighbour_enrichment(cells: DataFrame, radius: float, permutations: int = 10
     kinds.sort()
     if len(kinds) >= 1 << 16:
         raise ValueError("more cell types than two bytes number")
-    marked = materialize(shuffled(placed, kinds, permutations, seed).select("image_id", "condition", "cell_id", "x", "y", "codes"))
+    marked = materialize(shuffled(placed, kinds, permutations, seed, code_bits(len(kinds))).select("image_id", "condition", "cell_id", "x", "y", "codes"))
     pairs = radius_pairs(marked, marked, radius, ("condition", "codes"), ("codes",)).select(
         F.col("anchor_condition").cast("string").alias("grp"), F.col("anchor_codes").alias("a"), F.col("neighbor_codes").alias("b"))
     n_kinds, width = len(kinds), permutations + 1

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,15 @@ def test_enrichment_equals_brute_force(spark):
     assert enrichment.neighbour_enrichment(frame(spark, []), radius, 5).count() == 0
 
 
+@pytest.mark.parametrize("n_kinds", [1, 2, 3, 16, 17, 300])
+def test_codes_of_types_are_packed(n_kinds):
+    codes = np.random.default_rng(n_kinds).integers(0, n_kinds, (50, 101)).astype(np.uint16)
+    bits = enrichment.code_bits(n_kinds)
+    rows = pd.Series(enrichment.packed(codes, bits))
+    assert len(rows[0]) <= 2 * 101 and (n_kinds > 4 or len(rows[0]) <= 26)
+    assert (enrichment.unpacked(rows, 101, bits) == codes).all()
+
+
 def test_enrichment_finds_planted_neighbours(spark):
     rng = random.Random(3)
     rows = []
