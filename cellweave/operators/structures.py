@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from cellweave.operators.lineage import materialize
 from cellweave.operators.neighbors import radius_pairs
@@ -99,22 +100,29 @@ def _hull(points: np.ndarray) -> np.ndarray:
 
 def _corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for (image, structure), of in batch.groupby(["image_id", "structure"], sort=False):
-            corners = _hull(of[["x", "y"]].to_numpy(dtype=float))
-            yield pd.DataFrame({"image_id": image, "structure": structure, "x": corners[:, 0], "y": corners[:, 1]})
+        places = batch[["x", "y"]].to_numpy(dtype=float)
+        found = [(key, _hull(places[rows])) for key, rows in batch.groupby(["image_id", "structure"], sort=False).indices.items()]
+        if found:
+            n = [len(corners) for _, corners in found]
+            x, y = np.concatenate([corners for _, corners in found]).T
+            image, structure = (np.repeat(np.array([key[i] for key, _ in found], dtype=object), n) for i in (0, 1))
+            yield pd.DataFrame({"image_id": image, "structure": structure, "x": x, "y": y})
 
 
-def _area(rows: pd.DataFrame) -> pd.DataFrame:
-    c = _hull(rows[["x", "y"]].to_numpy(dtype=float))
-    x, y = (c - c[0]).T
-    area = abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2 if len(c) > 2 else 0.0
-    return pd.DataFrame({"image_id": rows["image_id"].iloc[:1], "structure": rows["structure"].iloc[:1], "hull_area": [area], "n_corners": [len(c)]})
+@F.pandas_udf(StructType().add("hull_area", DoubleType()).add("n_corners", IntegerType()))
+def _hulls(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
+    out = []
+    for x, y in zip(xs, ys, strict=True):
+        c = _hull(np.stack([x, y], axis=1).astype(float))
+        x, y = (c - c[0]).T
+        out.append((abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2 if len(c) > 2 else 0.0, len(c)))
+    return pd.DataFrame(out, columns=["hull_area", "n_corners"])
 
 
 def structures(cells: DataFrame, radius: float, min_cells: int, min_size: int = 1, required: tuple[str, ...] = ()) -> DataFrame:
     """``image_id, structure, n_cells, n_core, n_types, center_x, center_y, hull_area, n_corners`` of structures that hold every required type.
 
-    Hulls are reduced where the cells are and only corners are brought together.
+    Hulls are taken of these structures alone. They are reduced where the cells are and only corners are brought together.
     """
     members = materialize(cells.select("image_id", "cell_id", "x", "y", "cell_type").join(dense_cells(cells, radius, min_cells), ["image_id", "cell_id"]))
     has = [F.max((F.col("cell_type") == t).cast("int")) for t in required]
@@ -123,9 +131,12 @@ def structures(cells: DataFrame, radius: float, min_cells: int, min_size: int =
         F.avg("x").alias("center_x"), F.avg("y").alias("center_y"), *[h.alias(f"has_{i}") for i, h in enumerate(has)])
     for i in range(len(has)):
         facts = facts.where(F.col(f"has_{i}") == 1).drop(f"has_{i}")
-    facts = facts.where(F.col("n_cells") >= min_size)
+    facts = materialize(facts.where(F.col("n_cells") >= min_size))
     schema = f"image_id {members.schema['image_id'].dataType.simpleString()}, structure {members.schema['structure'].dataType.simpleString()}"
-    corners = members.select("image_id", "structure", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).mapInPandas(
-        _corners, schema + ", x double, y double")
-    hulls = corners.groupBy("image_id", "structure").applyInPandas(_area, schema + ", hull_area double, n_corners int")
+    places = members.join(facts.select("image_id", "structure"), ["image_id", "structure"], "left_semi").select(
+        "image_id", "structure", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    cores = cells.sparkSession.sparkContext.defaultParallelism
+    corners = places.repartition(cores, "image_id", "structure").mapInPandas(_corners, schema + ", x double, y double")
+    hulls = (corners.groupBy("image_id", "structure").agg(F.collect_list(F.struct("x", "y")).alias("c"))
+             .select("image_id", "structure", _hulls("c.x", "c.y").alias("h")).select("image_id", "structure", "h.*"))
     return facts.join(hulls, ["image_id", "structure"])

@@ -131,6 +131,15 @@ def test_structures_equal_plain_density_clusters(spark, seed, least):
             assert all((b[0] - a[0]) * (c[4] - a[1]) - (b[1] - a[1]) * (c[3] - a[0]) >= 0 for c, _ in g)
 
 
+def test_hulls_are_taken_of_kept_structures_only(spark):
+    heap = lambda name, n, kinds: [("i", "x", f"{name}{k}", 100 * ord(name) + k % 3, k // 3, kinds[k % len(kinds)]) for k in range(n)]
+    found = structures.structures(frame(spark, heap("a", 9, "A") + heap("b", 9, "AB") + heap("c", 4, "AB")), 3.0, 3, 5, ("A", "B"))
+    assert [(r.structure, r.n_cells, r.hull_area, r.n_corners) for r in found.collect()] == [("b0", 9, 4.0, 4)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # No worker starts a frame per structure, and members meet the kept ones before their corners are sought.
+    assert "FlatMapGroupsInPandas" not in plan and "LeftSemi" in plan[plan.index("MapInPandas"):]
+
+
 def test_no_structures(spark):
     assert structures.structures(frame(spark, []), 5.0, 3).count() == 0
     assert structures.dense_cells(frame(spark, [("i", "x", "a", 0, 0, "A"), ("i", "x", "b", 50, 0, "A")]), 5.0, 2).count() == 0
