@@ -72,3 +72,21 @@ def test_communities_of_nothing_and_of_loops(spark):
     assert cm.communities(spark.createDataFrame([], "src bigint, dst bigint, weight double")).count() == 0
     loops = spark.createDataFrame([(1, 1, 1.0), (2, 2, 1.0)], "src bigint, dst bigint, weight double")
     assert {tuple(r) for r in cm.communities(loops).select("node", "community").collect()} == {(1, 1), (2, 2)}
+
+
+def test_nodes_with_the_same_links_are_one_node(spark):
+    def both(links):
+        return spark.createDataFrame([(a, b, w) for a, b, w in links] + [(b, a, w) for a, b, w in links], "src long, dst long, weight double")
+    # 1 to 4 all know each other; 5 knows 4 and 6; 7 and 8 have the same neighbour but no link; 9 to 11 differ by a weight.
+    links = [(a, b, 1.0) for a in range(1, 5) for b in range(a + 1, 5)] + [(4, 5, 1.0), (5, 6, 1.0), (6, 7, 1.0), (6, 8, 1.0)]
+    links += [(9, 10, 2.0), (9, 11, 1.0), (10, 11, 1.5)]
+    edges = both(links)
+    two_m = 2 * sum(w for _, _, w in links)
+    assert {(r.node, r.twin) for r in cm.twins(edges, two_m).collect()} == {(1, 1), (2, 1), (3, 1)}
+    # At a resolution at which chance alone would give more links, they are left apart.
+    assert cm.twins(edges, two_m, 100.0).count() == 0
+    got = {r.node: r.community for r in cm.communities(edges).collect()}
+    assert set(got) == set(range(1, 12)) and got[1] == got[2] == got[3] == 1 and got[9] == got[10] == got[11] == 9
+    cliques = both([(100 * c + a, 100 * c + b, 1.0) for c in range(3) for a in range(12) for b in range(a)])
+    for refined in (True, False):
+        assert {(r.node, r.community) for r in cm.communities(cliques, refined=refined).collect()} == {(100 * c + a, 100 * c) for c in range(3) for a in range(12)}

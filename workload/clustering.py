@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import clusters as cl, communities as cm, composition, embedding, markers as mk
 from cellweave.operators.knn import knn, knn_edges
+from cellweave.sources.tables import spread
 from workload.registry import query
 from workload.views import CELLS, MARKERS, cells, table
 
@@ -142,5 +143,5 @@ QUALIFY count(*) OVER (PARTITION BY s_nationkey) > 1""")
 def graph_clusters(spark, sf):
     # Suppliers of one nation all know each other and no one else: one community per nation is the only answer.
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("id"), "s_nationkey")
-    met = s.select(F.col("id").alias("src"), "s_nationkey").join(s.select(F.col("id").alias("dst"), "s_nationkey"), "s_nationkey")
+    met = spread(s).select(F.col("id").alias("src"), "s_nationkey").join(s.select(F.col("id").alias("dst"), "s_nationkey"), "s_nationkey")
     return cm.communities(met.where("src <> dst").select("src", "dst", F.lit(1.0).alias("weight")))
