@@ -190,3 +190,12 @@ def test_nothing_is_left_behind(spark):
     assert REGISTRY["zscore_norm"].build(spark, "/root/testdata/sf0.001").count() and any(folder.iterdir())
     lineage.drop_stages(spark)
     assert not folder.exists()
+
+
+def test_copies_of_partners_are_few_and_short(spark):
+    # One cell on every spot of a field far wider than the radius.
+    cells = spark.range(40_000).selectExpr("'i' as image_id", "cast(id as string) as cell_id", "id % 200 as x", "id div 200 as y")
+    side = neighbors.Side(cells, "neighbor")
+    copies = neighbors._touched_squares(side.renamed(), side, 5.0, 5.0 * neighbors.SIDE_IN_RADII)
+    assert copies.count() <= 2.6 * 40_000
+    assert dict(copies.dtypes)["square"] == "int"
