@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cellweave.llm.common import stored
+from cellweave.llm.common import row_hash, stored
 from cellweave.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -149,3 +149,17 @@ def _rooted(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` for every row: the fingerprint and the smallest id reachable over links."""
     return _rooted(docs, key, text).select("doc_id", "fp", "component_id")
+
+
+def tied_to(docs: DataFrame, members: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``members`` (``doc_id, row_hash, root`` of each row of ``docs``) with the roots that near copies tie made one, the smallest.
+
+    Only roots that meet in a component of fingerprints go through the search for components, so the edges are few.
+    """
+    fps = _rooted(docs, key, text, row_hash(docs)).select("row_hash", F.col("root").alias("heap")).distinct()
+    met = stored(members.select("row_hash", "root").join(fps, "row_hash").select("heap", "root").distinct())
+    several = met.groupBy("heap").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("heap", "low")
+    edges = met.join(several, "heap").where("root > low").select(F.col("root").alias("u"), F.col("low").alias("v"))
+    tied = components(edges).withColumnRenamed("root", "first")
+    return (members.join(tied, members.root == tied.node, "left")
+            .select("doc_id", "row_hash", F.coalesce("first", "root").alias("root")))

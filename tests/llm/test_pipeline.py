@@ -93,3 +93,16 @@ def test_stages_take_odd_and_empty_documents(spark, docs):
             now = stage(spark, now, SF)
             assert now.columns == docs.columns
         assert (now.count() > 0) == (table.count() > 0)
+
+
+def test_fingerprints_tie_what_shingle_sets_do_not(spark, docs):
+    from cellweave.llm import simhash
+    long = "the house of the town stands near old river " * 200
+    tails = ["one two three four five six seven eight nine ten", "red green blue black white brown grey pink cyan gold"]
+    prints = [simhash.fingerprint(long + t) for t in tails]
+    assert (prints[0] ^ prints[1]).bit_count() <= simhash.MOST_BITS
+    rows = [(1, "something else that is not like the others at all", "en", "s", 1), (2, long + tails[0], "en", "s", 1),
+            (3, long + tails[1], "en", "s", 1), (4, tails[1] + " " + tails[0], "en", "s", 1), (None, "a row without an id", "en", "s", 1)]
+    kept = corpus_pipeline.one_of_near_copies(spark, spark.createDataFrame(rows, docs.schema), SF)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 4]
