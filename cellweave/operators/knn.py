@@ -2,7 +2,7 @@
 
 ``exact`` compares all vectors with all, in blocks that meet pairwise and each keep their own
 best k per vector: quadratic work, for tables where that is wanted and as the measure of the
-other. ``grouped`` deals vectors to the nearest of a bounded number of pivots and compares a
+other. A product of matrices leaves few pairs of a block whose distance is summed term by term. ``grouped`` deals vectors to the nearest of a bounded number of pivots and compares a
 vector with the members of the ``probes`` pivots nearest to it: its work grows with a vector's
 share of the table, and its recall with ``probes``. Which one runs is the caller's choice and
 never depends on the size. Where ``probes`` is not given, it is measured: a sample of vectors is compared with the whole
@@ -25,7 +25,11 @@ from cellweave.operators.lineage import materialize
 MAX_PIVOTS = 1024
 # Share of the true neighbours aimed at where probes are measured, and vectors they are measured on.
 RECALL, MEASURED = 0.97, 256
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 32_000
+# Vectors of a block whose rough distances are held at once.
+ROUGH_ROWS = 256
+# Others that give a first bound.
+FIRST_LOOK = 2_000
 
 
 def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -37,6 +41,62 @@ def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     return out
 
 
+def _candidates(points: np.ndarray, others: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that hold the ``n`` nearest of ``others`` for each point, a few hundred points at a time.
+
+    A product of matrices gives distances up to rounding; pairs that are further than the nth by more than rounding can
+    make up are left out. Where there is no bound on rounding every pair is one.
+    """
+    with np.errstate(all="ignore"):
+        middle = others.mean(axis=0)
+        a, b = points - middle, others - middle
+        largest = np.maximum(np.abs(a).max(initial=0), np.abs(b).max(initial=0))
+        # Nearest to one, in single precision, where squares neither leave the range of numbers nor vanish.
+        known = n < len(others) and 1e-290 < 4 * others.shape[1] * largest * largest < np.inf
+    if known:
+        a, b = (np.ldexp(v, -int(np.frexp(largest)[1])).astype(np.float32) for v in (a, b))
+        size = np.einsum("ij,ij->i", b, b)
+        slack = 8 * (others.shape[1] + 8) * np.finfo(np.float32).eps * (np.einsum("ij,ij->i", a, a) + size.max())
+    for start in range(0, len(points), ROUGH_ROWS):
+        part = slice(start, start + ROUGH_ROWS)
+        if known:
+            # A point's own size is the same in all its distances.
+            rough = a[part] @ b.T
+            rough *= -2
+            rough += size
+            # The nth nearest of a few is no nearer than that of all; where it leaves much, all are asked.
+            for step in sorted({max(1, len(b) // max(FIRST_LOOK, n)), 1}, reverse=True):
+                near = rough <= (np.partition(rough[:, ::step], n - 1, axis=1)[:, n - 1] + slack[part])[:, None]
+                if np.count_nonzero(near) <= 2 * n * step * len(rough):
+                    break
+            flat = np.flatnonzero(near)
+            row, place = np.divmod(flat, len(b))
+            found = rough.ravel()[flat]
+            order = np.lexsort((found, row))
+            nth = found[order][np.arange(len(row)) - np.searchsorted(row, row) == n - 1]
+            left = found <= (nth + slack[part])[row]
+            row, place = row[left], place[left]
+        else:
+            row, place = (found.ravel() for found in np.indices((len(a[part]), len(b))))
+        yield row + start, place
+
+
+def _nearest(points: np.ndarray, others: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the point, place of the other and squared distance of the ``n`` nearest, ties to the earlier other."""
+    out = []
+    for row, place in _candidates(points, others, n):
+        d2 = np.empty(len(row))
+        for at in range(0, len(row), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            gap = points[row[part]] - others[place[part]]
+            d2[part] = np.einsum("ij,ij->i", gap, gap)
+        order = np.lexsort((place, d2, row))
+        row, place, d2 = row[order], place[order], d2[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < n
+        out.append((row[first], place[first], d2[first]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def _collapse(points: DataFrame, keep: int) -> DataFrame:
     """One site per distinct vector with the smallest ids that have it.
 
@@ -81,15 +141,10 @@ def knn(points: DataFrame, k: int = 15, method: str = "exact", max_pivots: int =
         if not len(q) or not len(c):
             return pd.DataFrame({"site": [], "ids": [], "d2": []})
         c = c.sort_values("site")
-        d2 = _distances(np.stack(q["vector"].to_numpy()), np.stack(c["vector"].to_numpy()))
         n = min(keep, len(c))
-        # Stable on sorted sites: ties go to the smaller id.
-        top = np.argsort(d2, axis=1, kind="stable")[:, :n]
-        ids = c["ids"].to_numpy()
-        return pd.DataFrame({
-            "site": np.repeat(q["site"].to_numpy(), n),
-            "ids": [ids[i] for i in top.ravel()],
-            "d2": np.take_along_axis(d2, top, axis=1).ravel()})
+        # Ties go to the smaller id, as the others are sorted by site.
+        row, place, d2 = _nearest(np.stack(q["vector"].to_numpy()), np.stack(c["vector"].to_numpy()), n)
+        return pd.DataFrame({"site": q["site"].to_numpy()[row], "ids": c["ids"].to_numpy()[place], "d2": d2})
 
     partial = (asking.groupBy(*key).cogroup(asked.groupBy(*key))
                .applyInPandas(best, "site bigint, ids array<bigint>, d2 double"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import geometry, names
 from cellweave.operators import clusters, communities, markers as mk, patients as pt, quality, rules
-from cellweave.operators.knn import knn, knn_edges
+from cellweave.operators.knn import _candidates, _distances, _nearest, knn, knn_edges
 from cellweave.operators.lineage import materialize
 
 
@@ -110,6 +110,21 @@ def test_knn_matches_brute_force_with_copies(spark, method, pivots, block):
             assert [j for _, j in sorted(got[i])] == [j for _, j in want]
 
 
+@pytest.mark.parametrize("offset,scale", [(0.0, 1.0), (1e7, 1.0), (0.0, 1e-9), (0.0, 1e-200), (0.0, 1e200)])
+def test_few_pairs_are_summed_for_the_nearest(offset, scale):
+    rng = np.random.default_rng(2)
+    points = rng.integers(-9, 9, (700, 64)) * scale + offset
+    points[300:340] = points[7]
+    with np.errstate(all="ignore"):
+        d2 = _distances(points, points)
+        row, place, found = _nearest(points, points, 16)
+        summed = sum(len(r) for r, _ in _candidates(points, points, 16))
+    want = np.argsort(d2, axis=1, kind="stable")[:, :16]
+    assert (row.reshape(700, 16) == np.arange(700)[:, None]).all() and (place.reshape(700, 16) == want).all()
+    assert (found.reshape(700, 16) == np.take_along_axis(d2, want, axis=1)).all()
+    assert summed < 700 * 24 or scale in (1e-200, 1e200)
+
+
 def test_grouped_neighbours_recall_and_reach(spark):
     points = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").selectExpr("vec_id AS id", "embedding AS vector")
     pairs = lambda **more: {(r.src, r.dst) for r in knn(points, 15, **more).collect()}
