@@ -67,3 +67,16 @@ def test_regions_through_tissue_and_own_masks(spark):
     assert got(masks.assign_through_masks(cells, rois, tissue, own)) == sorted([("a", n) for n in [0, 1, 2, 3, 3, 4]] + b)
     nothing = tissue[0].where(F.lit(False)), tissue[1]
     assert got(masks.assign_through_masks(cells, rois, nothing)) == []
+
+
+def test_masks_are_not_drawn_in_image_pixels(spark):
+    cells = spark.createDataFrame([("i", 1, 5e8, 2.5), ("i", 2, 5e8 + 5e8, 2.5), ("i", 3, float("inf"), 2.5), ("i", 4, None, 1.0)],
+                                  "image_id string, cell_id int, x double, y double")
+    # One mask pixel stands for 10^8 rows; two frames of one mask, of which only one covers the first cell.
+    runs = spark.createDataFrame([("i", "m", 0, 0, 1_000_000_000), ("i", "m", 0, 0, 1)], RUN)
+    frames = spark.createDataFrame([("i", "m", 499_999_999, 0, 500, 100_000, 2, 1), ("i", "m", 0, 0, 5, 5, 9, 9)], FRAME)
+    assert [r.cell_id for r in masks.in_masks(cells, runs, frames, tile=1 << 20).collect()] == [1]
+    assert [r.cell_id for r in masks.on_any_mask(cells.union(cells.limit(1)), runs, frames, tile=1 << 20).collect()] == [1, 1]
+    # Neither are runs broadcast, whatever size they seem to have.
+    runs_joined = [line for line in masks.in_masks(cells, runs, frames)._jdf.queryExecution().executedPlan().toString().splitlines() if "stretch" in line and "Join" in line]
+    assert runs_joined and all("SortMergeJoin" in line for line in runs_joined)
