@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from cellweave.operators.structures import _hull
 
@@ -56,9 +57,8 @@ def region_outlines(pixels: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_border"), F.sum(length).alias("perimeter")))
 
 
-def _pixels_in_hull(rows: pd.DataFrame) -> int:
+def _pixels_in_hull(y: np.ndarray, low: np.ndarray, high: np.ndarray) -> int:
     """Pixel centres in the hull of the middles of all pixel sides, row by row."""
-    y, low, high = (rows[c].to_numpy(dtype=float) for c in ("y", "low", "high"))
     points = np.concatenate([np.column_stack(p) for p in (
         (y, low - 0.5), (y, high + 0.5), (y - 0.5, low), (y + 0.5, low), (y - 0.5, high), (y + 0.5, high))])
     corners = _hull(points)
@@ -72,15 +72,18 @@ def _pixels_in_hull(rows: pd.DataFrame) -> int:
     return int((np.floor(right + 1e-9) - np.ceil(left - 1e-9) + 1).sum())
 
 
+@F.pandas_udf(LongType())
+def _convex_area(ys: pd.Series, lows: pd.Series, highs: pd.Series) -> pd.Series:
+    return pd.Series([_pixels_in_hull(*(np.asarray(v, dtype=float) for v in ends)) for ends in zip(ys, lows, highs, strict=True)], dtype="int64")
+
+
 def convex_areas(pixels: DataFrame) -> DataFrame:
     """``image_id, label, area, convex_area``: pixels, and pixels of the smallest convex shape around them.
 
-    Spark reduces a label to the two ends of each of its rows; only these, at most an image's height, meet in one group.
+    Spark reduces a label to the two ends of each of its rows; only these, at most an image's height, meet in one row. Labels
+    come to Python many in one batch.
     """
     ends = (_spots(pixels).groupBy("image_id", "label", "y")
             .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n")))
-    keys = ", ".join(f"{c} {ends.schema[c].dataType.simpleString()}" for c in ("image_id", "label"))
-
-    def area(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows[["image_id", "label"]].iloc[:1].assign(area=int(rows["n"].sum()), convex_area=_pixels_in_hull(rows))
-    return ends.groupBy("image_id", "label").applyInPandas(area, keys + ", area bigint, convex_area bigint")
+    labels = ends.groupBy("image_id", "label").agg(F.sum("n").alias("area"), F.collect_list(F.struct("y", "low", "high")).alias("ends"))
+    return labels.select("image_id", "label", "area", _convex_area("ends.y", "ends.low", "ends.high").alias("convex_area"))

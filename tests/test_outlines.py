@@ -54,3 +54,11 @@ def test_outlines_of_shapes(spark):
     assert edges["i", 2] == (12, 12.0) and areas["i", 2] == (15, 15)
     empty = pixels.where("false")
     assert outlines.region_outlines(empty).count() == outlines.convex_areas(empty).count() == 0
+
+
+def test_labels_come_to_python_in_batches(spark):
+    pixels = spark.range(3000).selectExpr("'i' AS image_id", "CAST(id DIV 3 AS INT) AS label", "CAST(id % 3 AS INT) AS x", "CAST(id % 3 AS INT) AS y")
+    found = outlines.convex_areas(pixels)
+    # A group of its own for every label costs more than its hull.
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.area, r.convex_area) for r in found.collect()} == {(3, 3)} and found.count() == 1000
