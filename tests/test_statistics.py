@@ -175,3 +175,21 @@ def test_survival_matches_hand_counts(spark, limit):
 def test_one_group_has_no_curve(spark):
     df = spark.createDataFrame([("o", "a", 1.0, 1)], "outcome string, grp string, duration double, event int")
     assert sv.kaplan_meier(df).count() == 0 and sv.log_rank(df).count() == 0
+
+
+def test_both_groups_are_read_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [("r", "t", "m", bool(rng.random() < 0.4), float(v)) for v in rng.integers(0, 6, 500)] + [("r", "t", "m", True, None), ("r", "t", "m", False, 2.5)]
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+    df = spark.createDataFrame(rows, "role string, cell_type string, marker string, in_a boolean, value double").repartition(3)
+    got = rt.in_versus_out(df.mapInPandas(seen, df.schema), limit=2).first()
+    a, b = (np.array([v for *_, g, v in rows if g == side and v is not None]) for side in (True, False))
+    u = sum((x > y) + (x == y) / 2 for x in a for y in b)
+    assert (got.n_A, got.n_B, got.u_a, got.u_b) == (len(a), len(b), u, len(a) * len(b) - u)
+    assert (got.mean_A, got.median_A, got.median_B) == (pytest.approx(a.mean()), np.median(a), np.median(b))
+    assert reads.value == len(rows)
