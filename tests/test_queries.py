@@ -52,3 +52,13 @@ def test_query_matches_sql(spark, duck, name):
 def test_entry_functions(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_the_report_counts_triads_once(spark, monkeypatch):
+    from workload import quality
+    count, asked = quality.short_summary, []
+    monkeypatch.setattr(quality, "short_summary", lambda *a: asked.append(1) or count(*a))
+    stored = []
+    monkeypatch.setattr(quality.dq, "check_triads", lambda summary, *more, check=quality.dq.check_triads: stored.append(summary) or check(summary, *more))
+    rows = quality.dq_report(spark, "/root/testdata/sf0.001").collect()
+    assert len(asked) == 1 and all(s.is_stage for s in stored) and len(rows) == 5
