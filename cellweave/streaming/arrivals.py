@@ -60,7 +60,7 @@ def work_off_files(names: DataFrame, fixed: T.StructType, glob: str, handle: Cal
         spark = batch.sparkSession
         paths = [literal_path(r["path"]) for r in batch.distinct().collect()]
         status = file_status(spark, paths, glob)
-        rows = handle(well_formed(read_listed(spark, status, fixed, sep)))
+        rows = handle(well_formed(read_listed(spark, paths, glob, status, fixed, sep)))
         rows.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
         status.drop("header").write.mode("overwrite").parquet(f"{out}/files/batch={number}")
 

@@ -21,19 +21,6 @@ def folder(spark) -> str:
     return f"{owned_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
-def named_files(df: DataFrame, path: str, key: str, suffix: str, encoding: str = "UTF-8") -> None:
-    """One CSV file ``<key><suffix>`` per key, as instruments write them: few keys, each a small file."""
-    spark = df.sparkSession
-    parts = f"{path}/parts-{uuid.uuid4().hex}"
-    df.repartition(C(key)).write.partitionBy(key).option("header", True).option("encoding", encoding).csv(parts)
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.globStatus(Path(f"{parts}/{key}=*/part-*.csv")):
-        name = status.getPath().getParent().getName().split("=", 1)[1]
-        fs.rename(status.getPath(), Path(f"{path}/{name}{suffix}"))
-    fs.delete(Path(parts), True)
-
-
 # Three kinds of files: by column order and panel.
 _KINDS = "CASE l_suppkey % 3 WHEN 0 THEN {} WHEN 1 THEN {} ELSE {} END"
 
@@ -54,7 +41,7 @@ def scan_cells_files(spark, sf):
     for kind, markers in enumerate(more):
         # The label is a number; the key of the line goes along as a marker of three parts.
         rows = lines.where(key % 3 == kind).select(*base, *markers, *[C(c).alias(f"k_{c}") for c in ("l_orderkey", "l_linenumber", "l_partkey")])
-        named_files(rows.withColumn("label", F.lit(1)).drop("cell"), f"{path}/slide {kind}", "image", "_mesmer_result.csv")
+        tables.write_files(rows.withColumn("label", F.lit(1)).drop("cell"), f"{path}/slide {kind}", "image", "_mesmer_result.csv")
     found = tables.scan_cells(spark, path, CONDITIONS)
     parts = [C(f"k_{c}").cast("bigint").cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")]
     return found.select("image_id", "condition", F.concat_ws("-", *parts).alias("cell_id"), "x", "y", "area", "dapi", "CD3", "CD8", "CD20")
@@ -69,8 +56,8 @@ def scan_matched_files(spark, sf):
     base = [F.format_string("reg%03d", "l_suppkey").alias("image"), C("l_partkey").alias("centroid_x"), C("l_suppkey").alias("centroid_y"),
             C("l_returnflag").alias("cell_type")]
     # Without ids, and with a column order and a panel of their own.
-    named_files(lines.where("l_suppkey % 2 = 0").select(*base, C("l_tax").alias("taxed")), path, "image", tables.MATCHED_SUFFIX)
-    named_files(lines.where("l_suppkey % 2 = 1").select(C("l_discount").alias("discounted"), *reversed(base)), path, "image", tables.MATCHED_SUFFIX)
+    tables.write_files(lines.where("l_suppkey % 2 = 0").select(*base, C("l_tax").alias("taxed")), path, "image", tables.MATCHED_SUFFIX)
+    tables.write_files(lines.where("l_suppkey % 2 = 1").select(C("l_discount").alias("discounted"), *reversed(base)), path, "image", tables.MATCHED_SUFFIX)
     found = tables.scan_matched(spark, path, CONDITIONS)
     return found.groupBy("image_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cell_id").alias("n_ids"), F.sum("x").alias("sum_x"),
@@ -95,7 +82,7 @@ def scan_encodings(spark, sf):
         "c_nationkey", F.concat(F.lit("n"), C("c_nationkey").cast("string")).alias("image"), C("c_custkey").cast("string").alias("cell_id"),
         (C("c_custkey") % 1000).alias("centroid_x"), F.lit(2).alias("centroid_y"), F.concat(F.lit("é"), "c_name", F.lit("ß")).alias("cell_type"))
     for key, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
-        named_files(rows.where(C("c_nationkey") % 2 == key).drop("c_nationkey"), path, "image", tables.MATCHED_SUFFIX, encoding)
+        tables.write_files(rows.where(C("c_nationkey") % 2 == key).drop("c_nationkey"), path, "image", tables.MATCHED_SUFFIX, encoding)
     status = tables.file_status(spark, path, "*" + tables.MATCHED_SUFFIX).select(
         F.regexp_extract("file_path", r"(n\d+)_matched", 1).alias("image_id"), (C("encoding") == "UTF-8").alias("utf8"))
     found = tables.scan_matched(spark, path, []).select("image_id", C("cell_id").cast("bigint").alias("c_custkey"), "cell_type", "x")
