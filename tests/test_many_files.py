@@ -37,3 +37,11 @@ def test_odd_lines_keep_their_bytes(spark, tmp_path):
     assert got == [("a", "\x01", 1.0, "T"), ("a", "é", 1.0, quoted), ("b", "é", 1.0, "T")]
     raw = tables.read_delimited(spark, str(tmp_path), tables.MATCHED_CELL_SCHEMA, "*.csv")
     assert sorted(r[CORRUPT] for r in tables.malformed(raw).collect()) == [head.strip(), "q,1"]
+
+
+def test_matched_cells_are_named_once_a_file(spark, tmp_path):
+    rows = spark.range(60).selectExpr("concat('KO_', id % 3) AS image", "id AS centroid_x", "1 AS centroid_y", "'T' AS cell_type")
+    tables.write_files(rows, str(tmp_path), "image", tables.MATCHED_SUFFIX)
+    cells = tables.scan_matched(spark, str(tmp_path), ["KO"])
+    assert "(1 paths)" in plan(cells) and "(3 paths)" not in plan(cells) and "url_decode" not in plan(cells).lower()
+    assert sorted((r.image_id, r.condition, r.x) for r in cells.collect()) == sorted((f"KO_{k % 3}", "KO", float(k)) for k in range(60))
