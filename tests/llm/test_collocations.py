@@ -94,3 +94,28 @@ def test_large_counts_are_exact_and_empty_tables(spark):
     r = collocations.scored(frequent, sizes).collect()[0]
     assert r.score == 10 ** 6 * (2 * 10 ** 12 + 9) ** 2 // ((3 * 10 ** 12 + 7) * (5 * 10 ** 12 + 1))
     assert got(spark, []) == []
+
+
+def test_short_pieces_share_chunks_and_phrases_do_not_cross_marks(spark):
+    rows = [(". ".join(f"a{i} b{i % 3}" for i in range(400)) + "...!? \n", "en"), ("...", "en"), ("b1.b1 a1 b1,,b1", "en"), ("w" * 300_000 + " a b " * 12, "a lang"),
+            ("Ünï ſ x y " * 11, "de"), ("a b " * 12, "de")]
+    chunks = collocations.dictionary(frame(spark, rows[:1])).collect()
+    # 400 pieces; cut at triggers they were 400 chunks or more.
+    assert len(chunks) < 250 and sum(r.n * r.own for r in chunks) == 800
+    assert got(spark, rows) == brute(rows)
+
+
+def test_buckets_are_shuffled_many_in_a_row(spark):
+    rows = [(" ".join(f"w{i * k % 5003}" for i in range(20_000)), "en") for k in (1, 7)]
+    parsed = collocations.dictionary(frame(spark, rows)).coalesce(1).toArrow().combine_chunks()
+    sent = list(collocations._tallies(iter(parsed.to_batches()), 3, 4))
+    assert sum(len(b) for b in sent) <= 1 << collocations._PART_BITS
+    values = Counter((p, low) for b in sent for p, blob in zip(*b.to_pydict().values(), strict=True) for low in np.frombuffer(blob, dtype="<u4").tolist())
+    assert len(values) > 25_000 and max(values.values()) == 4
+
+
+def test_the_best_of_many_parts_are_ranked_as_one(spark):
+    rows = [(" . ".join(f"x{i} y{i % 97}" for i in range(300)), "en")] * 10
+    assert got(spark, rows, best=120) == brute(rows, best=120)
+    plan = collocations.collocations(frame(spark, rows), best=120)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2
