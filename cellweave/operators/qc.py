@@ -136,7 +136,11 @@ def noise_cutoffs(scored: DataFrame, cut_off: float = 0.01, bins: int = HISTOGRA
     values = score_rows(scored)
     by = ["image_id", "score"]
     knees = knee(histogram(values, by, "value", bins), by)
-    tails = percentiles(values, by, {"fallback": ("value", 1 - cut_off), "floor": ("value", FLOOR_SHARE)}, limit)
+    # Both scores of a cell in one row: as rows of their own they would be twice as many to sort.
+    scores = ("z_count", "z_sum")
+    wide = percentiles(scored, ["image_id"], {f"{n}_{s}": (s, share) for s in scores for n, share in (("fallback", 1 - cut_off), ("floor", FLOOR_SHARE))}, limit)
+    tails = wide.select("image_id", F.inline(F.array(*[
+        F.struct(F.lit(s).alias("score"), F.col(f"fallback_{s}").alias("fallback"), F.col(f"floor_{s}").alias("floor")) for s in scores])))
     found = F.when(F.col("knee") != 0, F.col("knee"))
     lowest = F.when(F.col("score") == "z_count", LOWEST_COUNT_CUTOFF).otherwise(LOWEST_SUM_CUTOFF)
     raw = F.coalesce(found, F.col("fallback"))
@@ -165,18 +169,20 @@ def classify(raw: DataFrame, included: DataFrame, thresholds: DataFrame, by_coor
     Cells are matched to the kept ones by id within the image, or by rounded coordinates.
     """
     if by_coordinates:
-        key = ["image_id", "key_x", "key_y"]
+        key = ["key_x", "key_y", "image_id"]
         kx, ky = coordinate_key(raw)
         raw, included = (d.withColumn("key_x", kx).withColumn("key_y", ky) for d in (raw, included))
     else:
-        key = ["image_id", "cell_id"]
+        # Ids first: they differ early, so sorting by them rarely has to compare whole names.
+        key = ["cell_id", "image_id"]
+    columns = [col(c) for c in raw.columns]
     kept = included.select(*key).distinct().withColumn("is_kept", F.lit(True))
     small = F.col("area") < F.col("area_threshold")
     low = F.col("dapi") < F.col("dapi_threshold")
     label = (F.when(F.col("is_kept"), INCLUDED).when(small & low, SMALL_LOW)
              .when(small, SMALL).when(low, LOW).otherwise(NOISE))
     # The unique cell key spreads the join evenly; images are only joined to thresholds.
-    return (join_group_stats(raw.join(kept, key, "left"), thresholds, ["image_id"], "left")
+    return (join_group_stats(raw.join(kept, key, "left").select(*columns, "is_kept"), thresholds, ["image_id"], "left")
             .withColumn("classification", label).drop("is_kept", "key_x", "key_y"))
 
 
