@@ -45,3 +45,19 @@ def test_matched_cells_are_named_once_a_file(spark, tmp_path):
     cells = tables.scan_matched(spark, str(tmp_path), ["KO"])
     assert "(1 paths)" in plan(cells) and "(3 paths)" not in plan(cells) and "url_decode" not in plan(cells).lower()
     assert sorted((r.image_id, r.condition, r.x) for r in cells.collect()) == sorted((f"KO_{k % 3}", "KO", float(k)) for k in range(60))
+
+
+def test_lines_and_paths_of_the_usual_form_go_without_patterns_and_second_decoding(spark, tmp_path):
+    paths = ["file:///a/b", "file:/a/b", "file:////a", "file://///a/file:/b", "file:", "file:/", "s3a://k/file:///a", "/a//b", "hdfs://n/a"]
+    same = spark.createDataFrame([(p,) for p in paths], "p string").selectExpr("p", "regexp_replace(p, '^file:/+', 'file:/') AS q")
+    assert all(r.q == r.got for r in same.withColumn("got", tables._one_slash(same.p)).collect())
+    head = "cell_id,centroid_x,centroid_y,cell_type\n"
+    for name, text in (("a", "\ufeff" + head + "ß,1,2,é\n"), ("b", "\x1f \t\n" + head + "\n𝒳,3,4,T\n")):
+        (tmp_path / f"{name}_matched_with_boundaries.csv").write_bytes(text.encode())
+    cells = tables.scan_matched(spark, str(tmp_path), [])
+    # All files are UTF-8, so lines are read as that at once.
+    assert "encode(" not in plan(cells).lower()
+    assert sorted((r.image_id, r.cell_id, r.x) for r in cells.collect()) == [("a", "ß", 1.0), ("b", "𝒳", 3.0)]
+    (tmp_path / "c_matched_with_boundaries.csv").write_bytes((head + "ß,5,6,é\n").encode("latin-1"))
+    both = tables.scan_matched(spark, str(tmp_path), [])
+    assert sorted((r.image_id, r.cell_id, r.x) for r in both.collect()) == [("a", "ß", 1.0), ("b", "𝒳", 3.0), ("c", "ß", 5.0)]
