@@ -29,9 +29,9 @@ _ROW_BITS = 33
 # Cells of an image that one task takes whole, unless a square is crowded.
 IMAGE_CELLS = 100_000
 # Cells a task sorts: enough to be worth one, and as many as it sorts in memory.
-_TASK_CELLS = 50_000, 500_000
+_TASK_CELLS = 50_000, 1_200_000
 # Cells of whole images a task works on at once, and pairs it compares at once.
-_AT_ONCE = 20_000
+_AT_ONCE = 40_000
 _CANDIDATES = 1 << 20
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -332,9 +332,12 @@ def spread_images(cells: DataFrame, sizes: DataFrame, radius: float, whole: int,
 
 def _counted_whole(cells: DataFrame, n_cells: int, kinds: list[str], radius: float, permutations: int, seed: int) -> DataFrame:
     """Tallies of cells whose images a task takes whole."""
-    usual = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = cells.sparkSession.conf
+    # Up to so many parts a task writes side by side as rows come; for more it sorts its rows first, and spills.
+    unsorted = int(conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
     most, least = (-(-n_cells // n) for n in _TASK_CELLS)
-    dealt = cells.repartition(max(1, least, min(usual, most)), "image_id").sortWithinPartitions("image_id", "cell_type", "cell_id", "x", "y")
+    parts = max(1, least, min(most, int(conf.get("spark.sql.shuffle.partitions")), unsorted))
+    dealt = cells.repartition(parts, "image_id").sortWithinPartitions("image_id", "cell_type", "cell_id", "x", "y")
     kind = dict(cells.dtypes)
     numbers = {c: F.col(c).cast("double") for c in ("x", "y") if kind[c] not in _NUMBERS}
     # The hash follows from the image, so it is not shuffled.
